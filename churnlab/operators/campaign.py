@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import risk_grade
-from .ordered import rank_cut
+from .ordered import top_n
 
 # Business-score weight presets of the model comparison page.
 WEIGHT_PRESETS = {
@@ -78,7 +78,7 @@ def candidates(df: DataFrame, id_col: str, s: str, t: float, capacity: int,
     ``actual_churn_for_evaluation``.
     """
     above = df.filter(F.col(s) >= F.lit(float(t)))
-    top = rank_cut(above, s, id_col, capacity, by=by).filter("_in_top")
+    top = top_n(above, s, id_col, capacity, by=by)
     cols = [*by, id_col, F.col(s).alias("churn_probability")]
     if y:
         cols.append(F.col(y).alias("actual_churn_for_evaluation"))
@@ -87,11 +87,16 @@ def candidates(df: DataFrame, id_col: str, s: str, t: float, capacity: int,
 
 def campaign_status(df: DataFrame, id_col: str, s: str, t: float, capacity: int,
                     by: Sequence[str] = ()) -> DataFrame:
-    """Every member over the threshold flagged ``selected`` or ``waitlist``."""
+    """Every member over the threshold flagged ``selected`` or ``waitlist``.
+
+    The selected set is the exact top-``capacity`` list (``top_n``); it is
+    joined back on (group, id), so no window spans a whole group.
+    """
     above = df.filter(F.col(s) >= F.lit(float(t)))
-    return (rank_cut(above, s, id_col, capacity, by=by)
-            .withColumn("status", F.when(F.col("_in_top"), "selected").otherwise("waitlist"))
-            .drop("_in_top"))
+    chosen = top_n(above, s, id_col, capacity, by=by).select(*by, id_col).withColumn("_sel", F.lit(True))
+    return (above.join(chosen, [*by, id_col], "left")
+            .withColumn("status", F.when(F.col("_sel"), "selected").otherwise("waitlist"))
+            .drop("_sel"))
 
 
 def waitlist(df: DataFrame, id_col: str, s: str, t: float, capacity: int,

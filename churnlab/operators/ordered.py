@@ -203,3 +203,24 @@ def global_rank(df: DataFrame, key: str, id_col: str, by: Sequence[str] = (),
     return (within.join(off, [*by, key])
             .withColumn(name, F.col("_above") + F.col("_cum_one"))
             .drop("_above", "_cum_one", "_one"))
+
+
+# Spark plans ``row_number() <= k`` as a map-side WindowGroupLimit (each task
+# keeps its best k per group before the shuffle) only up to this k.
+GROUP_LIMIT_MAX = 1000
+
+
+def top_n(df: DataFrame, key: str, id_col: str, n: int, by: Sequence[str] = (),
+          buckets: int | None = None) -> DataFrame:
+    """First ``n`` rows per group under ``(key desc, id asc)``, exact.
+
+    Small ``n``: ``row_number() <= n``, which the optimizer turns into a
+    per-task partial limit, so the shuffle carries at most ``n`` rows per
+    group and task. Larger ``n``: ``rank_cut`` (histogram border, no task
+    holds more than a range of one group).
+    """
+    by = list(by)
+    if int(n) <= GROUP_LIMIT_MAX:
+        w = Window.partitionBy(*by).orderBy(F.desc(key), F.asc(id_col))
+        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= int(n)).drop("_rn")
+    return rank_cut(df, key, id_col, n, by, buckets).filter("_in_top").drop("_in_top")

@@ -209,3 +209,16 @@ SELECT CAST(bucket AS INTEGER) AS bucket, base_share, current_share,
 def h10_psi(spark, sf):
     sp = D.stratified_split(members(spark, sf), ID, Y)
     return X.psi_table(sp.filter("split = 'train'"), sp.filter("split = 'test'"), "visits")
+
+
+_BIG = 2000
+
+
+@register("g3_candidates_large_capacity", f"""
+r AS (SELECT *, row_number() OVER (PARTITION BY model_key ORDER BY y_score DESC, member_id) AS rk
+      FROM scores WHERE y_score >= 0.2)
+SELECT model_key, member_id, y_score AS churn_probability, y_true AS actual_churn_for_evaluation,
+       {_GRADE} AS risk_grade FROM r WHERE rk <= {_BIG}""")
+def g3_candidates_large_capacity(spark, sf):
+    # capacity above the per-task limit path: exercises the histogram cut
+    return G.candidates(scores(spark, sf), ID, "y_score", 0.2, _BIG, y="y_true", by=K)

@@ -30,6 +30,8 @@ def get_spark(master: str | None = None, app: str = "churnlab",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = os.environ.get("CHURNLAB_DRIVER_MEMORY", "12g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -67,3 +69,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df):
+    """Cut the lineage of a table that several jobs will read (iterative fits,
+    sweeps): reliable ``checkpoint()`` into the shared checkpoint folder. The
+    written copy survives executor loss; ``localCheckpoint`` would not."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
