@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import reuse
 from . import members as M
 
 ID = "member_id"
@@ -14,12 +15,18 @@ CAT = ["segment", "region", "pref"]
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.members(spark, sf_dir)
+    """The member table, computed once per plan that reads it.
+
+    Queries read it several times (aggregates, scalar subqueries, joins
+    back); without it each read would redo the join of orders, lines,
+    events and customers.
+    """
+    return reuse(M.members(spark, sf_dir))
 
 
 def planted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.with_planted(M.members(spark, sf_dir))
+    return reuse(M.with_planted(M.members(spark, sf_dir)))
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.scores(M.members(spark, sf_dir))
+    return reuse(M.scores(M.members(spark, sf_dir)))

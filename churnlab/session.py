@@ -71,9 +71,21 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def materialize(df):
+def materialize(df, name: str = "stage"):
     """Cut the lineage of a table that several jobs will read (iterative fits,
-    sweeps): reliable ``checkpoint()`` into the shared checkpoint folder. The
-    written copy survives executor loss; ``localCheckpoint`` would not."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    sweeps, profiles): write it as Parquet into the shared checkpoint folder
+    and read it back. One computation (``checkpoint()`` of an unpersisted
+    plan computes it twice), a columnar copy that later scans prune and
+    filter, and it survives executor loss; ``localCheckpoint`` would not."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def reuse(df):
+    """Keep a table that one plan reads several times (aggregate + scalar
+    subquery + join back): computed once, lazily, spilled to disk when memory
+    is short; lost blocks are recomputed from lineage on executor loss."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
