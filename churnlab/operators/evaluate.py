@@ -88,7 +88,7 @@ def _auc_ap(cum: DataFrame, by: Sequence[str]) -> DataFrame:
     pn = F.col("P") * F.col("N")
     return (cum.groupBy(*by)
             .agg(F.sum(F.col("pos") * (F.col("N") - F.col("fp") + 0.5 * F.col("neg"))).alias("_auc_num"),
-                 F.sum(F.col("pos") / F.col("P") * (F.col("tp") / (F.col("tp") + F.col("fp")))).alias("_ap"),
+                 F.sum(F.try_divide(F.col("pos"), F.col("P")) * (F.col("tp") / (F.col("tp") + F.col("fp")))).alias("_ap"),
                  F.first("P").alias("P"), F.first("N").alias("N"))
             .select(*by,
                     F.when(pn > 0, F.col("_auc_num") / pn).alias("roc_auc"),
@@ -111,7 +111,8 @@ def roc_curve(df: DataFrame, y: str, s: str, by: Sequence[str] = ()) -> DataFram
     points; the area is the same."""
     cum = cumulative(df, y, s, by)
     pts = cum.select(*by, F.col("score").alias("threshold"),
-                     (F.col("fp") / F.col("N")).alias("fpr"), (F.col("tp") / F.col("P")).alias("tpr"))
+                     F.try_divide(F.col("fp"), F.col("N")).alias("fpr"),
+                     F.try_divide(F.col("tp"), F.col("P")).alias("tpr"))
     start = (cum.groupBy(*by).agg(F.lit(float("inf")).alias("threshold"))
              .withColumn("fpr", F.lit(0.0)).withColumn("tpr", F.lit(0.0)))
     return pts.unionByName(start)
@@ -123,7 +124,7 @@ def pr_curve(df: DataFrame, y: str, s: str, by: Sequence[str] = ()) -> DataFrame
     cum = cumulative(df, y, s, by)
     pts = cum.select(*by, F.col("score").alias("threshold"),
                      (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-                     F.when(F.col("P") > 0, F.col("tp") / F.col("P")).otherwise(F.lit(1.0)).alias("recall"))
+                     F.when(F.col("P") > 0, F.try_divide(F.col("tp"), F.col("P"))).otherwise(F.lit(1.0)).alias("recall"))
     end = (cum.groupBy(*by).agg(F.lit(None).cast("double").alias("threshold"))
            .withColumn("precision", F.lit(1.0)).withColumn("recall", F.lit(0.0)))
     return pts.unionByName(end)
@@ -159,7 +160,7 @@ def best_f1_threshold(df: DataFrame, y: str, s: str, by: Sequence[str] = ()) ->
     ``2pr/(p+r+1e-12)`` in ascending threshold order. ``(by..., threshold, f1)``."""
     cum = cumulative(df, y, s, by)
     p = F.col("tp") / (F.col("tp") + F.col("fp"))
-    r = F.when(F.col("P") > 0, F.col("tp") / F.col("P")).otherwise(F.lit(1.0))
+    r = F.when(F.col("P") > 0, F.try_divide(F.col("tp"), F.col("P"))).otherwise(F.lit(1.0))
     f1 = 2 * p * r / (p + r + F.lit(1e-12))
     best = cum.groupBy(*by).agg(F.max(F.struct(f1.alias("f1"), (-F.col("score")).alias("_nt"))).alias("_b"))
     return best.select(*by, (-F.col("_b._nt")).alias("threshold"), F.col("_b.f1").alias("f1"))

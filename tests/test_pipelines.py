@@ -1,0 +1,160 @@
+"""Properties of splits, sources / sinks, models and streaming."""
+
+import json
+import os
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from churnlab.operators import evaluate as E
+from churnlab.operators import models as M
+from churnlab.operators import splits as D
+from churnlab.operators.knn import KNNClassifier
+from churnlab.plans import members as MB
+from churnlab.sources import files as A
+from conftest import SF_MID, SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def planted_mid(spark):
+    return MB.with_planted(MB.members(spark, SF_MID)).cache()
+
+
+def test_split_exact_per_class_and_stable(spark, planted_mid):
+    a = D.stratified_split(planted_mid, "member_id", "churn", 0.2, 42)
+    b = D.stratified_split(planted_mid.repartition(7), "member_id", "churn", 0.2, 42)
+    ja = {r["member_id"]: r["split"] for r in a.select("member_id", "split").collect()}
+    jb = {r["member_id"]: r["split"] for r in b.select("member_id", "split").collect()}
+    assert ja == jb
+    per = a.groupBy("churn").agg(F.count(F.lit(1)).alias("n"),
+                                 F.count(F.when(F.col("split") == "test", 1)).alias("t")).collect()
+    for r in per:
+        assert r["t"] == int(np.floor(r["n"] * 0.2 + 0.5))
+    three = D.three_way_split(planted_mid, "member_id", "churn", 0.2, 0.25, 42)
+    assert three.count() == planted_mid.count()
+    assert {r[0] for r in three.select("split").distinct().collect()} == {"train", "validation", "test"}
+
+
+def test_even_sample_quota_and_bound(spark, planted_mid):
+    s = D.even_sample(planted_mid, "member_id", max_rows=500, chunk=200)
+    assert s.count() == 500
+    assert D.even_sample(planted_mid, "member_id", max_rows=10_000).count() == planted_mid.count()
+
+
+def test_kfold_and_undersample(spark, planted_mid):
+    folds = D.kfold(planted_mid, "member_id", "churn", 5).groupBy("fold").count().collect()
+    sizes = sorted(r["count"] for r in folds)
+    assert len(sizes) == 5 and sizes[-1] - sizes[0] <= 2
+    u = D.undersample(planted_mid, "member_id", "churn").groupBy("churn").count().collect()
+    assert len({r["count"] for r in u}) == 1
+
+
+def test_csv_reader_nulls_pandas_tokens(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "m.csv")
+    with open(path, "w") as f:
+        f.write("id,name,score\n1,None,1.5\n2,NA,NA\n3,,2\n4,\"x, y\",3\n")
+    df = A.read_members(spark, path, schema="id long, name string, score double")
+    rows = {r["id"]: (r["name"], r["score"]) for r in df.collect()}
+    assert rows == {1: (None, 1.5), 2: (None, None), 3: (None, 2.0), 4: ("x, y", 3.0)}
+    assert A.read_members(spark, path, schema="id long, name string, score double", columns=["id"],
+                          limit=2).count() == 2
+
+
+def test_read_results_heterogeneous_records(spark, tmpdir_path):
+    from churnlab.plans.q_sources import write_record_files
+    new = {"model_key": "lightgbm_50", "accuracy": 0.66, "pr_auc": 0.57, "auc_score": 0.69,
+           "confusion_matrix": [[1, 2], [3, 4]], "experiment": {"dataset": "50", "feature_count": 11}}
+    old = {"model_key": "knn", "auc_score": 0.59, "confusion_matrix": [[5, 6], [7, 8]],
+           "experiment": {"comparison_axis": "feature_set", "feature_set": "full"}}
+    write_record_files(tmpdir_path, [new, old])
+    got = {r["model_key"]: r for r in A.read_results(spark, os.path.join(tmpdir_path, "*_results.json")).collect()}
+    assert got["knn"]["accuracy"] is None and got["knn"]["pr_auc"] is None
+    assert got["lightgbm_50"]["confusion_matrix"][1][1] == 4
+    assert got["lightgbm_50"]["experiment"]["feature_count"] == 11
+
+
+def test_upsert_is_idempotent(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "results")
+    new = spark.createDataFrame([("a", "x", 0.1), ("b", "x", 0.2)], "model_key string, label string, f1 double")
+    A.upsert(spark, path, new)
+    upd = spark.createDataFrame([("a", "x", 0.9), ("a", "y", 0.3)], new.schema)
+    A.upsert(spark, path, upd)
+    once = sorted(tuple(r) for r in A.upsert(spark, path, upd).collect())
+    assert once == sorted([("a", "x", 0.9, 1), ("a", "y", 0.3, 1), ("b", "x", 0.2, 1)])
+
+
+def test_logistic_on_planted_label_and_reload(spark, planted_mid, tmpdir_path):
+    df = D.stratified_split(planted_mid, "member_id", "planted", 0.2, 42)
+    spec = M.ModelSpec("logistic", "logistic", {"C": 1.0, "maxIter": 200})
+    model = M.fit(spec, df, ["visits", "returns", "urgent", "fee"], ["pref"], "planted", fit_where="split = 'train'")
+    test = df.filter("split = 'test'")
+    sc = M.score(model, test, keep=["member_id", F.col("planted").alias("y")])
+    auc = E.roc_auc(sc, "y", "y_score").first()[0]
+    assert auc > 0.65
+    path = A.save_model(model, os.path.join(tmpdir_path, "lr"))
+    again = M.score(A.load_model(path), test, keep=["member_id"]).withColumnRenamed("y_score", "s2")
+    j = sc.join(again, "member_id").agg(F.max(F.abs(F.col("y_score") - F.col("s2")))).first()[0]
+    assert j < 1e-12
+    imp = M.importances(model, k=3).collect()
+    assert len(imp) == 3
+
+
+def _brute_knn(train, query, feats, k, weights):
+    out = {}
+    X = train[feats].to_numpy(float)
+    for _, q in query.iterrows():
+        d = np.sqrt(((X - q[feats].to_numpy(float)) ** 2).sum(axis=1))
+        order = np.lexsort((train["id"].to_numpy(), d))[:k]
+        y, dd = train["y"].to_numpy(float)[order], d[order]
+        if weights == "distance":
+            z = dd == 0
+            out[q["id"]] = y[z].mean() if z.any() else (y / dd).sum() / (1 / dd).sum()
+        else:
+            out[q["id"]] = y.mean()
+    return out
+
+
+@pytest.mark.parametrize("weights", ["uniform", "distance"])
+def test_knn_blocks_match_brute_force(spark, weights):
+    rng = np.random.default_rng(17)
+    tr = pd.DataFrame({"id": np.arange(300, dtype="int64"), "a": rng.integers(0, 4, 300).astype(float),
+                       "b": rng.integers(0, 3, 300).astype(float), "y": rng.integers(0, 2, 300)})
+    qu = pd.DataFrame({"id": np.arange(1000, 1040, dtype="int64"), "a": rng.integers(0, 4, 40).astype(float),
+                       "b": rng.integers(0, 3, 40).astype(float)})
+    knn = KNNClassifier(["a", "b"], "y", "id", k=7, weights=weights, block_rows=64, query_rows=16)
+    got = {r["id"]: r["knn_score"] for r in knn.fit(spark.createDataFrame(tr))
+           .transform(spark.createDataFrame(qu)).collect()}
+    exp = _brute_knn(tr, qu, ["a", "b"], 7, weights)
+    assert set(got) == set(exp)
+    for k in exp:
+        assert got[k] == pytest.approx(exp[k], abs=1e-12)
+
+
+def test_streaming_scoring_and_monitor(spark, tmpdir_path, planted_mid):
+    from churnlab.streaming.monitor import event_activity
+    from churnlab.streaming.scoring import start_scoring
+    df = D.stratified_split(planted_mid, "member_id", "planted", 0.2, 42)
+    model = M.fit(M.ModelSpec("logistic", "logistic", {"maxIter": 50}), df, ["visits", "returns"], [],
+                  "planted", fit_where="split = 'train'")
+    src = os.path.join(tmpdir_path, "in")
+    df.select("member_id", "visits", "returns").repartition(3).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    q = start_scoring(spark, model, src, schema, os.path.join(tmpdir_path, "out"),
+                      os.path.join(tmpdir_path, "chk"), "member_id", 0.5)
+    q.awaitTermination(120)
+    out = spark.read.parquet(os.path.join(tmpdir_path, "out"))
+    assert out.count() == df.count()
+
+    ev_schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
+    stream = spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet").parquet(SF_SMALL)
+    agg = event_activity(stream, window="1 day", watermark="0 seconds")
+    mq = (agg.writeStream.format("memory").queryName("activity_t").outputMode("append")
+          .trigger(availableNow=True).start())
+    mq.awaitTermination(120)
+    got = spark.sql("SELECT sum(events) FROM activity_t").first()[0]
+    batch = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    last_day = batch.agg(F.max(F.to_date("ts"))).first()[0]
+    expected = batch.filter(F.to_date("ts") < F.lit(last_day)).count()
+    assert got is not None and got >= expected
