@@ -58,6 +58,14 @@ def c4_date_features(spark, sf):
     return out.select(ID, "start_year", "start_month", "start_weekday", "start_days")
 
 
+@register("c5_days_since_latest_start", """
+SELECT member_id, CAST(datediff('day', start_date, (SELECT max(start_date) FROM members)) AS INTEGER) AS start_days
+FROM members""")
+def c5_days_since_latest_start(spark, sf):
+    # the reference date is the table's own latest start, planned as a scalar subquery
+    return C.date_features(members(spark, sf), "start_date").select(ID, "start_days")
+
+
 @register("c6_days_since_stored_date", """
 SELECT member_id, CAST(year(start_date) AS INTEGER) AS start_year,
        CAST(CASE WHEN start_date IS NULL THEN NULL

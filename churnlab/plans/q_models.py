@@ -143,8 +143,8 @@ def h11_search(spark, sf):
     return spark.createDataFrame(rows, "reg_param double, validation_auc double")
 
 
-@register("c15_feature_pipeline")
-def c15_feature_pipeline(spark, sf):
+@register("c15_column_transformer")
+def c15_column_transformer(spark, sf):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
     df = _prepared(spark, sf)
