@@ -104,14 +104,52 @@ def value_histogram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
             .groupBy(*by, name_col, value_col).agg(F.count(F.lit(1)).alias("n")))
 
 
+# A column with at most this many distinct values is summarised with Spark's
+# exact ``percentile`` (a value -> count map per group, bounded by this size).
+MAP_QUANTILE_MAX = 100_000
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = (), name_col: str = "feature",
-                    buckets: int | None = None) -> DataFrame:
+                    buckets: int | None = None, method: str = "auto",
+                    map_max: int = MAP_QUANTILE_MAX) -> DataFrame:
     """Exact quantiles, linear interpolation, nulls ignored.
 
-    Returns ``(by..., column, prob, value)``. Same definition as pandas
+    Returns ``(by..., feature, prob, value)``. Same definition as pandas
     ``Series.quantile``, NumPy ``quantile`` and DuckDB ``quantile_cont``.
+
+    ``method='auto'`` checks each column's distinct count first (one
+    HyperLogLog aggregate): columns with at most ``map_max`` distinct values
+    use the built-in exact ``percentile`` (its per-group value map is then
+    bounded); the others use the distributed histogram path, whose largest
+    task holds one range of one column's distinct values.
     """
+    cols, by = list(cols), list(by)
+    if method == "auto":
+        card = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+        small = [c for c in cols if card[c] <= map_max]
+    else:
+        small = cols if method == "map" else []
+    large = [c for c in cols if c not in small]
+    parts = []
+    if small:
+        p_arr = F.array(*[F.lit(float(p)) for p in probs])
+        wide = df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), p_arr).alias(c) for c in small])
+        items = ", ".join(f"'{c}', `{c}`" for c in small)
+        long = wide.select(*by, F.expr(f"stack({len(small)}, {items}) as ({name_col}, _qs)"))
+        parts.append(long.filter(F.col("_qs").isNotNull())
+                     .select(*by, name_col, F.posexplode("_qs").alias("_i", "value"))
+                     .select(*by, name_col, F.element_at(p_arr, F.col("_i") + 1).alias("prob"), "value"))
+    if large:
+        parts.append(_histogram_quantiles(df, large, probs, by, name_col, buckets))
+    out = parts[0]
+    for extra in parts[1:]:
+        out = out.unionByName(extra)
+    return out
+
+
+def _histogram_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                         by: Sequence[str], name_col: str, buckets: int | None) -> DataFrame:
     by = list(by)
     grp = [*by, name_col]
     hist = value_histogram(df, cols, by, name_col, "value")
@@ -133,10 +171,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                                       & (r < F.col("cum_n")))).alias("_r")))
     lo = hit.select(*grp, F.col("_r").alias("_lo"), F.col("value").alias("_vlo"))
     hi = hit.select(*grp, F.col("_r").alias("_hi"), F.col("value").alias("_vhi"))
-    res = (wanted.join(lo, [*grp, "_lo"]).join(hi, [*grp, "_hi"])
-           .select(*grp, "prob",
-                   (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value")))
-    return res
+    return (wanted.join(lo, [*grp, "_lo"]).join(hi, [*grp, "_hi"])
+            .select(*grp, "prob",
+                    (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value")))
 
 
 def quantile_columns(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

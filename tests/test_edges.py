@@ -127,12 +127,14 @@ def test_exact_quantiles_match_numpy(spark):
     vals[::17] = np.nan
     pdf = pd.DataFrame({"a": vals, "b": rng.integers(0, 4, 201).astype(float)})
     df = spark.createDataFrame(pdf).withColumn("a", F.when(F.isnan("a"), None).otherwise(F.col("a")))
-    q = {(r["feature"], r["prob"]): r["value"]
-         for r in O.exact_quantiles(df, ["a", "b"], [0.1, 0.25, 0.5, 0.75, 0.9], buckets=4).collect()}
-    for c in ("a", "b"):
-        x = pdf[c].dropna().to_numpy()
-        for p in (0.1, 0.25, 0.5, 0.75, 0.9):
-            assert q[(c, p)] == pytest.approx(np.quantile(x, p), abs=1e-12)
+    for method in ("histogram", "map", "auto"):
+        q = {(r["feature"], r["prob"]): r["value"]
+             for r in O.exact_quantiles(df, ["a", "b"], [0.1, 0.25, 0.5, 0.75, 0.9], buckets=4,
+                                        method=method, map_max=10).collect()}
+        for c in ("a", "b"):
+            x = pdf[c].dropna().to_numpy()
+            for p in (0.1, 0.25, 0.5, 0.75, 0.9):
+                assert q[(c, p)] == pytest.approx(np.quantile(x, p), abs=1e-12)
 
 
 @pytest.mark.parametrize("cap", [1, 7, 100, 1000, 5000])
