@@ -66,7 +66,7 @@ def _classifier(spec: ModelSpec, n_features: int, n_train: int, label: str, seed
         c = float(p.pop("C", 1.0))
         lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (c * max(n_train, 1)),
                                 elasticNetParam=0.0, standardization=False,
-                                maxIter=int(p.pop("maxIter", 100)), tol=float(p.pop("tol", 1e-6)))
+                                maxIter=int(p.pop("maxIter", 100)), tol=float(p.pop("tol", 1e-4)))
         return lr.setWeightCol("_w") if spec.balanced else lr
     if spec.kind == "randomforest":
         return RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed, **p)

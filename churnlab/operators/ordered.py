@@ -202,24 +202,24 @@ def rank_cut(df: DataFrame, key: str, id_col: str, n: int | Column,
     # the border key: first key whose running count reaches the capacity
     border = (run.filter((F.col("_cum_kn") >= F.col("_cap")) & (F.col("_cum_kn") - F.col("_kn") < F.col("_cap")))
               .select(*by, F.col(key).alias("_bkey"),
-                      (F.col("_cap") - (F.col("_cum_kn") - F.col("_kn"))).alias("_need")))
+                      (F.col("_cap") - (F.col("_cum_kn") - F.col("_kn"))).alias("_need"),
+                      F.col("_kn").alias("_bkn")))
     if by:
         tagged = df.join(border, by, "left")
     else:
-        b = border.select(F.struct("_bkey", "_need").alias("_b"))
-        tagged = df.withColumn("_b", b.scalar()).select("*", "_b._bkey", "_b._need").drop("_b")
+        b = border.select(F.struct("_bkey", "_need", "_bkn").alias("_b"))
+        tagged = df.withColumn("_b", b.scalar()).select("*", "_b._bkey", "_b._need", "_b._bkn").drop("_b")
     # rows tied at the border key: admit the first `_need` ids
-    ties = tagged.filter(F.col(key) == F.col("_bkey")).select(*by, key, id_col, "_need")
-    ties = ties.withColumn("_one", F.lit(1).cast("long"))
-    tie_run = running_totals(ties, id_col, ["_one"], by=[*by], buckets=buckets, prefix="_cum")
-    tie_ok = tie_run.filter(F.col("_cum_one") <= F.col("_need")).select(*by, id_col).withColumn("_tie_in", F.lit(True))
+    ties = tagged.filter(F.col(key) == F.col("_bkey")).select(*by, key, id_col, "_need", "_bkn")
+    tie_pos = _tie_positions(ties, key, id_col, by, "_bkn", buckets)
+    tie_ok = tie_pos.filter(F.col("_pos") <= F.col("_need")).select(*by, id_col).withColumn("_tie_in", F.lit(True))
     out = (tagged.join(tie_ok, [*by, id_col], "left")
            .withColumn("_in_top",
                        F.when(F.col("_bkey").isNull(), F.lit(True))   # fewer rows than capacity
                        .when(F.col(key) > F.col("_bkey"), F.lit(True))
                        .when(F.col(key) == F.col("_bkey"), F.coalesce(F.col("_tie_in"), F.lit(False)))
                        .otherwise(F.lit(False))))
-    return out.drop("_bkey", "_need", "_tie_in")
+    return out.drop("_bkey", "_need", "_bkn", "_tie_in")
 
 
 def global_rank(df: DataFrame, key: str, id_col: str, by: Sequence[str] = (),
@@ -234,12 +234,33 @@ def global_rank(df: DataFrame, key: str, id_col: str, by: Sequence[str] = (),
     hist = df.groupBy(*by, key).agg(F.count(F.lit(1)).alias("_kn"))
     run = running_totals(hist, key, ["_kn"], by=by, buckets=buckets,
                          prefix="_cum", descending=True)
-    off = run.select(*by, key, (F.col("_cum_kn") - F.col("_kn")).alias("_above"))
-    one = df.withColumn("_one", F.lit(1).cast("long"))
-    within = running_totals(one, id_col, ["_one"], by=[*by, key], buckets=buckets, prefix="_cum")
-    return (within.join(off, [*by, key])
-            .withColumn(name, F.col("_above") + F.col("_cum_one"))
-            .drop("_above", "_cum_one", "_one"))
+    off = run.select(*by, key, (F.col("_cum_kn") - F.col("_kn")).alias("_above"), "_kn")
+    tagged = df.join(off, [*by, key])
+    pos = _tie_positions(tagged, key, id_col, by, "_kn", buckets)
+    return (pos.withColumn(name, F.col("_above") + F.col("_pos"))
+            .drop("_above", "_pos", "_kn"))
+
+
+# Tie groups up to this size are ranked with one window task each.
+TIE_WINDOW_MAX = 100_000
+
+
+def _tie_positions(df: DataFrame, key: str, id_col: str, by: Sequence[str], size_col: str,
+                   buckets: int | None) -> DataFrame:
+    """1-based position ``_pos`` of each row among the rows sharing its key,
+    by ascending id. ``size_col`` holds the size of the row's tie group
+    (known from the key histogram): groups within ``TIE_WINDOW_MAX`` rows use
+    a plain window, larger ones a running count over id ranges, so a key held
+    by a third of the table is not ranked in one task."""
+    by = list(by)
+    small = df.filter(F.col(size_col) <= TIE_WINDOW_MAX)
+    large = df.filter(F.col(size_col) > TIE_WINDOW_MAX)
+    w = Window.partitionBy(*by, key).orderBy(id_col)
+    a = small.withColumn("_pos", F.row_number().over(w).cast("long"))
+    one = large.withColumn("_one", F.lit(1).cast("long"))
+    b = (running_totals(one, id_col, ["_one"], by=[*by, key], buckets=buckets, prefix="_cum")
+         .withColumnRenamed("_cum_one", "_pos").drop("_one"))
+    return a.unionByName(b)
 
 
 # Spark plans ``row_number() <= k`` as a map-side WindowGroupLimit (each task

@@ -137,8 +137,10 @@ def test_exact_quantiles_match_numpy(spark):
                 assert q[(c, p)] == pytest.approx(np.quantile(x, p), abs=1e-12)
 
 
+@pytest.mark.parametrize("tie_max", [100_000, 50])
 @pytest.mark.parametrize("cap", [1, 7, 100, 1000, 5000])
-def test_rank_cut_with_a_heavy_tie(spark, cap):
+def test_rank_cut_with_a_heavy_tie(spark, cap, tie_max, monkeypatch):
+    monkeypatch.setattr(O, "TIE_WINDOW_MAX", tie_max)   # 50: tie groups take the id-range path
     rng = np.random.default_rng(11)
     n = 1500
     s = np.where(np.arange(n) % 3 == 0, 0.5, np.round(rng.random(n), 3))   # a third share one score
@@ -151,7 +153,9 @@ def test_rank_cut_with_a_heavy_tie(spark, cap):
     assert got2 == exp
 
 
-def test_global_rank_and_lift_deciles(spark):
+@pytest.mark.parametrize("tie_max", [100_000, 5])
+def test_global_rank_and_lift_deciles(spark, tie_max, monkeypatch):
+    monkeypatch.setattr(O, "TIE_WINDOW_MAX", tie_max)
     rng = np.random.default_rng(13)
     n = 257
     pdf = pd.DataFrame({"id": np.arange(n, dtype="int64"), "s": np.round(rng.random(n), 1),
