@@ -211,7 +211,8 @@ def rank_cut(df: DataFrame, key: str, id_col: str, n: int | Column,
         tagged = df.withColumn("_b", b.scalar()).select("*", "_b._bkey", "_b._need", "_b._bkn").drop("_b")
     # rows tied at the border key: admit the first `_need` ids
     ties = tagged.filter(F.col(key) == F.col("_bkey")).select(*by, key, id_col, "_need", "_bkn")
-    tie_pos = _tie_positions(ties, key, id_col, by, "_bkn", buckets)
+    max_tie = border.agg(F.max("_bkn")).first()[0]            # size check: one row per group
+    tie_pos = _tie_positions(ties, key, id_col, by, "_bkn", buckets, max_tie or 0)
     tie_ok = tie_pos.filter(F.col("_pos") <= F.col("_need")).select(*by, id_col).withColumn("_tie_in", F.lit(True))
     out = (tagged.join(tie_ok, [*by, id_col], "left")
            .withColumn("_in_top",
@@ -236,7 +237,8 @@ def global_rank(df: DataFrame, key: str, id_col: str, by: Sequence[str] = (),
                          prefix="_cum", descending=True)
     off = run.select(*by, key, (F.col("_cum_kn") - F.col("_kn")).alias("_above"), "_kn")
     tagged = df.join(off, [*by, key])
-    pos = _tie_positions(tagged, key, id_col, by, "_kn", buckets)
+    max_tie = hist.agg(F.max("_kn")).first()[0]               # size check on the key histogram
+    pos = _tie_positions(tagged, key, id_col, by, "_kn", buckets, max_tie or 0)
     return (pos.withColumn(name, F.col("_above") + F.col("_pos"))
             .drop("_above", "_pos", "_kn"))
 
@@ -246,16 +248,18 @@ TIE_WINDOW_MAX = 100_000
 
 
 def _tie_positions(df: DataFrame, key: str, id_col: str, by: Sequence[str], size_col: str,
-                   buckets: int | None) -> DataFrame:
+                   buckets: int | None, max_tie: int | None = None) -> DataFrame:
     """1-based position ``_pos`` of each row among the rows sharing its key,
     by ascending id. ``size_col`` holds the size of the row's tie group
     (known from the key histogram): groups within ``TIE_WINDOW_MAX`` rows use
     a plain window, larger ones a running count over id ranges, so a key held
     by a third of the table is not ranked in one task."""
     by = list(by)
+    w = Window.partitionBy(*by, key).orderBy(id_col)
+    if max_tie is not None and max_tie <= TIE_WINDOW_MAX:      # checked: every group is small
+        return df.withColumn("_pos", F.row_number().over(w).cast("long"))
     small = df.filter(F.col(size_col) <= TIE_WINDOW_MAX)
     large = df.filter(F.col(size_col) > TIE_WINDOW_MAX)
-    w = Window.partitionBy(*by, key).orderBy(id_col)
     a = small.withColumn("_pos", F.row_number().over(w).cast("long"))
     one = large.withColumn("_one", F.lit(1).cast("long"))
     b = (running_totals(one, id_col, ["_one"], by=[*by, key], buckets=buckets, prefix="_cum")

@@ -17,7 +17,14 @@ from oracle_check import compare  # noqa: E402
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     prefixes = sys.argv[2:]
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    if os.environ.get("PLAIN_SESSION"):
+        # the driver's own session: defaults except shuffle partitions
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = get_spark("local[8]", shuffle_partitions=8)
     checkpoint_dir(spark)
     qs, sqls = queries(), oracle_sql()
     bad = 0
