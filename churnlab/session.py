@@ -45,8 +45,9 @@ def get_spark(master: str | None = None, app: str = "churnlab",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset -- local tests and the bench -- a scratch folder is created.
+    Read from ``spark.checkpoint.dir`` (set by the cluster). Only in local mode
+    (tests, the bench) and only when it is unset, a scratch folder is created;
+    on a cluster a machine-local folder would not be shared, so it is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
         conf = tempfile.mkdtemp(prefix="churnlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
