@@ -45,7 +45,8 @@ def oracle_sql() -> dict[str, str]:
 def _load():
     # importing the modules registers their queries
     import importlib
-    for mod in ("q_profile", "q_features", "q_evaluate", "q_campaign", "q_models", "q_sources"):
+    for mod in ("q_profile", "q_features", "q_evaluate", "q_campaign", "q_models", "q_sources",
+                "q_streaming"):
         try:
             importlib.import_module(f"{__package__}.{mod}")
         except ModuleNotFoundError as e:

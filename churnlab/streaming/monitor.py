@@ -17,15 +17,28 @@ from pyspark.sql import functions as F
 
 
 def event_activity(events: DataFrame, ts: str = "ts", window: str = "1 day", watermark: str = "1 hour",
-                   by: Sequence[str] = ("event_type",), user: str = "user_id", value: str = "value") -> DataFrame:
+                   by: Sequence[str] = ("event_type",), user: str | None = "user_id",
+                   value: str = "value") -> DataFrame:
     # event time must be TIMESTAMP (parquet files may carry TIMESTAMP_NTZ)
+    aggs = [F.count(F.lit(1)).alias("events")]
+    if user:
+        aggs.append(F.approx_count_distinct(user).alias("users"))
+    aggs += [F.sum(value).alias("sum_value"), F.avg(value).alias("mean_value")]
     return (events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
             .groupBy(F.window(ts, window).alias("window"), *by)
-            .agg(F.count(F.lit(1)).alias("events"),
-                 F.approx_count_distinct(user).alias("users"),
-                 F.avg(value).alias("mean_value"))
+            .agg(*aggs)
             .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                    *by, "events", "users", "mean_value"))
+                    *by, *[a for a in ("events", "users", "sum_value", "mean_value") if a != "users" or user]))
+
+
+def run_to_table(stream_df: DataFrame, checkpoint: str, name: str) -> DataFrame:
+    """Drain a streaming aggregate (append mode, ``availableNow``) into an
+    in-memory table and return it as a batch DataFrame. The checkpoint goes to
+    the given (shared) folder."""
+    q = (stream_df.writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return stream_df.sparkSession.table(name)
 
 
 def score_drift(scored: DataFrame, ts: str, score: str = "churn_probability", threshold: float = 0.5,
