@@ -158,3 +158,17 @@ def test_streaming_scoring_and_monitor(spark, tmpdir_path, planted_mid):
     last_day = batch.agg(F.max(F.to_date("ts"))).first()[0]
     expected = batch.filter(F.to_date("ts") < F.lit(last_day)).count()
     assert got is not None and got >= expected
+
+
+def test_evaluation_sweep_writes_scores_and_records(spark, tmpdir_path):
+    from churnlab.plans.sweep import evaluation_sweep
+    spec = M.ModelSpec("logistic", "logistic", {"maxIter": 50})
+    res = evaluation_sweep(spark, SF_SMALL, [spec], {"full": ["visits", "returns", "urgent"]},
+                           tmpdir_path, exclude=(None, "returns", "absent_feature"))
+    rows = {r["model_key"]: r for r in res.collect()}
+    assert set(rows) == {"logistic_full", "logistic_full_without_returns"}
+    assert rows["logistic_full"]["excluded_feature"] is None
+    assert rows["logistic_full_without_returns"]["excluded_feature"] == "returns"
+    assert all(r["total"] == 30 for r in rows.values())          # 20 % of 150 members
+    scores = spark.read.parquet(os.path.join(tmpdir_path, "scores"))
+    assert scores.count() == 60
