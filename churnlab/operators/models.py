@@ -170,40 +170,68 @@ def score_members(model: PipelineModel, df: DataFrame, id_col: str, threshold: f
             .withColumn("risk_grade", risk_grade("churn_probability")))
 
 
+def spec_key(spec: ModelSpec, features: Sequence[str], categorical: Sequence[str]) -> str:
+    """Stable hash of a fit's inputs, used to reuse a saved model."""
+    import hashlib
+    import json
+    blob = json.dumps([spec.name, spec.kind, spec.params, spec.balanced, list(features), list(categorical)],
+                      sort_keys=True, default=str)
+    return hashlib.sha1(blob.encode()).hexdigest()[:12]
+
+
 def sweep(specs: Sequence[ModelSpec], df: DataFrame, datasets: dict, id_col: str, label: str,
           split_col: str = "split", exclude: Sequence[str | None] = (None,),
-          categorical: Sequence[str] = ()) -> DataFrame:
+          categorical: Sequence[str] = (), model_dir: str | None = None, parallel: int = 1) -> DataFrame:
     """Datasets x models x leave-one-feature-out variants.
 
     Each variant is fitted on the training split and scores the test split;
     the scored sets of all variants are returned as one table
     ``(model_key, id, y_true, y_score)`` so that the evaluation of every
     variant is one grouped job (``evaluate.metrics(..., by=['model_key'])``).
-    A feature excluded but absent from a dataset skips that variant.
+    A feature excluded but absent from a dataset skips that variant. With
+    ``model_dir`` a fitted pipeline is saved under a hash of its inputs and
+    reused on the next run; ``parallel`` > 1 submits fits from a thread pool
+    (Spark runs the jobs of different fits concurrently).
     """
+    from concurrent.futures import ThreadPoolExecutor
     from functools import reduce
     from ..session import materialize
+    from ..sources.files import load_model, path_exists, save_model
     from .knn import KNNClassifier
     df = materialize(df)   # every variant reads the same prepared table
-    out = []
+    test = df.filter(F.col(split_col) == "test")
+    truth = test.select(id_col, F.col(label).cast("int").alias("y_true"))
+    jobs = []
     for ds_name, feats in datasets.items():
         for spec in specs:
             for ex in exclude:
                 if ex is not None and ex not in feats:
                     continue
-                use = [f for f in feats if f != ex]
                 key = f"{spec.name}_{ds_name}" + (f"_without_{ex}" if ex else "")
-                test = df.filter(F.col(split_col) == "test")
-                if spec.kind == "knn":
-                    knn = KNNClassifier(use, label, id_col, **spec.params)
-                    sc = knn.fit(df.filter(F.col(split_col) == "train")).transform(test)
-                    sc = sc.select(id_col, F.col("knn_score").alias("y_score"))
-                else:
-                    m = fit(spec, df, use, [c for c in categorical if c != ex], label,
-                            fit_where=f"{split_col} = 'train'")
-                    sc = score(m, test, keep=[id_col])
-                sc = sc.join(test.select(id_col, F.col(label).cast("int").alias("y_true")), id_col)
-                out.append(sc.select(F.lit(key).alias("model_key"), id_col, "y_true", "y_score"))
+                jobs.append((key, spec, [f for f in feats if f != ex], [c for c in categorical if c != ex]))
+
+    def run(job):
+        key, spec, use, cats = job
+        if spec.kind == "knn":
+            knn = KNNClassifier(use, label, id_col, **spec.params)
+            sc = knn.fit(df.filter(F.col(split_col) == "train")).transform(test)
+            sc = sc.select(id_col, F.col("knn_score").alias("y_score"))
+        else:
+            path = f"{model_dir}/{key}-{spec_key(spec, use, cats)}" if model_dir else None
+            if path and path_exists(df.sparkSession, path):
+                m = load_model(path)
+            else:
+                m = fit(spec, df, use, cats, label, fit_where=f"{split_col} = 'train'")
+                if path:
+                    save_model(m, path)
+            sc = score(m, test, keep=[id_col])
+        return sc.join(truth, id_col).select(F.lit(key).alias("model_key"), id_col, "y_true", "y_score")
+
+    if parallel > 1:
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            out = list(pool.map(run, jobs))
+    else:
+        out = [run(j) for j in jobs]
     return reduce(DataFrame.unionByName, out)
 
 

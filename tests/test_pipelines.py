@@ -172,3 +172,17 @@ def test_evaluation_sweep_writes_scores_and_records(spark, tmpdir_path):
     assert all(r["total"] == 30 for r in rows.values())          # 20 % of 150 members
     scores = spark.read.parquet(os.path.join(tmpdir_path, "scores"))
     assert scores.count() == 60
+
+
+def test_sweep_reuses_saved_models_and_runs_in_parallel(spark, tmpdir_path):
+    df = D.stratified_split(MB.with_planted(MB.members(spark, SF_SMALL)), "member_id", "planted", 0.2, 42)
+    spec = M.ModelSpec("logistic", "logistic", {"maxIter": 30})
+    ds = {"full": ["visits", "returns"]}
+    a = M.sweep([spec], df, ds, "member_id", "planted", exclude=(None, "returns"),
+                model_dir=tmpdir_path, parallel=2)
+    first = sorted((r["model_key"], r["member_id"], r["y_score"]) for r in a.collect())
+    saved = sorted(os.listdir(tmpdir_path))
+    assert len(saved) == 2
+    b = M.sweep([spec], df, ds, "member_id", "planted", exclude=(None, "returns"), model_dir=tmpdir_path)
+    second = sorted((r["model_key"], r["member_id"], r["y_score"]) for r in b.collect())
+    assert first == second and sorted(os.listdir(tmpdir_path)) == saved
