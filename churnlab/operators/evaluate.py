@@ -74,11 +74,11 @@ def _with_totals(run: DataFrame, hist: DataFrame, by: Sequence[str]) -> DataFram
 
 
 def cumulative(df: DataFrame, y: str, s: str, by: Sequence[str] = (),
-               buckets: int | None = None) -> DataFrame:
+               buckets: int | None = None, hist: DataFrame | None = None) -> DataFrame:
     """Per distinct score: ``tp``/``fp`` = positives / negatives with score >= it,
     plus group totals ``P`` and ``N``."""
-    hist = score_histogram(df, y, s, by)
-    run = running_totals(hist, "score", ["pos", "neg"], by=by, buckets=buckets,
+    hist = hist if hist is not None else score_histogram(df, y, s, by)
+    run = running_totals(hist.filter(F.col("score").isNotNull()), "score", ["pos", "neg"], by=by, buckets=buckets,
                          prefix="c_", descending=True)
     run = run.withColumnRenamed("c_pos", "tp").withColumnRenamed("c_neg", "fp")
     return _with_totals(run, hist, by)
@@ -168,11 +168,23 @@ def best_f1_threshold(df: DataFrame, y: str, s: str, by: Sequence[str] = ()) ->
 
 def metrics(df: DataFrame, y: str, s: str, t: float = 0.5, by: Sequence[str] = ()) -> DataFrame:
     """Threshold metric bundle (F11): confusion counts, rates, ROC-AUC, AP,
-    selected / actual churners / total -- one row per group."""
+    selected / actual churners / total -- one row per group.
+
+    The scored set is read once: the confusion counts at ``t`` and the
+    curve sums both come from the same score histogram.
+    """
     by = list(by)
-    c = classification_metrics(df, y, s, t, by)
-    a = _auc_ap(cumulative(df, y, s, by), by)
-    j = c.join(a, by) if by else c.withColumn("_a", a.select(F.struct("roc_auc", "pr_auc")).scalar()) \
+    hist = score_histogram(df, y, s, by)
+    at = F.col("score") >= F.lit(float(t))
+    conf = hist.groupBy(*by).agg(
+        F.coalesce(F.sum(F.when(~at, F.col("neg"))), F.lit(0)).alias("tn"),
+        F.coalesce(F.sum(F.when(at, F.col("neg"))), F.lit(0)).alias("fp"),
+        F.coalesce(F.sum(F.when(~at, F.col("pos"))), F.lit(0)).alias("fn"),
+        F.coalesce(F.sum(F.when(at, F.col("pos"))), F.lit(0)).alias("tp"))
+    tn, fp, fn, tp = (F.col(x) for x in ("tn", "fp", "fn", "tp"))
+    c = conf.select(*by, *_rates(tn, fp, fn, tp), "tn", "fp", "fn", "tp")
+    a = _auc_ap(cumulative(df, y, s, by, hist=hist), by)
+    j = c.join(a, by, "left") if by else c.withColumn("_a", a.select(F.struct("roc_auc", "pr_auc")).scalar()) \
         .select("*", "_a.roc_auc", "_a.pr_auc").drop("_a")
     return j.select(*by, F.lit(float(t)).alias("threshold"), "accuracy", "precision", "recall", "f1",
                     "roc_auc", "pr_auc", "tn", "fp", "fn", "tp",
