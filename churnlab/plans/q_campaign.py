@@ -37,7 +37,7 @@ def g1_business_score(spark, sf):
 
 
 @register("g2_rank_models", _SCORED + """
-SELECT *, row_number() OVER (PARTITION BY preset ORDER BY business_score DESC, model_key) AS rank,
+SELECT *, CAST(row_number() OVER (PARTITION BY preset ORDER BY business_score DESC, model_key) AS INTEGER) AS rank,
        row_number() OVER (PARTITION BY preset ORDER BY business_score DESC, model_key) = 1 AS winner FROM bs""")
 def g2_rank_models(spark, sf):
     return G.rank_models(G.business_score(_metrics(spark, sf), G.weights_table(spark)))

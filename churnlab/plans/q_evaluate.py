@@ -107,7 +107,7 @@ def f9_best_f1_threshold(spark, sf):
 
 
 _BUNDLE = _CONF + ",\n" + _HIST + ",\n" + _AUC + f"""
-SELECT conf.model_key, 0.5 AS threshold, {_RATES}, roc_auc, pr_auc, tn, fp, fn, tp,
+SELECT conf.model_key, 0.5::DOUBLE AS threshold, {_RATES}, roc_auc, pr_auc, tn, fp, fn, tp,
        tp + fp AS selected, tp + fn AS actual_churn, tn + fp + fn + tp AS total
 FROM conf JOIN auc ON conf.model_key = auc.model_key"""
 

@@ -191,7 +191,7 @@ def c16_to_xy(spark, sf):
 @register("c20_top_half_features", """
 imp AS (""" + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS feature, abs(corr({c}::DOUBLE, churn::DOUBLE)) AS importance FROM members" for c in NUM) + """),
-r AS (SELECT feature, importance, row_number() OVER (ORDER BY importance DESC, feature) AS rank,
+r AS (SELECT feature, importance, CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank,
              count(*) OVER () AS n FROM imp)
 SELECT feature, importance, rank FROM r WHERE rank <= floor(n * 0.5)""")
 def c20_top_half_features(spark, sf):

@@ -23,14 +23,19 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return _CONS[sf_dir]
 
 
+import os
+
+STRICT = bool(os.environ.get("ORACLE_STRICT"))   # exact values, no tolerance
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        if math.isinf(v):
-            return v
+        if math.isinf(v) or STRICT:
+            return v + 0.0
         return round(v, 6) + 0.0
     if isinstance(v, bool):
         return int(v)
@@ -55,7 +60,7 @@ def _close(a, b):
             a, b = float(a), float(b)
         except (TypeError, ValueError):
             return False
-        if math.isinf(a) or math.isinf(b):
+        if math.isinf(a) or math.isinf(b) or STRICT:
             return a == b
         return abs(a - b) <= 1e-6 * max(1.0, abs(a), abs(b))
     return a == b

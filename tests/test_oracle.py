@@ -16,6 +16,11 @@ def test_every_query_is_callable_and_named():
     assert len(QUERIES) >= 90
 
 
+def _doubles(df):
+    from pyspark.sql import types as T
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+
+
 # Output columns depend on the data: indicator columns exist only for columns
 # with nulls among the training rows, and sf0.001 has none.
 DATA_DEPENDENT_SCHEMA = {"c13_median_imputer"}
@@ -23,9 +28,28 @@ DATA_DEPENDENT_SCHEMA = {"c13_median_imputer"}
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_duckdb(spark, name):
+    from churnlab.plans.double_columns import DOUBLE_COLUMNS
     sf = SF_MID if name in DATA_DEPENDENT_SCHEMA else SF_SMALL
-    ok, msg = compare(QUERIES[name](spark, sf), SQL[name], sf)
+    df = QUERIES[name](spark, sf)
+    assert _doubles(df) == DOUBLE_COLUMNS.get(name, []), "regenerate churnlab/plans/double_columns.py"
+    ok, msg = compare(df, SQL[name], sf)
     assert ok, msg
+    assert _types(df) == _duck_types(SQL[name], sf)
+
+
+_SPARK_TO_DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                  "DateType": "DATE", "BooleanType": "BOOLEAN", "TimestampType": "TIMESTAMP"}
+
+
+def _types(df):
+    return {f.name: _SPARK_TO_DUCK.get(type(f.dataType).__name__, f.dataType.simpleString())
+            for f in df.schema.fields}
+
+
+def _duck_types(sql, sf):
+    from oracle_check import duck
+    rel = duck(sf).sql(sql)
+    return {c: str(t) for c, t in zip(rel.columns, rel.types)}
 
 
 def test_entry_smoke(spark):
