@@ -188,3 +188,12 @@ def e9_knn_distance(spark, sf):
     df = _knn_input(spark, sf)
     knn = KNNClassifier(KNN_FEATS, LABEL, ID, k=15, weights="distance")
     return knn.fit(df.filter("split = 'train'")).transform(df.filter("split = 'test'"))
+
+
+@register("l1_preprocess_top_half")
+def l1_preprocess_top_half(spark, sf):
+    # the preprocessing batch: fills, dates, one-hot, split column, train-fitted
+    # scaling and the importance-ranked top half of the features
+    from .preprocess import preprocess
+    _, top_half, _ = preprocess(spark, sf, label=LABEL)
+    return top_half
