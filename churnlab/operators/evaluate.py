@@ -65,23 +65,15 @@ def score_histogram(df: DataFrame, y: str, s: str, by: Sequence[str] = ()) -> Da
                  F.count(F.when(F.col(y) != 1, 1)).alias("neg")))
 
 
-def _with_totals(run: DataFrame, hist: DataFrame, by: Sequence[str]) -> DataFrame:
-    tot = hist.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    if by:
-        return run.join(tot, list(by))
-    t = tot.select(F.struct("P", "N").alias("_t")).scalar()
-    return run.withColumn("_t", t).select("*", "_t.P", "_t.N").drop("_t")
-
-
 def cumulative(df: DataFrame, y: str, s: str, by: Sequence[str] = (),
                buckets: int | None = None, hist: DataFrame | None = None) -> DataFrame:
     """Per distinct score: ``tp``/``fp`` = positives / negatives with score >= it,
     plus group totals ``P`` and ``N``."""
     hist = hist if hist is not None else score_histogram(df, y, s, by)
-    run = running_totals(hist.filter(F.col("score").isNotNull()), "score", ["pos", "neg"], by=by, buckets=buckets,
-                         prefix="c_", descending=True)
-    run = run.withColumnRenamed("c_pos", "tp").withColumnRenamed("c_neg", "fp")
-    return _with_totals(run, hist, by)
+    run = running_totals(hist.filter(F.col("score").isNotNull()), "score", ["pos", "neg"], by=by,
+                         buckets=buckets, prefix="c_", descending=True, totals_prefix="all_")
+    return (run.withColumnRenamed("c_pos", "tp").withColumnRenamed("c_neg", "fp")
+            .withColumnRenamed("all_pos", "P").withColumnRenamed("all_neg", "N"))
 
 
 def _auc_ap(cum: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -139,8 +131,10 @@ def trapezoid(curve: DataFrame, x: str, y: str, by: Sequence[str] = (),
     point of the range before it. No window spans a whole group.
     """
     by = list(by)
+    from ..session import reuse
     from .ordered import _n_buckets
-    pts = curve.select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    # the points feed three consumers (cut points, lagged window, range ends): computed once
+    pts = reuse(curve.select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")))
     tagged = _with_bucket(pts, "_x", by, _n_buckets(pts, buckets))
     b = "_rt_bucket"
     w = Window.partitionBy(*by, b).orderBy("_x", "_y")
@@ -170,27 +164,28 @@ def metrics(df: DataFrame, y: str, s: str, t: float = 0.5, by: Sequence[str] = (
     """Threshold metric bundle (F11): confusion counts, rates, ROC-AUC, AP,
     selected / actual churners / total -- one row per group.
 
-    The scored set is read once: the confusion counts at ``t`` and the
-    curve sums both come from the same score histogram.
+    One pass over the scored set (the score histogram) and one aggregate over
+    the running counts give the confusion cells at ``t`` and the curve sums
+    together.
     """
     by = list(by)
-    hist = score_histogram(df, y, s, by)
+    cum = cumulative(df, y, s, by)
     at = F.col("score") >= F.lit(float(t))
-    conf = hist.groupBy(*by).agg(
+    pn = F.col("P") * F.col("N")
+    agg = cum.groupBy(*by).agg(
         F.coalesce(F.sum(F.when(~at, F.col("neg"))), F.lit(0)).alias("tn"),
         F.coalesce(F.sum(F.when(at, F.col("neg"))), F.lit(0)).alias("fp"),
         F.coalesce(F.sum(F.when(~at, F.col("pos"))), F.lit(0)).alias("fn"),
-        F.coalesce(F.sum(F.when(at, F.col("pos"))), F.lit(0)).alias("tp"))
+        F.coalesce(F.sum(F.when(at, F.col("pos"))), F.lit(0)).alias("tp"),
+        F.sum(F.col("pos") * (F.col("N") - F.col("fp") + 0.5 * F.col("neg"))).alias("_auc_num"),
+        F.sum(F.try_divide(F.col("pos"), F.col("P")) * (F.col("tp") / (F.col("tp") + F.col("fp")))).alias("_ap"),
+        F.first("P").alias("P"), F.first("N").alias("N"))
     tn, fp, fn, tp = (F.col(x) for x in ("tn", "fp", "fn", "tp"))
-    c = conf.select(*by, *_rates(tn, fp, fn, tp), "tn", "fp", "fn", "tp")
-    a = _auc_ap(cumulative(df, y, s, by, hist=hist), by)
-    j = c.join(a, by, "left") if by else c.withColumn("_a", a.select(F.struct("roc_auc", "pr_auc")).scalar()) \
-        .select("*", "_a.roc_auc", "_a.pr_auc").drop("_a")
-    return j.select(*by, F.lit(float(t)).alias("threshold"), "accuracy", "precision", "recall", "f1",
-                    "roc_auc", "pr_auc", "tn", "fp", "fn", "tp",
-                    (F.col("tp") + F.col("fp")).alias("selected"),
-                    (F.col("tp") + F.col("fn")).alias("actual_churn"),
-                    (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("total"))
+    return agg.select(*by, F.lit(float(t)).alias("threshold"), *_rates(tn, fp, fn, tp),
+                      F.when(pn > 0, F.try_divide(F.col("_auc_num"), pn)).alias("roc_auc"),
+                      F.when(F.col("P") > 0, F.col("_ap")).alias("pr_auc"),
+                      "tn", "fp", "fn", "tp", (tp + fp).alias("selected"), (tp + fn).alias("actual_churn"),
+                      (tn + fp + fn + tp).alias("total"))
 
 
 def threshold_sweep(df: DataFrame, y: str, s: str, start: int = 5, stop: int = 95,

@@ -56,11 +56,13 @@ def _with_bucket(df: DataFrame, key: str, by: Sequence[str], buckets: int) -> Da
 
 def running_totals(df: DataFrame, key: str, values: Sequence[str], by: Sequence[str] = (),
                    buckets: int | None = None, prefix: str = "cum_",
-                   descending: bool = False) -> DataFrame:
+                   descending: bool = False, totals_prefix: str | None = None) -> DataFrame:
     """Add ``prefix + v``: the inclusive running sum of ``v`` along ``key``.
 
     ``key`` must be numeric and unique within ``by`` (ties would make the
     running order undefined). ``descending`` runs from the largest key.
+    ``totals_prefix`` also adds the group totals (from the same per-range
+    table, no extra pass).
     """
     by = list(by)
     values = list(values)
@@ -80,13 +82,17 @@ def running_totals(df: DataFrame, key: str, values: Sequence[str], by: Sequence[
                                            for i, v in enumerate(values)])
     before = (Window.partitionBy(*by).orderBy(_B)
               .rowsBetween(Window.unboundedPreceding, -1))
+    whole = Window.partitionBy(*by)
     offsets = totals.select(*by, _B, *[
         F.coalesce(F.sum(f"_rt_tot_{i}").over(before), F.lit(0)).alias(f"_rt_off_{i}")
-        for i in range(len(values))])
+        for i in range(len(values))], *[
+        F.sum(f"_rt_tot_{i}").over(whole).alias(f"_rt_all_{i}") for i in range(len(values))])
     out = local.join(offsets, [*by, _B])
+    extra = [F.col(f"_rt_all_{i}").alias(totals_prefix + v) for i, v in enumerate(values)] \
+        if totals_prefix else []
     return out.select(*[F.col(c) for c in df.columns], *[
         (F.col(f"_rt_loc_{i}") + F.col(f"_rt_off_{i}")).alias(prefix + v)
-        for i, v in enumerate(values)])
+        for i, v in enumerate(values)], *extra)
 
 
 def value_histogram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
