@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as FN
 from ..operators import evaluate as E
-from .common import ID, members, scores
+from .common import members, scores
 from .registry import register
 
 K = ["model_key"]

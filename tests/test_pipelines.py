@@ -1,6 +1,5 @@
 """Properties of splits, sources / sinks, models and streaming."""
 
-import json
 import os
 
 import numpy as np
