@@ -306,3 +306,45 @@ class ConstantImputer(Transformer, DefaultParamsReadable, DefaultParamsWritable)
     def _transform(self, df):
         v = self.getOrDefault(self.value)
         return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c in self.getOrDefault(self.inputCols)})
+
+
+class DeploymentFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Raw member inputs -> model features, as one persistable stage.
+
+    * ``numericCols``: coerced to double (text that is not a number -> null);
+    * ``dateCol``: parsed leniently; ``<prefix>_year`` and ``<prefix>_days``
+      = days from the date to the stored ``referenceDate``, floored at 0,
+      null stays null;
+    * ``flags``: JSON list of ``[column, fill, value, name]`` -> ``name`` =
+      ``coalesce(column, fill) == value`` as 0/1;
+    * ``outputCols``: the feature order the model expects (missing -> error).
+
+    Stateless (the reference date is a parameter), so it also runs on streams.
+    """
+    numericCols = Param(Params._dummy(), "numericCols", "numeric inputs", TypeConverters.toListString)
+    dateCol = Param(Params._dummy(), "dateCol", "date input", TypeConverters.toString)
+    datePrefix = Param(Params._dummy(), "datePrefix", "date feature prefix", TypeConverters.toString)
+    referenceDate = Param(Params._dummy(), "referenceDate", "stored reference date", TypeConverters.toString)
+    flags = Param(Params._dummy(), "flags", "JSON list of [column, fill, value, name]", TypeConverters.toString)
+    outputCols = Param(Params._dummy(), "outputCols", "feature order", TypeConverters.toListString)
+    keepCols = Param(Params._dummy(), "keepCols", "columns passed through (ids)", TypeConverters.toListString)
+
+    @keyword_only
+    def __init__(self, numericCols=None, dateCol=None, datePrefix="start", referenceDate=None, flags="[]",
+                 outputCols=None, keepCols=None):
+        super().__init__()
+        self._setDefault(datePrefix="start", flags="[]", keepCols=[])
+        self._set(**self._input_kwargs)
+
+    def _transform(self, df):
+        g = self.getOrDefault
+        missing = [c for c in g(self.numericCols) + [g(self.dateCol)] + [f[0] for f in json.loads(g(self.flags))]
+                   if c not in df.columns]
+        if missing:
+            raise ValueError(f"missing input columns: {missing}")
+        out = to_numeric(df, g(self.numericCols))
+        out = date_features(out, g(self.dateCol), prefix=g(self.datePrefix), reference=g(self.referenceDate),
+                            strict=False, floor=True, drop=False)
+        for col, fill, value, name in json.loads(g(self.flags)):
+            out = flag_equals(out, col, value, fill=fill, name=name)
+        return out.select(*g(self.keepCols), *g(self.outputCols))

@@ -36,6 +36,7 @@ DOUBLE_COLUMNS = {
     'c21_risk_grade': ['y_score'],
     'c2_drop_columns': ['avg_value', 'wait_days'],
     'c7_onehot_first_drop': ['fee', 'avg_value', 'wait_days'],
+    'c9_deployment_features': ['visits', 'returns'],
     'd1_stratified_split': ['fee', 'avg_value', 'wait_days'],
     'd2_three_way_split': ['fee', 'avg_value', 'wait_days'],
     'd3_train_subsample': ['fee', 'avg_value', 'wait_days'],

@@ -113,6 +113,26 @@ def c9_flag_encoding(spark, sf):
     return m.select(ID, "pref_none", "segment_BUILDING")
 
 
+@register("c9_deployment_features", """
+SELECT member_id, TRY_CAST(CAST(visits AS VARCHAR) AS DOUBLE) AS visits, TRY_CAST(CAST(returns AS VARCHAR) AS DOUBLE) AS returns,
+       CAST(year(start_date) AS INTEGER) AS start_year,
+       CAST(CASE WHEN start_date IS NULL THEN NULL
+            ELSE greatest(datediff('day', start_date, DATE '2001-01-31'), 0) END AS INTEGER) AS start_days,
+       CAST(coalesce(pref, 'none') = 'none' AS INTEGER) AS pref_none,
+       CAST(coalesce(segment, 'UNKNOWN') = 'BUILDING' AS INTEGER) AS segment_BUILDING
+FROM members""")
+def c9_deployment_features(spark, sf):
+    import json
+    raw = members(spark, sf).withColumn("visits", F.col("visits").cast("string")) \
+        .withColumn("returns", F.col("returns").cast("string"))
+    stage = C.DeploymentFeatures(
+        numericCols=["visits", "returns"], dateCol="start_date", datePrefix="start", referenceDate="2001-01-31",
+        flags=json.dumps([["pref", "none", "none", "pref_none"], ["segment", "UNKNOWN", "BUILDING", "segment_BUILDING"]]),
+        outputCols=["visits", "returns", "start_year", "start_days", "pref_none", "segment_BUILDING"],
+        keepCols=[ID])
+    return stage.transform(raw)
+
+
 @register("c10_to_numeric", """
 SELECT member_id, TRY_CAST(CASE WHEN pref IS NULL THEN 'n/a' ELSE CAST(visits AS VARCHAR) END AS DOUBLE) AS visits_num
 FROM members""")

@@ -1,5 +1,6 @@
 """Properties of splits, sources / sinks, models and streaming."""
 
+import json
 import os
 
 import numpy as np
@@ -208,3 +209,30 @@ def test_score_drift_stream_matches_batch(spark, tmpdir_path, planted_mid):
     assert set(out) == set(exp)
     for k, (n, m) in exp.items():
         assert out[k][0] == n and out[k][1] == pytest.approx(m)
+
+
+def test_deployment_features_in_a_saved_pipeline(spark, tmpdir_path, planted_mid):
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from churnlab.operators.features import DeploymentFeatures, MedianImputer
+    raw = planted_mid.select("member_id", F.col("visits").cast("string").alias("visits"),
+                             F.col("returns").cast("string").alias("returns"), "start_date", "pref",
+                             F.col("planted").cast("double").alias("label"))
+    feats = ["visits", "returns", "start_year", "start_days", "pref_none"]
+    stage = DeploymentFeatures(numericCols=["visits", "returns"], dateCol="start_date",
+                               referenceDate="2001-01-31", flags=json.dumps([["pref", "none", "none", "pref_none"]]),
+                               outputCols=feats, keepCols=["member_id", "label"])
+    # MLlib solvers reject NaN features: impute (the reference's boosting model took NaN natively)
+    pipe = Pipeline(stages=[stage, MedianImputer(feats[:4]),
+                            VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"),
+                            LogisticRegression(maxIter=30)])
+    model = pipe.fit(raw)
+    path = os.path.join(tmpdir_path, "deploy")
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    a = {r["member_id"]: r["probability"][1] for r in model.transform(raw).collect()}
+    b = {r["member_id"]: r["probability"][1] for r in again.transform(raw).collect()}
+    assert a == b
+    with pytest.raises(ValueError):
+        again.transform(raw.drop("pref"))
