@@ -151,13 +151,15 @@ def trapezoid(curve: DataFrame, x: str, y: str, by: Sequence[str] = (),
 
 def best_f1_threshold(df: DataFrame, y: str, s: str, by: Sequence[str] = ()) -> DataFrame:
     """F1-optimal threshold on the PR curve: first maximum of
-    ``2pr/(p+r+1e-12)`` in ascending threshold order. ``(by..., threshold, f1)``."""
+    ``2pr/(p+r+1e-12)`` in ascending threshold order; 0.5 when there is no
+    threshold (empty input). ``(by..., threshold, f1)``."""
     cum = cumulative(df, y, s, by)
     p = F.col("tp") / (F.col("tp") + F.col("fp"))
     r = F.when(F.col("P") > 0, F.try_divide(F.col("tp"), F.col("P"))).otherwise(F.lit(1.0))
     f1 = 2 * p * r / (p + r + F.lit(1e-12))
     best = cum.groupBy(*by).agg(F.max(F.struct(f1.alias("f1"), (-F.col("score")).alias("_nt"))).alias("_b"))
-    return best.select(*by, (-F.col("_b._nt")).alias("threshold"), F.col("_b.f1").alias("f1"))
+    # no threshold at all (empty input): the fixed 0.5
+    return best.select(*by, F.coalesce(-F.col("_b._nt"), F.lit(0.5)).alias("threshold"), F.col("_b.f1").alias("f1"))
 
 
 def metrics(df: DataFrame, y: str, s: str, t: float = 0.5, by: Sequence[str] = ()) -> DataFrame:

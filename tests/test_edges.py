@@ -257,3 +257,9 @@ def test_profile_edge_values(spark):
     vc = {(r["feature"], r["value"]): r["n"] for r in P.value_counts(df, ["c"]).collect()}
     assert vc == {("c", "a"): 3, ("c", "b"): 2}
     assert math.isclose(P.imbalance(df, "y").first()["ratio"], 1.0)
+
+
+def test_best_f1_threshold_empty_input_is_half(spark):
+    empty = spark.createDataFrame([], "id long, y int, s double")
+    r = E.best_f1_threshold(empty, "y", "s").first()
+    assert r["threshold"] == 0.5 and r["f1"] is None
