@@ -119,7 +119,7 @@ def e13_sweep_metrics(spark, sf):
 def e14_batch_scoring(spark, sf):
     df = _prepared(spark, sf)
     model = M.fit(SMALL["logistic"], df, NUM, CAT, LABEL, fit_where="split = 'train'")
-    path = A.save_model(model, scratch_path(spark, "pipeline"))
+    path = A.save_model(model, scratch_path(spark, "fitted_model"))
     loaded = A.load_model(path)
     return M.score_members(loaded, df.filter("split = 'test'"), ID, threshold=0.5)
 
