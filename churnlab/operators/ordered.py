@@ -30,6 +30,9 @@ from ..session import shuffle_partitions
 
 _B = "_rt_bucket"
 
+# A group with at most this many rows is summed in one window task.
+GROUP_RANGE_MIN = 100_000
+
 
 def _n_buckets(df: DataFrame, buckets: int | None) -> int:
     if buckets:
@@ -61,13 +64,16 @@ def _with_bucket(df: DataFrame, key: str, by: Sequence[str], buckets: int) -> Da
     probs = [i / buckets for i in range(1, buckets)]
     sketch = F.percentile_approx(F.col(key), probs, 1000)
     if by:
-        cuts = df.groupBy(*by).agg(sketch.alias("_rt_cuts"))
+        # groups up to GROUP_RANGE_MIN rows stay one range (a bounded window task);
+        # only larger groups carry cut points, so many small groups stay cheap
+        cuts = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("_gn"), sketch.alias("_c"))
+                .select(*by, F.when(F.col("_gn") > GROUP_RANGE_MIN, F.col("_c")).alias("_rt_cuts")))
         tagged = df.join(cuts, list(by))
     else:
         # one bounded array, planned as a scalar subquery (no join at all)
         tagged = df.withColumn("_rt_cuts", df.agg(sketch).scalar())
     return (tagged
-            .withColumn(_B, count_below(F.col("_rt_cuts"), F.col(key), buckets - 1))
+            .withColumn(_B, F.coalesce(count_below(F.col("_rt_cuts"), F.col(key), buckets - 1), F.lit(0)))
             .drop("_rt_cuts"))
 
 

@@ -76,7 +76,8 @@ def test_absent_class_keeps_zero_cells(spark):
     assert m["precision"] == 0.0 and m["recall"] == 0.0 and m["f1"] == 0.0
 
 
-def test_trapezoid_of_roc_equals_auc(spark, random_scores):
+def test_trapezoid_of_roc_equals_auc(spark, random_scores, monkeypatch):
+    monkeypatch.setattr(O, "GROUP_RANGE_MIN", 10)
     y, s = random_scores
     df = _scored(spark, y, s)
     curve = E.roc_curve(df, "y", "s")
@@ -110,7 +111,9 @@ def test_threshold_sweep_matches_each_threshold(spark, random_scores):
         assert sw[round(t, 2)]["selected"] == int(sel.sum())
 
 
-def test_running_totals_multi_bucket(spark):
+@pytest.mark.parametrize("group_min", [100_000, 10])
+def test_running_totals_multi_bucket(spark, group_min, monkeypatch):
+    monkeypatch.setattr(O, "GROUP_RANGE_MIN", group_min)   # 10: every group is cut into ranges
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 300), "k": rng.permutation(300).astype(float),
                         "v": rng.integers(0, 5, 300)})
@@ -121,7 +124,9 @@ def test_running_totals_multi_bucket(spark):
     assert len(merged) == 300 and (merged["exp"] == merged["cum_v"]).all()
 
 
-def test_exact_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("group_min", [100_000, 10])
+def test_exact_quantiles_match_numpy(spark, group_min, monkeypatch):
+    monkeypatch.setattr(O, "GROUP_RANGE_MIN", group_min)
     rng = np.random.default_rng(5)
     vals = rng.normal(size=201)
     vals[::17] = np.nan
@@ -141,6 +146,7 @@ def test_exact_quantiles_match_numpy(spark):
 @pytest.mark.parametrize("cap", [1, 7, 100, 1000, 5000])
 def test_rank_cut_with_a_heavy_tie(spark, cap, tie_max, monkeypatch):
     monkeypatch.setattr(O, "TIE_WINDOW_MAX", tie_max)   # 50: tie groups take the id-range path
+    monkeypatch.setattr(O, "GROUP_RANGE_MIN", 10)
     rng = np.random.default_rng(11)
     n = 1500
     s = np.where(np.arange(n) % 3 == 0, 0.5, np.round(rng.random(n), 3))   # a third share one score
@@ -156,6 +162,7 @@ def test_rank_cut_with_a_heavy_tie(spark, cap, tie_max, monkeypatch):
 @pytest.mark.parametrize("tie_max", [100_000, 5])
 def test_global_rank_and_lift_deciles(spark, tie_max, monkeypatch):
     monkeypatch.setattr(O, "TIE_WINDOW_MAX", tie_max)
+    monkeypatch.setattr(O, "GROUP_RANGE_MIN", 10)
     rng = np.random.default_rng(13)
     n = 257
     pdf = pd.DataFrame({"id": np.arange(n, dtype="int64"), "s": np.round(rng.random(n), 1),
