@@ -236,3 +236,24 @@ def test_deployment_features_in_a_saved_pipeline(spark, tmpdir_path, planted_mid
     assert a == b
     with pytest.raises(ValueError):
         again.transform(raw.drop("pref"))
+
+
+@pytest.mark.parametrize("spec", [
+    M.ModelSpec("randomforest", "randomforest", {"numTrees": 15, "maxDepth": 5, "minInstancesPerNode": 20,
+                                                  "featureSubsetStrategy": "sqrt"}),
+    M.ModelSpec("xgboost", "gbt", {"maxIter": 15, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8}),
+    M.ModelSpec("mlp", "mlp", {"hidden": [16, 8], "maxIter": 60}),
+    M.ModelSpec("knn", "knn", {"k": 15, "weights": "distance"}),
+], ids=lambda s: s.name)
+def test_models_learn_the_planted_signal(spark, planted_mid, spec):
+    from churnlab.operators.features import ExactStandardScaler
+    feats = ["visits", "returns", "urgent"]
+    df = D.stratified_split(planted_mid.fillna(0, feats), "member_id", "planted", 0.2, 42)
+    # models see the standardized feature table, as in the reference (scaler fitted on train rows)
+    df = ExactStandardScaler(feats, fitWhere="split = 'train'").fit(df).transform(df)
+    sc = M.sweep([spec], df, {"full": feats}, "member_id", "planted")
+    auc = E.roc_auc(sc, "y_true", "y_score").first()[0]
+    assert sc.count() == df.filter("split = 'test'").count()
+    # KNN is the weakest learner here, as in the reference (0.61 vs 0.69 ROC-AUC there);
+    # its exactness is checked against brute force and the DuckDB twin
+    assert auc > (0.55 if spec.kind == "knn" else 0.6)
