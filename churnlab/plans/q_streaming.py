@@ -28,9 +28,16 @@ def h10_stream_event_activity(spark, sf):
     schema = table(spark, sf, "events").schema
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
               .option("maxFilesPerTrigger", 1).parquet(sf))
+    # ts is a wall-clock (NTZ) column: read it as UTC whatever the session zone,
+    # so day windows are UTC days, and print the window bounds back in UTC
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    stream = stream.withColumn(
+        "ts", F.convert_timezone(F.lit("UTC"), F.lit(tz), F.col("ts").cast("timestamp_ntz")).cast("timestamp"))
     agg = event_activity(stream, window="1 day", watermark="0 seconds", user=None)
     out = run_to_table(agg, scratch_path(spark, "stream-ckpt"), f"activity_{uuid.uuid4().hex[:8]}")
     fmt = "yyyy-MM-dd HH:mm:ss"
-    return out.select(F.date_format("window_start", fmt).alias("window_start"),
-                      F.date_format("window_end", fmt).alias("window_end"), "event_type", "events",
-                      F.round("sum_value", 6).alias("sum_value"))
+
+    def wall(c):
+        return F.date_format(F.convert_timezone(F.lit(tz), F.lit("UTC"), F.col(c).cast("timestamp_ntz")), fmt)
+    return out.select(wall("window_start").alias("window_start"), wall("window_end").alias("window_end"),
+                      "event_type", "events", F.round("sum_value", 6).alias("sum_value"))
