@@ -49,23 +49,27 @@ def parse_date(col: str, strict: bool = True):
 
 
 def date_features(df: DataFrame, col: str, prefix: str = "start", reference: str | None = None,
-                  strict: bool = True, floor: bool = False, drop: bool = True) -> DataFrame:
+                  strict: bool = True, floor: bool = False, drop: bool = True,
+                  names: dict | None = None) -> DataFrame:
     """Year, month, weekday (Monday = 0) and days since a reference date.
 
     ``reference=None``: the latest date of the table itself, evaluated once
     as a scalar subquery (no join, nothing collected). A stored reference
     date (deployment) can be floored at 0 days; null dates stay null.
+    ``names`` overrides the output names (keys year, month, weekday, days).
     """
+    nm = {k: f"{prefix}_{k}" for k in ("year", "month", "weekday", "days")}
+    nm.update(names or {})
     d = "_d"
     out = df.withColumn(d, parse_date(col, strict))
     ref = F.lit(reference).cast("date") if reference else out.agg(F.max(d)).scalar()
     days = F.datediff(ref, F.col(d))
     if floor:
         days = F.when(days.isNull(), F.lit(None)).otherwise(F.greatest(days, F.lit(0)))
-    out = (out.withColumn(f"{prefix}_year", F.year(d))
-           .withColumn(f"{prefix}_month", F.month(d))
-           .withColumn(f"{prefix}_weekday", weekday0(d))
-           .withColumn(f"{prefix}_days", days))
+    out = (out.withColumn(nm["year"], F.year(d))
+           .withColumn(nm["month"], F.month(d))
+           .withColumn(nm["weekday"], weekday0(d))
+           .withColumn(nm["days"], days))
     out = out.drop(d)
     return out.drop(col) if drop else out
 

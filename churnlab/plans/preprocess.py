@@ -49,3 +49,36 @@ def preprocess(spark: SparkSession, data_dir: str, label: str = "planted", out_d
 
 
 MB_ID = "member_id"
+
+
+# The reference preprocessing script on the raw member file --
+# constant fills, dropped columns, dummy columns, date feature names and the
+# standard / robust scaler column lists.
+RAW_FILLS = {"Cardio_Preference": "No Preference", "Supplement_Usage": "No Protein Supplements"}
+RAW_DROPS = ["Treadmill_Avg_Speed_Kmh", "Treadmill_Avg_Incline_Pct", "Gender", "Membership_Type",
+             "Peak_Hour_Preference", "Monthly_Fee"]
+RAW_DUMMIES = ["Cardio_Preference", "Supplement_Usage", "Profile_Type"]
+RAW_DATE_NAMES = {"year": "Start_Year", "month": "Start_Month", "weekday": "Start_Weekday",
+                  "days": "Membership_Days"}
+RAW_STANDARD = ["Age", "Monthly_Visits", "Avg_Workout_Duration_Min", "Group_Class_Attendance",
+                "Avg_Equipment_Wait_Time_Min", "Start_Year", "Start_Month", "Start_Weekday", "Membership_Days"]
+RAW_ROBUST = ["PT_Session_Count", "Late_Payment_Count"]
+
+
+def preprocess_member_file(df: DataFrame, id_col: str = "Member_ID", label: str = "Churn",
+                           test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
+    """The preprocessing script on the raw member schema, as one plan.
+
+    fills -> drops -> date parts and days since the latest start -> dummies
+    (first sorted level dropped) -> stratified split column -> scaling fitted
+    on the training rows. The id is kept (rows have no position in Spark);
+    the remaining columns come out in the script's order.
+    """
+    out = C.fill_constants(df, RAW_FILLS)
+    out = C.drop_columns(out, RAW_DROPS)
+    out = C.date_features(out, "Membership_Start_Date", names=RAW_DATE_NAMES)
+    out = C.OneHotFirstDrop(RAW_DUMMIES).fit(out).transform(out)
+    out = D.stratified_split(out, id_col, label, test_fraction, seed)
+    train = "split = 'train'"
+    out = C.ExactStandardScaler(RAW_STANDARD, fitWhere=train).fit(out).transform(out)
+    return C.ExactRobustScaler(RAW_ROBUST, fitWhere=train).fit(out).transform(out)

@@ -257,3 +257,56 @@ def test_models_learn_the_planted_signal(spark, planted_mid, spec):
     # KNN is the weakest learner here, as in the reference (0.61 vs 0.69 ROC-AUC there);
     # its exactness is checked against brute force and the DuckDB twin
     assert auc > (0.55 if spec.kind == "knn" else 0.6)
+
+
+# The reference's processed feature layout (22 features, in order).
+PROCESSED_FEATURES = [
+    "Age", "Monthly_Visits", "Avg_Workout_Duration_Min", "Group_Class_Attendance", "PT_Session_Count",
+    "Avg_Equipment_Wait_Time_Min", "Late_Payment_Count", "Start_Year", "Start_Month", "Start_Weekday",
+    "Membership_Days", "Cardio_Preference_Elliptical", "Cardio_Preference_No Preference",
+    "Cardio_Preference_Rowing", "Cardio_Preference_Treadmill", "Supplement_Usage_Full Stack",
+    "Supplement_Usage_No Protein Supplements", "Supplement_Usage_Pre-Workout", "Supplement_Usage_Whey Protein",
+    "Profile_Type_Drop-out", "Profile_Type_Hardcore", "Profile_Type_Regular",
+]
+
+
+def _raw_member_csv(path):
+    """40 members in the raw 19-column layout, values from a fixed rule; missing
+    categories written as the token None, treadmill fields as NA."""
+    import datetime as dt
+    head = ("Member_ID,Age,Gender,Membership_Type,Membership_Start_Date,Monthly_Fee,Monthly_Visits,"
+            "Avg_Workout_Duration_Min,Peak_Hour_Preference,Cardio_Preference,Treadmill_Avg_Speed_Kmh,"
+            "Treadmill_Avg_Incline_Pct,Group_Class_Attendance,PT_Session_Count,Supplement_Usage,"
+            "Avg_Equipment_Wait_Time_Min,Late_Payment_Count,Profile_Type,Churn")
+    cardio = ["None", "Treadmill", "Cycling", "Elliptical", "Rowing"]
+    supp = ["None", "Whey Protein", "Pre-Workout", "Creatine", "Full Stack"]
+    prof = ["Casual", "Regular", "Drop-out", "Hardcore"]
+    lines = [head]
+    for i in range(40):
+        day = dt.date(2023, 5, 1) + dt.timedelta(days=(i * 13) % 400)
+        tread = ("NA", "NA") if cardio[i % 5] != "Treadmill" else (f"{8 + i % 5}.5", f"{i % 7}.0")
+        lines.append(",".join(str(v) for v in [
+            1000 + i, 16 + (i * 7) % 60, ["Female", "Male"][i % 2], ["Standard", "Gold", "Premium", "VIP"][i % 4],
+            day.isoformat(), f"{20.89 + i:.2f}", i % 29, (i * 9) % 121, ["Morning", "Evening"][i % 2],
+            cardio[i % 5], *tread, i % 13, (i * 5) % 9 if i % 3 else 0, supp[(i // 2) % 5],
+            f"{(i * 3.7) % 25:.1f}", i % 7, prof[i % 4], int(i % 3 == 0)]))
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_reference_preprocessing_layout_on_the_raw_schema(spark, tmpdir_path):
+    from churnlab.plans.preprocess import RAW_ROBUST, RAW_STANDARD, preprocess_member_file
+    path = os.path.join(tmpdir_path, "members.csv")
+    _raw_member_csv(path)
+    raw = A.read_members(spark, path)
+    assert raw.filter(F.col("Cardio_Preference").isNull()).count() == 8     # the None tokens
+    out = preprocess_member_file(raw)
+    feats = [c for c in out.columns if c not in ("Member_ID", "Churn", "split")]
+    assert feats == PROCESSED_FEATURES
+    pdf = out.toPandas()
+    train = pdf[pdf["split"] == "train"]
+    assert len(pdf[pdf["split"] == "test"]) == round(0.2 * 14) + round(0.2 * 26)
+    for c in RAW_STANDARD:
+        assert abs(train[c].mean()) < 1e-9 and abs(train[c].std(ddof=0) - 1) < 1e-9
+    for c in RAW_ROBUST:
+        assert abs(train[c].median()) < 1e-12
