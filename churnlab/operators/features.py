@@ -332,12 +332,13 @@ class DeploymentFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritab
     flags = Param(Params._dummy(), "flags", "JSON list of [column, fill, value, name]", TypeConverters.toString)
     outputCols = Param(Params._dummy(), "outputCols", "feature order", TypeConverters.toListString)
     keepCols = Param(Params._dummy(), "keepCols", "columns passed through (ids)", TypeConverters.toListString)
+    dateNames = Param(Params._dummy(), "dateNames", "JSON map of date feature names", TypeConverters.toString)
 
     @keyword_only
     def __init__(self, numericCols=None, dateCol=None, datePrefix="start", referenceDate=None, flags="[]",
-                 outputCols=None, keepCols=None):
+                 outputCols=None, keepCols=None, dateNames="{}"):
         super().__init__()
-        self._setDefault(datePrefix="start", flags="[]", keepCols=[])
+        self._setDefault(datePrefix="start", flags="[]", keepCols=[], dateNames="{}")
         self._set(**self._input_kwargs)
 
     def _transform(self, df):
@@ -348,7 +349,28 @@ class DeploymentFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritab
             raise ValueError(f"missing input columns: {missing}")
         out = to_numeric(df, g(self.numericCols))
         out = date_features(out, g(self.dateCol), prefix=g(self.datePrefix), reference=g(self.referenceDate),
-                            strict=False, floor=True, drop=False)
+                            strict=False, floor=True, drop=False, names=json.loads(g(self.dateNames)))
         for col, fill, value, name in json.loads(g(self.flags)):
             out = flag_equals(out, col, value, fill=fill, name=name)
         return out.select(*g(self.keepCols), *g(self.outputCols))
+
+
+# The reference deployment model's raw inputs and its 11 features.
+DEPLOYMENT_NUMERIC = ["Late_Payment_Count", "Monthly_Visits", "PT_Session_Count", "Group_Class_Attendance",
+                      "Avg_Equipment_Wait_Time_Min", "Age", "Avg_Workout_Duration_Min"]
+DEPLOYMENT_FEATURES = ["Late_Payment_Count", "Monthly_Visits", "PT_Session_Count", "Start_Year", "Membership_Days",
+                       "Group_Class_Attendance", "Avg_Equipment_Wait_Time_Min", "Age",
+                       "Supplement_Usage_No Protein Supplements", "Cardio_Preference_Rowing",
+                       "Avg_Workout_Duration_Min"]
+
+
+def deployment_stage(reference_date: str, keep=("Member_ID",)) -> DeploymentFeatures:
+    """The deployment feature stage of the reference's final model, for a
+    stored reference date (the latest start date of its training data)."""
+    return DeploymentFeatures(
+        numericCols=DEPLOYMENT_NUMERIC, dateCol="Membership_Start_Date", referenceDate=reference_date,
+        dateNames=json.dumps({"year": "Start_Year", "days": "Membership_Days"}),
+        flags=json.dumps([["Supplement_Usage", "No Protein Supplements", "No Protein Supplements",
+                           "Supplement_Usage_No Protein Supplements"],
+                          ["Cardio_Preference", "No Preference", "Rowing", "Cardio_Preference_Rowing"]]),
+        outputCols=DEPLOYMENT_FEATURES, keepCols=list(keep))

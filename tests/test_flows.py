@@ -310,3 +310,19 @@ def test_reference_preprocessing_layout_on_the_raw_schema(spark, tmpdir_path):
         assert abs(train[c].mean()) < 1e-9 and abs(train[c].std(ddof=0) - 1) < 1e-9
     for c in RAW_ROBUST:
         assert abs(train[c].median()) < 1e-12
+
+
+def test_deployment_stage_on_the_raw_schema(spark, tmpdir_path):
+    from churnlab.operators.features import DEPLOYMENT_FEATURES, deployment_stage
+    path = os.path.join(tmpdir_path, "members.csv")
+    _raw_member_csv(path)
+    raw = A.read_members(spark, path, schema=", ".join(
+        f"{f.name} string" for f in A.MEMBER_SCHEMA.fields))          # raw text inputs, as a form sends
+    raw = raw.withColumn("Age", F.when(F.col("Member_ID") == "1003", F.lit("n/a")).otherwise(F.col("Age")))
+    out = deployment_stage("2024-01-01").transform(raw)
+    assert out.columns == ["Member_ID", *DEPLOYMENT_FEATURES]
+    rows = {r["Member_ID"]: r for r in out.collect()}
+    assert rows["1003"]["Age"] is None                                   # bad text -> null
+    assert min(r["Membership_Days"] for r in rows.values()) == 0          # dates after the reference floor at 0
+    assert rows["1000"]["Cardio_Preference_Rowing"] == 0 and rows["1004"]["Cardio_Preference_Rowing"] == 1
+    assert rows["1000"]["Supplement_Usage_No Protein Supplements"] == 1  # missing counts as none
