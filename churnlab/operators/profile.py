@@ -101,10 +101,12 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25
 
 
 def _fences(df: DataFrame, cols: Sequence[str], k: float) -> DataFrame:
+    """One row per column; read twice (bounds map, final join), so kept once."""
+    from ..session import reuse
     q = quantile_columns(df, cols, (0.25, 0.5, 0.75), names=("q1", "median", "q3"))
     iqr = F.col("q3") - F.col("q1")
-    return q.select("feature", "q1", "median", "q3",
-                    (F.col("q1") - k * iqr).alias("lower"), (F.col("q3") + k * iqr).alias("upper"))
+    return reuse(q.select("feature", "q1", "median", "q3",
+                          (F.col("q1") - k * iqr).alias("lower"), (F.col("q3") + k * iqr).alias("upper")))
 
 
 def _as_map(fences: DataFrame, fields: Sequence[str]):
@@ -163,10 +165,11 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
     ``(column, bin, lo, hi, n)``; bin = least(floor((v-min)*bins/(max-min)), bins-1).
     """
     cols = list(cols)
-    rng = (df.agg(*[F.struct(F.min(F.col(c).cast("double")).alias("mn"),
-                             F.max(F.col(c).cast("double")).alias("mx")).alias(c) for c in cols])
-           .select(_stack(cols, None, value="r"))
-           .select("feature", F.col("r.mn").alias("mn"), F.col("r.mx").alias("mx")))
+    from ..session import reuse
+    rng = reuse(df.agg(*[F.struct(F.min(F.col(c).cast("double")).alias("mn"),
+                                  F.max(F.col(c).cast("double")).alias("mx")).alias(c) for c in cols])
+                .select(_stack(cols, None, value="r"))
+                .select("feature", F.col("r.mn").alias("mn"), F.col("r.mx").alias("mx")))
     bounds = rng.agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mn", "mx"))))).scalar()
     tagged = df.select(*cols).withColumn("_r", bounds)
 
