@@ -135,6 +135,46 @@ def fit(spec: ModelSpec, df: DataFrame, numeric: Sequence[str], categorical: Seq
     return PipelineModel(stages=[*stages, asm, model])
 
 
+def fit_early_stopped(spec: ModelSpec, df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                      label: str, train_where: str, valid_where: str, patience: int = 50,
+                      seed: int = 42) -> tuple[PipelineModel, int]:
+    """Boosting with early stopping by patience.
+
+    Fits ``maxIter`` rounds on the training rows, gets the validation loss of
+    every prefix of the ensemble in one distributed pass
+    (``evaluateEachIteration``), stops at the first round after which the loss
+    has not improved for ``patience`` rounds, and refits up to the best round
+    (rounds are seeded per iteration, so the refit repeats the same trees).
+    Returns ``(model, best_rounds)``.
+    """
+    if spec.kind != "gbt":
+        raise ValueError("early stopping applies to boosting specs")
+    from ..session import materialize
+    keep = list(dict.fromkeys([*numeric, *categorical, label]))
+    # both fits read the same written training copy: same partitions, same per-round samples
+    train = materialize(df.filter(F.expr(train_where)).select(*keep))
+    full = fit(spec, train, numeric, categorical, label, seed=seed, checkpoint=False)
+    stages = full.stages[:-1]
+    valid = df.filter(F.expr(valid_where)).select(*keep)
+    for st in stages:
+        valid = st.transform(valid)
+    valid = valid.withColumn(label, F.col(label).cast("double"))
+    losses = full.stages[-1].evaluateEachIteration(valid)
+    best, best_i, since = float("inf"), 0, 0
+    for i, loss in enumerate(losses):
+        if loss < best:
+            best, best_i, since = loss, i, 0
+        else:
+            since += 1
+            if since >= patience:
+                break
+    rounds = best_i + 1
+    if rounds == len(losses):
+        return full, rounds
+    short = ModelSpec(spec.name, spec.kind, {**spec.params, "maxIter": rounds}, spec.balanced)
+    return fit(short, train, numeric, categorical, label, seed=seed, checkpoint=False), rounds
+
+
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (), name: str = "y_score") -> DataFrame:
     """Probability of class 1 for every row (stateless: works on streams too)."""
     out = model.transform(df)

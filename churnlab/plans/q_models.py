@@ -85,6 +85,16 @@ def e6_gbt_early_stopping(spark, sf):
     return M.score(model, df.filter("split = 'test'"), keep=[ID, F.col(LABEL).alias("y_true")])
 
 
+@register("e6_gbt_patience_stopping")
+def e6_gbt_patience_stopping(spark, sf):
+    df = D.three_way_split(planted(spark, sf), ID, LABEL, 0.2, 0.2, 42)
+    spec = M.ModelSpec("xgboost", "gbt", {"maxIter": 40, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8})
+    model, rounds = M.fit_early_stopped(spec, df, NUM, CAT, LABEL, "split = 'train'", "split = 'validation'",
+                                        patience=10)
+    out = M.score(model, df.filter("split = 'test'"), keep=[ID, F.col(LABEL).alias("y_true")])
+    return out.withColumn("rounds", F.lit(rounds))
+
+
 @register("e7_importance_top_half")
 def e7_importance_top_half(spark, sf):
     spec = M.ModelSpec("importance", "gbt", {"maxIter": 20, "maxDepth": 6, "stepSize": 0.1})

@@ -326,3 +326,24 @@ def test_deployment_stage_on_the_raw_schema(spark, tmpdir_path):
     assert min(r["Membership_Days"] for r in rows.values()) == 0          # dates after the reference floor at 0
     assert rows["1000"]["Cardio_Preference_Rowing"] == 0 and rows["1004"]["Cardio_Preference_Rowing"] == 1
     assert rows["1000"]["Supplement_Usage_No Protein Supplements"] == 1  # missing counts as none
+
+
+def test_early_stopping_by_patience_repeats_the_trees(spark, planted_mid):
+    from churnlab.session import materialize
+    feats = ["visits", "returns", "urgent"]
+    df = D.three_way_split(planted_mid, "member_id", "planted", 0.2, 0.2, 42)
+    spec = M.ModelSpec("xgboost", "gbt", {"maxIter": 25, "maxDepth": 3, "stepSize": 0.3, "subsamplingRate": 0.8})
+    model, rounds = M.fit_early_stopped(spec, df, feats, [], "planted",
+                                        "split = 'train'", "split = 'validation'", patience=3)
+    assert 1 <= rounds <= 25 and len(model.stages[-1].trees) == rounds
+    # on the same written input, a shorter fit repeats the first trees of a longer one
+    base = materialize(df.filter("split = 'train'").select(*feats, "planted"))
+    long_ = M.fit(spec, base, feats, [], "planted", checkpoint=False)
+    short = M.fit(M.ModelSpec("x", "gbt", {**spec.params, "maxIter": 7}), base, feats, [], "planted",
+                  checkpoint=False)
+
+    def body(t):
+        return t.toDebugString.split("\n", 1)[1]
+    assert [body(t) for t in long_.stages[-1].trees[:7]] == [body(t) for t in short.stages[-1].trees]
+    sc = M.score(model, df.filter("split = 'test'"), keep=[F.col("planted").alias("y")])
+    assert E.roc_auc(sc, "y", "y_score").first()[0] > 0.6
