@@ -55,8 +55,8 @@ REFERENCE_SPECS = {
     "lightgbm": ModelSpec("lightgbm", "gbt", {"maxIter": 200, "maxDepth": 5, "stepSize": 0.05}),
     "importance": ModelSpec("importance", "gbt", {"maxIter": 200, "maxDepth": 6, "stepSize": 0.1}),
     "mlp": ModelSpec("mlp", "mlp", {"hidden": [128, 32, 8], "maxIter": 100, "blockSize": 16384}),
-    "knn": ModelSpec("knn", "knn", {"k": 10, "weights": "uniform"}),
-    "knn_distance": ModelSpec("knn", "knn", {"k": 15, "weights": "distance"}),
+    "knn": ModelSpec("knn", "knn", {"k": 10, "weights": "uniform", "max_rows": 30_000}),
+    "knn_distance": ModelSpec("knn", "knn", {"k": 15, "weights": "distance", "max_rows": 30_000}),
 }
 
 

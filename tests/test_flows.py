@@ -347,3 +347,15 @@ def test_early_stopping_by_patience_repeats_the_trees(spark, planted_mid):
     assert [body(t) for t in long_.stages[-1].trees[:7]] == [body(t) for t in short.stages[-1].trees]
     sc = M.score(model, df.filter("split = 'test'"), keep=[F.col("planted").alias("y")])
     assert E.roc_auc(sc, "y", "y_score").first()[0] > 0.6
+
+
+def test_knn_even_sample_bounds_the_reference_rows(spark, planted_mid):
+    df = D.stratified_split(planted_mid.fillna(0, ["returns"]), "member_id", "planted", 0.2, 42)
+    train = df.filter("split = 'train'")
+    knn = KNNClassifier(["visits", "returns"], "planted", "member_id", k=5, max_rows=300)
+    model = knn.fit(train)
+    assert model.train.count() == 300
+    sample_ids = {r[0] for r in model.train.select("member_id").collect()}
+    expected = {r[0] for r in D.even_sample(train, "member_id", 300).select("member_id").collect()}
+    assert sample_ids == expected
+    assert model.transform(df.filter("split = 'test'")).count() == df.filter("split = 'test'").count()
