@@ -5,18 +5,20 @@ SinglePartition``: every row of the table goes through one task. The helpers
 here keep the same exact results while spreading the work:
 
 * ``running_totals`` -- inclusive running sums along a key that is unique per
-  group (a distinct-score histogram, an id). Rows are cut into ranges by
-  approximate quantiles of the key (a bounded sketch, evaluated as a scalar
-  subquery or a per-group aggregate), summed inside each range with an
-  ordinary partitioned window, and shifted by the totals of the earlier
-  ranges (a table with one row per range).
+  group (a distinct-score histogram, an id). Groups larger than
+  ``GROUP_RANGE_MIN`` rows are cut into ranges by approximate quantiles of the
+  key (a bounded sketch, evaluated as a scalar subquery or a per-group
+  aggregate; a row finds its range by binary search), summed inside each
+  range with an ordinary partitioned window, and shifted by the totals of the
+  earlier ranges (a table with one row per range).
 * ``exact_quantiles`` -- linear-interpolation quantiles (pandas / NumPy /
-  DuckDB ``quantile_cont``) from a value histogram plus running counts, so no
-  single task holds a value map of a whole column.
-* ``rank_cut`` -- the rows that come first under ``(key desc, id asc)``:
-  found through the histogram of keys and, for the tied key at the border,
-  through running counts of the ids. Heavy ties (one key holding a third of
-  the table) are split by id ranges, not sent to one task.
+  DuckDB ``quantile_cont``): Spark's exact ``percentile`` when a column's
+  distinct count is checked to be small, else a value histogram plus running
+  counts, so no task holds an unbounded value map.
+* ``rank_cut`` / ``top_n`` / ``global_rank`` -- rows in ``(key desc, id asc)``
+  order: through the histogram of keys and, inside a tied key, the order of
+  ids. Tie groups are sized first; heavy ties (one key holding a third of the
+  table) are split by id ranges, not sent to one task.
 """
 
 from __future__ import annotations
@@ -71,7 +73,8 @@ def _with_bucket(df: DataFrame, key: str, by: Sequence[str], buckets: int) -> Da
         tagged = df.join(cuts, list(by))
     else:
         # one bounded array, planned as a scalar subquery (no join at all)
-        tagged = df.withColumn("_rt_cuts", df.agg(sketch).scalar())
+        cuts = df.agg(F.when(F.count(F.lit(1)) > GROUP_RANGE_MIN, sketch))
+        tagged = df.withColumn("_rt_cuts", cuts.scalar())
     return (tagged
             .withColumn(_B, F.coalesce(count_below(F.col("_rt_cuts"), F.col(key), buckets - 1), F.lit(0)))
             .drop("_rt_cuts"))
