@@ -97,11 +97,27 @@ def average_precision(df: DataFrame, y: str, s: str, by: Sequence[str] = ()) ->
     return _auc_ap(cumulative(df, y, s, by), by).select(*by, "pr_auc")
 
 
-def roc_curve(df: DataFrame, y: str, s: str, by: Sequence[str] = ()) -> DataFrame:
+def roc_curve(df: DataFrame, y: str, s: str, by: Sequence[str] = (),
+              drop_intermediate: bool = False) -> DataFrame:
     """``(by..., threshold, fpr, tpr)``: one point per distinct score plus the
-    start point ``(inf, 0, 0)``. scikit-learn additionally drops collinear
-    points; the area is the same."""
+    start point ``(inf, 0, 0)``.
+
+    ``drop_intermediate`` applies scikit-learn's thinning: an inner point is
+    kept only where the curve bends. On running counts the second difference
+    of (fp, tp) at a point is the change of (neg, pos) from it to the next
+    lower score, so the next point is looked up by an equi-join on the rank of
+    the distinct scores (no window over a whole group).
+    """
+    by = list(by)
     cum = cumulative(df, y, s, by)
+    if drop_intermediate:
+        ranked = running_totals(cum.withColumn("_one", F.lit(1).cast("long")), "score", ["_one"], by=by,
+                                prefix="_r", descending=True)
+        nxt = ranked.select(*by, (F.col("_r_one") - 1).alias("_r_one"),
+                            F.col("pos").alias("_npos"), F.col("neg").alias("_nneg"))
+        cum = (ranked.join(nxt, [*by, "_r_one"], "left")
+               .filter((F.col("_r_one") == 1) | F.col("_npos").isNull()
+                       | (F.col("_npos") != F.col("pos")) | (F.col("_nneg") != F.col("neg"))))
     pts = cum.select(*by, F.col("score").alias("threshold"),
                      F.try_divide(F.col("fp"), F.col("N")).alias("fpr"),
                      F.try_divide(F.col("tp"), F.col("P")).alias("tpr"))

@@ -55,6 +55,7 @@ DOUBLE_COLUMNS = {
     'f4_roc_auc_churn_label': ['roc_auc'],
     'f5_average_precision': ['pr_auc'],
     'f6_roc_curve': ['threshold', 'fpr', 'tpr'],
+    'f6_roc_curve_thinned': ['threshold', 'fpr', 'tpr'],
     'f7_pr_curve': ['threshold', 'precision', 'recall'],
     'f8_trapezoid_roc_area': ['area'],
     'f9_best_f1_threshold': ['threshold', 'f1'],

@@ -77,6 +77,18 @@ def f6_roc_curve(spark, sf):
     return E.roc_curve(scores(spark, sf), "y_true", "y_score", K)
 
 
+@register("f6_roc_curve_thinned", _HIST + """,
+nx AS (SELECT *, row_number() OVER (PARTITION BY model_key ORDER BY score DESC) AS rk,
+              lead(pos) OVER (PARTITION BY model_key ORDER BY score DESC) AS npos,
+              lead(neg) OVER (PARTITION BY model_key ORDER BY score DESC) AS nneg FROM cum)
+SELECT model_key, score AS threshold, fp / N AS fpr, tp / P AS tpr FROM nx
+WHERE rk = 1 OR npos IS NULL OR npos <> pos OR nneg <> neg
+UNION ALL
+SELECT DISTINCT model_key, 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM scores""")
+def f6_roc_curve_thinned(spark, sf):
+    return E.roc_curve(scores(spark, sf), "y_true", "y_score", K, drop_intermediate=True)
+
+
 @register("f7_pr_curve", _HIST + """
 SELECT model_key, score AS threshold, tp / (tp + fp) AS precision,
        CASE WHEN P > 0 THEN tp / P ELSE 1.0 END AS recall FROM cum

@@ -270,3 +270,30 @@ def test_best_f1_threshold_empty_input_is_half(spark):
     empty = spark.createDataFrame([], "id long, y int, s double")
     r = E.best_f1_threshold(empty, "y", "s").first()
     assert r["threshold"] == 0.5 and r["f1"] is None
+
+
+def _sklearn_style_roc(y, s):
+    """scikit-learn's roc_curve with drop_intermediate, written out with NumPy."""
+    order = np.argsort(-s, kind="mergesort")
+    ys, ss = y[order], s[order]
+    last = np.r_[np.nonzero(np.diff(ss))[0], len(ss) - 1]     # last index of each distinct score
+    tps = np.cumsum(ys)[last]
+    fps = (last + 1) - tps
+    thr = ss[last]
+    if len(fps) > 2:
+        keep = np.nonzero(np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True])[0]
+        fps, tps, thr = fps[keep], tps[keep], thr[keep]
+    return {(float(t), f / fps[-1], p / tps[-1]) for t, f, p in zip(thr, fps, tps)}
+
+
+def test_thinned_roc_curve_matches_sklearn_rule(spark, random_scores, monkeypatch):
+    monkeypatch.setattr(O, "GROUP_RANGE_MIN", 10)
+    y, s = random_scores
+    got = {(r["threshold"], r["fpr"], r["tpr"]) for r in
+           E.roc_curve(_scored(spark, y, s), "y", "s", drop_intermediate=True).collect()
+           if not math.isinf(r["threshold"])}
+    exp = _sklearn_style_roc(np.asarray(y), np.asarray(s))
+    assert {(round(a, 9), round(b, 9), round(c, 9)) for a, b, c in got} == \
+        {(round(a, 9), round(b, 9), round(c, 9)) for a, b, c in exp}
+    full = E.roc_curve(_scored(spark, y, s), "y", "s").count()
+    assert len(got) < full - 1
