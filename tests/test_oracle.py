@@ -32,6 +32,8 @@ def test_query_matches_duckdb(spark, name):
     sf = SF_MID if name in DATA_DEPENDENT_SCHEMA else SF_SMALL
     df = QUERIES[name](spark, sf)
     assert _doubles(df) == DOUBLE_COLUMNS.get(name, []), "regenerate churnlab/plans/double_columns.py"
+    physical = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in physical and "BroadcastNestedLoopJoin" not in physical
     ok, msg = compare(df, SQL[name], sf)
     assert ok, msg
     assert _types(df) == _duck_types(SQL[name], sf)

@@ -5,7 +5,6 @@ import io
 
 import pytest
 
-import __spark_entry__ as entry
 from churnlab.operators import evaluate as E
 from churnlab.operators import ordered as O
 from churnlab.operators import splits as D
@@ -49,11 +48,3 @@ def test_small_top_n_is_a_partial_group_limit(members):
     s = MB.scores(members)
     assert "WindowGroupLimit" in plan(O.top_n(s, "y_score", "member_id", 100, by=["model_key"]))
     assert "WindowGroupLimit" not in plan(O.top_n(s, "y_score", "member_id", 5000, by=["model_key"]))
-
-
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_registered_query_plans_a_cross_join(spark, name):
-    if name.startswith(("e", "h11", "l1", "c15")) and not name.startswith(("e8", "e9", "e11")):
-        pytest.skip("model fits: checked through their scoring plans elsewhere")
-    p = plan(entry.queries()[name](spark, SF_SMALL))
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
