@@ -97,6 +97,20 @@ def average_precision(df: DataFrame, y: str, s: str, by: Sequence[str] = ()) ->
     return _auc_ap(cumulative(df, y, s, by), by).select(*by, "pr_auc")
 
 
+def _thin(cum: DataFrame, by: Sequence[str], keep) -> DataFrame:
+    """Rows of a running-count table filtered by ``keep(pos, neg, next_pos,
+    next_neg, first)``; the next lower score is found by an equi-join on the
+    rank of the distinct scores (no window over a whole group)."""
+    ranked = running_totals(cum.withColumn("_one", F.lit(1).cast("long")), "score", ["_one"], by=by,
+                            prefix="_r", descending=True)
+    nxt = ranked.select(*by, (F.col("_r_one") - 1).alias("_r_one"),
+                        F.col("pos").alias("_npos"), F.col("neg").alias("_nneg"))
+    j = ranked.join(nxt, [*by, "_r_one"], "left")
+    last = F.col("_npos").isNull()
+    return j.filter((F.col("_r_one") == 1) | last
+                    | keep(F.col("pos"), F.col("neg"), F.col("_npos"), F.col("_nneg")))
+
+
 def roc_curve(df: DataFrame, y: str, s: str, by: Sequence[str] = (),
               drop_intermediate: bool = False) -> DataFrame:
     """``(by..., threshold, fpr, tpr)``: one point per distinct score plus the
@@ -105,19 +119,12 @@ def roc_curve(df: DataFrame, y: str, s: str, by: Sequence[str] = (),
     ``drop_intermediate`` applies scikit-learn's thinning: an inner point is
     kept only where the curve bends. On running counts the second difference
     of (fp, tp) at a point is the change of (neg, pos) from it to the next
-    lower score, so the next point is looked up by an equi-join on the rank of
-    the distinct scores (no window over a whole group).
+    lower score.
     """
     by = list(by)
     cum = cumulative(df, y, s, by)
     if drop_intermediate:
-        ranked = running_totals(cum.withColumn("_one", F.lit(1).cast("long")), "score", ["_one"], by=by,
-                                prefix="_r", descending=True)
-        nxt = ranked.select(*by, (F.col("_r_one") - 1).alias("_r_one"),
-                            F.col("pos").alias("_npos"), F.col("neg").alias("_nneg"))
-        cum = (ranked.join(nxt, [*by, "_r_one"], "left")
-               .filter((F.col("_r_one") == 1) | F.col("_npos").isNull()
-                       | (F.col("_npos") != F.col("pos")) | (F.col("_nneg") != F.col("neg"))))
+        cum = _thin(cum, by, lambda pos, neg, npos, nneg: (npos != pos) | (nneg != neg))
     pts = cum.select(*by, F.col("score").alias("threshold"),
                      F.try_divide(F.col("fp"), F.col("N")).alias("fpr"),
                      F.try_divide(F.col("tp"), F.col("P")).alias("tpr"))
@@ -126,10 +133,18 @@ def roc_curve(df: DataFrame, y: str, s: str, by: Sequence[str] = (),
     return pts.unionByName(start)
 
 
-def pr_curve(df: DataFrame, y: str, s: str, by: Sequence[str] = ()) -> DataFrame:
+def pr_curve(df: DataFrame, y: str, s: str, by: Sequence[str] = (),
+             drop_intermediate: bool = False) -> DataFrame:
     """``(by..., threshold, precision, recall)`` per distinct score plus the end
-    point ``(null, 1, 0)``. Recall is 1 everywhere when there is no positive."""
+    point ``(null, 1, 0)``. Recall is 1 everywhere when there is no positive.
+
+    ``drop_intermediate`` (scikit-learn >= 1.3): an inner point is kept only
+    where the true-positive count changes into or out of it.
+    """
+    by = list(by)
     cum = cumulative(df, y, s, by)
+    if drop_intermediate:
+        cum = _thin(cum, by, lambda pos, neg, npos, nneg: (pos != 0) | (npos != 0))
     pts = cum.select(*by, F.col("score").alias("threshold"),
                      (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
                      F.when(F.col("P") > 0, F.try_divide(F.col("tp"), F.col("P"))).otherwise(F.lit(1.0)).alias("recall"))

@@ -297,3 +297,21 @@ def test_thinned_roc_curve_matches_sklearn_rule(spark, random_scores, monkeypatc
         {(round(a, 9), round(b, 9), round(c, 9)) for a, b, c in exp}
     full = E.roc_curve(_scored(spark, y, s), "y", "s").count()
     assert len(got) < full - 1
+
+
+def test_thinned_pr_curve_matches_sklearn_rule(spark, random_scores, monkeypatch):
+    monkeypatch.setattr(O, "GROUP_RANGE_MIN", 10)
+    y, s = np.asarray(random_scores[0]), np.asarray(random_scores[1])
+    order = np.argsort(-s, kind="mergesort")
+    ys, ss = y[order], s[order]
+    last = np.r_[np.nonzero(np.diff(ss))[0], len(ss) - 1]
+    tps = np.cumsum(ys)[last]
+    fps = (last + 1) - tps
+    thr = ss[last]
+    keep = np.nonzero(np.r_[True, np.logical_or(np.diff(tps[:-1]), np.diff(tps[1:])), True])[0]
+    exp = {(round(float(t), 9), round(p / (p + f), 9), round(p / tps[-1], 9))
+           for t, f, p in zip(thr[keep], fps[keep], tps[keep])}
+    got = {(round(r["threshold"], 9), round(r["precision"], 9), round(r["recall"], 9))
+           for r in E.pr_curve(_scored(spark, y, s), "y", "s", drop_intermediate=True).collect()
+           if r["threshold"] is not None}
+    assert got == exp
