@@ -32,3 +32,15 @@ def op5_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = S.tree(5, 2, 4)
     out = S.assign(table(spark, sf_dir, "documents"), root, S.grow(root, 40))
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+# --- op8: quality rules -----------------------------------------------------
+
+@query("op8_crf_quality")
+def op8_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and CRF verdict of every document."""
+    from . import quality as Q
+    docs = table(spark, sf_dir, "documents")
+    out = Q.judge(docs, Q.train(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                      "kept", F.round("content_share", 6).alias("content_share"))

@@ -55,14 +55,16 @@ _ODD = np.uint64(0xD6E8FEB86659FD93)
 @dataclass
 class Words:
     """Words of some documents: hash, start and end byte per word, and for
-    document i the words ``first[i]:first[i + 1]``. ``base`` is the row of
-    document 0 within the batch."""
+    document i the words ``first[i]:first[i + 1]`` and the bytes
+    ``off[i]:off[i + 1]`` of ``data``. ``base`` is the row of document 0 within
+    the batch."""
     base: int
     data: np.ndarray
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
     first: np.ndarray
+    off: np.ndarray
 
     def __len__(self):
         return len(self.first) - 1
@@ -129,7 +131,7 @@ def _words(base: int, b: np.ndarray, off: np.ndarray, lower: bool, seps: np.ndar
     n = len(b)
     if n == 0:
         z = np.zeros(0, np.int64)
-        return Words(base, b, z, z, np.zeros(0, np.uint64), np.zeros(len(off), np.int64))
+        return Words(base, b, z, z, np.zeros(0, np.uint64), np.zeros(len(off), np.int64), off)
     inside = ~seps[b]
     edge = np.zeros(n + 1, bool)            # a document starts here
     edge[off] = True
@@ -140,7 +142,7 @@ def _words(base: int, b: np.ndarray, off: np.ndarray, lower: bool, seps: np.ndar
     s = np.flatnonzero(start)
     e = np.flatnonzero(stop) + 1
     if len(s) == 0:
-        return Words(base, b, s, e, np.zeros(0, np.uint64), np.zeros(len(off), np.int64))
+        return Words(base, b, s, e, np.zeros(0, np.uint64), np.zeros(len(off), np.int64), off)
     eight = np.zeros(n + 8, np.uint8)       # so that eight bytes can be read at any byte
     np.take(_LOWER, b, out=eight[:n]) if lower else np.copyto(eight[:n], b)
     at = np.ndarray((n,), "<u8", eight, strides=(1,))
@@ -152,7 +154,7 @@ def _words(base: int, b: np.ndarray, off: np.ndarray, lower: bool, seps: np.ndar
         left = size[more] - done
         h[more] = mix(h[more] * _ODD + (at[s[more] + done] & _FIRST[np.minimum(left, 8)]))
         more, done = more[left > 8], done + 8
-    return Words(base, b, s, e, h, np.searchsorted(s, off))
+    return Words(base, b, s, e, h, np.searchsorted(s, off), off)
 
 
 def signed(x: np.ndarray) -> np.ndarray:
