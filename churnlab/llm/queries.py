@@ -44,3 +44,13 @@ def op8_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = Q.judge(docs, Q.train(docs, table(spark, sf_dir, "labels")))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       "kept", F.round("content_share", 6).alias("content_share"))
+
+
+# --- op9: personal data -----------------------------------------------------
+
+@query("op9_personal_data")
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    from . import pii as P
+    out = P.report(P.find(table(spark, sf_dir, "documents")))
+    return out.withColumnRenamed("id", "doc_id")
