@@ -54,3 +54,15 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pii as P
     out = P.report(P.find(table(spark, sf_dir, "documents")))
     return out.withColumnRenamed("id", "doc_id")
+
+
+# --- op2: toxicity ----------------------------------------------------------
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the rows that are not held out."""
+    from . import toxicity as T
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    docs = table(spark, sf_dir, "documents")
+    lex = T.learn(docs, table(spark, sf_dir, "labels"), train=fold != 1)
+    return T.score(docs, lex).select("doc_id", (fold == 1).alias("held_out"), "score", "predicted", "n_hits")
