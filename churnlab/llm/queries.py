@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,7 +25,46 @@ def query(name: str, oracle: str | None = None):
 
 # --- op5: sharding ----------------------------------------------------------
 
-@query("op5_hash_tree")
+def _nibble_table() -> str:
+    """CRC-32 table of the 16 half-bytes, from its polynomial."""
+    out = []
+    for x in range(16):
+        for _ in range(4):
+            x = (x >> 1) ^ 0xEDB88320 if x & 1 else x >> 1
+        out.append(f"{x}::UBIGINT")
+    return f"[{', '.join(out)}]"
+
+
+def _op5_sql(shards: int = 40, per_region: int = 8, per_rack: int = 4) -> str:
+    """Every node of the tree as a row; each document takes the child with the
+    smallest draw at each level."""
+    half = "xor({a} >> 4, " + _nibble_table() + "[({a} & 15)::INT + 1])"
+    byte = ("list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda p: ((instr('0123456789ABCDEF', p[1]) - 1)"
+            " * 16 + instr('0123456789ABCDEF', p[2]) - 1)::UBIGINT)")
+    crc = (f"xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, {byte}), lambda a, d: "
+           f"{half.format(a=half.format(a='xor(a, d)'))}))::BIGINT")
+
+    def draw(path, weight):
+        return f"-ln((('0x' || substr(md5(k || '|' || {path}), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0) / {weight}"
+    regions, racks = shards // per_region, per_region // per_rack
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(doc_id::VARCHAR, '') AS k FROM documents),
+ g AS (SELECT doc_id, arg_min(g, w) AS g, min(w) AS w FROM (
+   SELECT doc_id, g, {draw("'/g' || g", per_region)} AS w FROM d, range({regions}) AS r(g)) GROUP BY doc_id),
+ c AS (SELECT doc_id, arg_min(c, w) AS c FROM (
+   SELECT doc_id, c, {draw("'/g' || g || '/k' || c", per_rack)} AS w
+   FROM d JOIN g USING (doc_id), range({racks}) AS r(c)) GROUP BY doc_id),
+ s AS (SELECT doc_id, arg_min(s, w) AS shard FROM (
+   SELECT doc_id, (g * {racks} + c) * {per_rack} + s AS s,
+     {draw(f"'/g' || g || '/k' || c || '/s' || ((g * {racks} + c) * {per_rack} + s)", 1)} AS w
+   FROM d JOIN g USING (doc_id) JOIN c USING (doc_id), range({per_rack}) AS r(s)) GROUP BY doc_id)
+SELECT doc_id, (strlen(text) + 16)::BIGINT AS size, {crc} AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY ('0x' || substr(md5(k || '|slot'), 1, 13))::BIGINT, doc_id) - 1 AS slot,
+  (CASE WHEN {draw(f"'/g{regions}'", 1)} < g.w THEN {shards} ELSE shard END)::INTEGER AS grown_shard
+FROM d JOIN g USING (doc_id) JOIN s USING (doc_id)"""
+
+
+@query("op5_hash_tree", _op5_sql())
 def op5_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 40 equal shards of 5 regions x 2 racks x 4 shards."""
     from . import shards as S
@@ -66,3 +105,27 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lex = T.learn(docs, table(spark, sf_dir, "labels"), train=fold != 1)
     return T.score(docs, lex).select("doc_id", (fold == 1).alias("held_out"), "score", "predicted", "n_hits")
+
+
+# --- op6: WARC --------------------------------------------------------------
+
+def _op6_sql() -> str:
+    """SHA-1 in base 32: every five hexadecimal digits are four characters."""
+    letters = [f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v[{i}] >> {s}) & 31)::INT + 1, 1)"
+               for i in range(1, 9) for s in (15, 10, 5, 0)]
+    return f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+ q AS (SELECT *, list_transform(range(8), lambda i: ('0x' || substr(h, 5 * i + 1, 5))::BIGINT) AS v,
+   min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {' || '.join(letters)} AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM q"""
+
+
+@query("op6_warc", _op6_sql())
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    from . import warc
+    manifest = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return warc.report(warc.read(spark, manifest, payload=False))
