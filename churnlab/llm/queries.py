@@ -129,3 +129,51 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import warc
     manifest = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
     return warc.report(warc.read(spark, manifest, payload=False))
+
+
+# --- op7: mixing ------------------------------------------------------------
+
+def _op7_sql(rounds: int = 25, rate: float = 0.5) -> str:
+    """The raking as one CTE for each margin of each round."""
+    ctes, last = [], "c0"
+    for r in range(rounds):
+        for m in ("s", "l", "t"):
+            new = f"r{r}{m}"
+            w = f"CASE WHEN sum(n * w) OVER (PARTITION BY {m}) > 0 THEN w * g{m} / sum(n * w) OVER (PARTITION BY {m}) ELSE w END"
+            if m == "t":
+                w = f"least({1 / rate}, {w})"
+            ctes.append(f"{new} AS MATERIALIZED (SELECT s, l, t, n, gs, gl, gt, {w} AS w FROM {last})")
+            last = new
+    goals = ", ".join(
+        f"sqrt(n{m}) / (SELECT sum(sqrt(n)) FROM (SELECT sum(n) AS n FROM b GROUP BY {m})) * (SELECT sum(n) FROM b) AS g{m}"
+        for m in ("s", "l", "t"))
+    return f"""
+WITH d AS (SELECT doc_id, source AS s, lang AS l, CASE
+    WHEN regexp_matches(coalesce(text, ''), '(?i)licen[sc]e|copyright') THEN 'legal'
+    WHEN contains(coalesce(text, ''), '@') THEN 'contact' WHEN contains(coalesce(text, ''), ' | ') THEN 'tabular'
+    WHEN length(coalesce(text, '')) > 8000 THEN 'longform' WHEN length(coalesce(text, '')) < 600 THEN 'note'
+    ELSE 'prose' END AS t,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n FROM documents),
+ b AS (SELECT s, l, t, sum(n)::DOUBLE AS n FROM d GROUP BY s, l, t),
+ b2 AS (SELECT *, sum(n) OVER (PARTITION BY s) AS ns, sum(n) OVER (PARTITION BY l) AS nl,
+   sum(n) OVER (PARTITION BY t) AS nt FROM b),
+ c0 AS MATERIALIZED (SELECT s, l, t, n, {goals}, 1.0::DOUBLE AS w FROM b2),
+ {', '.join(ctes)},
+ p AS (SELECT s, l, t, w, w * {rate} AS p FROM {last})
+SELECT doc_id, d.s AS source, d.l AS lang, d.t AS topic, d.n AS tokens, round(w, 6) AS weight,
+  round(p, 6) AS probability,
+  (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|mix'), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 < p
+    AS selected
+FROM d JOIN p ON p.s IS NOT DISTINCT FROM d.s AND p.l IS NOT DISTINCT FROM d.l AND p.t IS NOT DISTINCT FROM d.t"""
+
+
+@query("op7_mixing", _op7_sql())
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling probability of every document after raking to tempered shares."""
+    from . import mixing as M
+    docs = table(spark, sf_dir, "documents")
+    out = M.apply(docs, M.fit(docs))
+    return out.select("doc_id", "source", "lang", F.col("_topic").alias("topic"),
+                      F.coalesce(F.regexp_count("text", F.lit(M.WORD)), F.lit(0)).cast("long").alias("tokens"),
+                      F.round("_weight", 6).alias("weight"), F.round("_probability", 6).alias("probability"),
+                      F.col("_selected").alias("selected"))
