@@ -177,3 +177,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce(F.regexp_count("text", F.lit(M.WORD)), F.lit(0)).cast("long").alias("tokens"),
                       F.round("_weight", 6).alias("weight"), F.round("_probability", 6).alias("probability"),
                       F.col("_selected").alias("selected"))
+
+
+# --- op1: benchmark decontamination -----------------------------------------
+
+@query("op1_decontaminate")
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item, with the best alignment of each pair."""
+    from . import decontaminate as D
+    out = D.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.withColumn("similarity", F.round("similarity", 6))
