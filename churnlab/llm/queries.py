@@ -187,3 +187,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import decontaminate as D
     out = D.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.withColumn("similarity", F.round("similarity", 6))
+
+
+# --- op3: substring de-duplication ------------------------------------------
+
+@query("op3_substrings")
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left after removing all recurring windows of 35 words."""
+    from . import substrings as S
+    return S.report(table(spark, sf_dir, "documents"))
