@@ -84,3 +84,24 @@ def arrow_rows(spark: SparkSession, rows: int) -> None:
     """Rows per Arrow batch handed to Python tasks: whole texts are large, so
     batches are kept to a few hundred documents."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def bit_table(keys: DataFrame, key: str, bits: int):
+    """Bit table of a long column as a NumPy array of ``bits / 64`` words: the
+    bit ``key & (bits - 1)`` is set for every key. ``bits`` is a power of two, so
+    at most ``bits / 64`` rows reach the driver whatever the number of keys. A
+    key that is not in the column may find its bit set; one that is always does."""
+    import numpy as np
+    cells = keys.groupBy(F.shiftright(F.col(key).bitwiseAND(F.lit(bits - 1)), 6).alias("i")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast({key} & 63 as int))")).alias("w"))
+    got = cells.toPandas()
+    table = np.zeros(bits // 64, np.uint64)
+    table[got["i"].to_numpy(np.int64)] = got["w"].to_numpy(np.int64).view(np.uint64)
+    return table
+
+
+def in_table(table, key):
+    """Whether the bits of unsigned 64-bit keys are set."""
+    import numpy as np
+    b = key & np.uint64(len(table) * 64 - 1)
+    return (table[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63))) & np.uint64(1) != 0

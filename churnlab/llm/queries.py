@@ -196,3 +196,12 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after removing all recurring windows of 35 words."""
     from . import substrings as S
     return S.report(table(spark, sf_dir, "documents"))
+
+
+# --- op4: n-gram Jaccard join -----------------------------------------------
+
+@query("op4_jaccard")
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under Jaccard links of 5-word shingles."""
+    from . import jaccard as J
+    return J.classes(table(spark, sf_dir, "documents"))
