@@ -205,3 +205,12 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under Jaccard links of 5-word shingles."""
     from . import jaccard as J
     return J.classes(table(spark, sf_dir, "documents"))
+
+
+# --- op10: line de-duplication ----------------------------------------------
+
+@query("op10_fuzzy_lines")
+def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that repeat an earlier line or nearly do."""
+    from . import lines as L
+    return L.report(table(spark, sf_dir, "documents"))
