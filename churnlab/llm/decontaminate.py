@@ -145,35 +145,38 @@ def _count(docs: DataFrame, index: Index) -> np.ndarray:
     return out
 
 
+def _aligned(index: Index, col, threshold: float):
+    """(row, item, similarity, first word, end word, seeds) of the pairs of a
+    text column that reach the threshold."""
+    for w in W.split(col, folded=True):
+        got = _hits(index, w)
+        if got is None or not len(got[0]):
+            continue
+        at, k = got
+        many = index.upto[k] - index.at[k]
+        at = np.repeat(at, many)
+        e = np.repeat(index.at[k], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        doc, item, pos = w.doc[at], index.item[e], index.pos[e]
+        pair = doc * len(index.items) + item
+        order = np.argsort(pair, kind="stable")
+        start = np.flatnonzero(np.append(True, np.diff(pair[order]) != 0))
+        for own in np.split(order, start[1:]):
+            if len(own) < MIN_SEEDS:
+                continue
+            d, i = int(doc[own[0]]), int(item[own[0]])
+            a, z = w.first[d], w.first[d + 1]
+            words, size, best = w.hash[a:z], len(index.items[i]), (0, 0, 0)
+            for lo, hi in regions(at[own] - a, pos[own], size, len(words)):
+                s, x, y = align(index.items[i], words[lo:hi])
+                best = max(best, (s, -(lo + x), lo + y))
+            if best[0] >= threshold * MATCH * size:
+                yield w.base + d, i, best[0] / (MATCH * size), -best[1], best[2], len(np.unique(pos[own]))
+
+
 def _link(docs: DataFrame, index: Index, threshold: float, id_type: str, item_type: str) -> DataFrame:
     def run(batches):
         for batch in batches:
-            rows = []
-            for w in W.split(batch.column("t"), folded=True):
-                got = _hits(index, w)
-                if got is None or not len(got[0]):
-                    continue
-                at, k = got
-                many = index.upto[k] - index.at[k]
-                at = np.repeat(at, many)
-                e = np.repeat(index.at[k], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                doc, item, pos = w.doc[at], index.item[e], index.pos[e]
-                pair = doc * len(index.items) + item
-                order = np.argsort(pair, kind="stable")
-                start = np.flatnonzero(np.append(True, np.diff(pair[order]) != 0))
-                for own in np.split(order, start[1:]):
-                    if len(own) < MIN_SEEDS:
-                        continue
-                    d, i = int(doc[own[0]]), int(item[own[0]])
-                    a, z = w.first[d], w.first[d + 1]
-                    words, size, best = w.hash[a:z], len(index.items[i]), (0, 0, 0)
-                    for lo, hi in regions(at[own] - a, pos[own], size, len(words)):
-                        s, x, y = align(index.items[i], words[lo:hi])
-                        best = max(best, (s, -(lo + x), lo + y))
-                    if best[0] >= threshold * MATCH * size:
-                        rows.append((w.base + d, i, best[0] / (MATCH * size), -best[1], best[2],
-                                     len(np.unique(pos[own]))))
-            r = [list(x) for x in zip(*rows)] or [[]] * 6
+            r = [list(x) for x in zip(*_aligned(index, batch.column("t"), threshold))] or [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(pa.array(r[0], pa.int64())),
                  pa.array([index.ids[i] for i in r[1]], item_arrow), pa.array(r[2], pa.float64()),
@@ -185,33 +188,57 @@ def _link(docs: DataFrame, index: Index, threshold: float, id_type: str, item_ty
                                 "similarity double, first_word long, end_word long, n_seeds long")
 
 
-def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
-         item_col: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD,
-         slab_chars: int = SLAB_CHARS) -> DataFrame:
-    """Links ``id, item, similarity, first_word, end_word, n_seeds`` between
-    documents and the test items they hold: the best alignment of each pair,
-    and the range of folded words it covers."""
+def _indexes(docs: DataFrame, benchmark: DataFrame, text: str, item_col: str, item_text: str, slab_chars: int):
+    """The index of each slab of test items, with the seeds that are rare in
+    all documents, and the type of the item ids."""
     arrow_rows(docs.sparkSession, 500)
     items = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).alias("t"))
     item_type = items.schema["i"].dataType.simpleString()
     if item_type not in ("bigint", "long"):
         items = items.withColumn("i", F.col("i").cast("string"))
     chars = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0)).alias("n")).first().n
-    slabs = chars // slab_chars + 1
-    d = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
-    id_type = d.schema["id"].dataType.simpleString()
-    total, out = docs.count(), None
+    slabs, out, total = chars // slab_chars + 1, [], docs.count()
     for s in range(slabs):
         part = items.filter(F.pmod(F.xxhash64("t"), F.lit(slabs)) == s) if slabs > 1 else items
         rows = sorted(part.collect(), key=lambda r: (r.i is None, r.i if r.i is not None else 0, r.t or ""))
         index = Index([r.i for r in rows], [r.t for r in rows])
-        index.thin(_count(d.select("t"), index), total)
+        index.thin(_count(docs.select(F.col(text).alias("t")), index), total)
+        out.append(index)
+    return out, item_type
+
+
+def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
+         item_col: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD,
+         slab_chars: int = SLAB_CHARS) -> DataFrame:
+    """Links ``id, item, similarity, first_word, end_word, n_seeds`` between
+    documents and the test items they hold: the best alignment of each pair,
+    and the range of folded words it covers."""
+    indexes, item_type = _indexes(docs, benchmark, text, item_col, item_text, slab_chars)
+    d = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
+    id_type, out = d.schema["id"].dataType.simpleString(), None
+    for index in indexes:
         links = _link(d, index, threshold, id_type, item_type)
         out = links if out is None else out.unionByName(links)
     return out.withColumnsRenamed({"id": id_col, "item": item_col})
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that hold no test item, with their columns."""
-    held = find(docs, benchmark, id_col, **options).select(F.col(id_col).alias("_held")).distinct()
-    return docs.join(held, F.col(f"`{id_col}`").eqNullSafe(F.col("_held")), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_col: str = "item_id",
+          item_text: str = "text", threshold: float = THRESHOLD, slab_chars: int = SLAB_CHARS) -> DataFrame:
+    """The rows of ``docs`` that hold no test item, with their columns: each
+    slab's pass drops its rows, nothing is shuffled."""
+    indexes, _ = _indexes(docs, benchmark, text, item_col, item_text, slab_chars)
+    at, names = docs.columns.index(text), docs.columns
+    out = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    for index in indexes:
+        out = out.mapInArrow(_dropper(index, at, threshold), out.schema)
+    return out.toDF(*names)
+
+
+def _dropper(index: Index, at: int, threshold: float):
+    def run(batches):
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for r in _aligned(index, batch.column(at), threshold):
+                keep[r[0]] = False
+            yield batch.filter(pa.array(keep))
+    return run

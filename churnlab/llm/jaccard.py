@@ -30,7 +30,8 @@ where its set is needed, so sets are never stored or shuffled as a whole table.
 Null and empty texts and texts without words have no shingles and link with
 nothing; texts with fewer words than a shingle are one shingle. Repeated rows
 share a node. Null ids are members that never name a component (a component of
-null ids alone has id null). An empty table gives an empty result; columns
+null ids alone has id null). The input is read several times and has to give
+the same rows each time, as a table does. An empty table gives an empty result; columns
 other than id and text are ignored, ``keep_one`` keeps them.
 """
 
@@ -86,7 +87,7 @@ _SKETCH = W._splitmix(6, 77)
 
 
 def _nodes(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """One row per document: ``id, n, fp`` (name of the set), ``f`` (its first
+    """One row per document: ``row, id, n, fp`` (name of the set), ``f`` (its first
     64 bits), ``sketch`` (three pairs of minimum hashes) and ``low`` (somewhat
     more shingles than the prefix, by hash)."""
     id_type = docs.schema["id"].dataType.simpleString()
@@ -110,11 +111,11 @@ def _nodes(docs: DataFrame, k: int, percent: int) -> DataFrame:
             lows = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)),
                                             pa.array(np.concatenate(low) if low else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(f, pa.int64()),
-                 pa.array(sk, pa.list_(pa.int64())), lows], ["id", "n", "fp", "f", "sketch", "low"])
+                [batch.column("row"), batch.column("id"), pa.array(n, pa.int64()), pa.array(fp, pa.binary()),
+                 pa.array(f, pa.int64()), pa.array(sk, pa.list_(pa.int64())), lows], ["row", "id", "n", "fp", "f", "sketch", "low"])
 
-    return docs.select("id", "t").mapInArrow(
-        run, f"id {id_type}, n long, fp binary, f long, sketch array<long>, low array<long>")
+    return docs.select("row", "id", "t").mapInArrow(
+        run, f"row long, id {id_type}, n long, fp binary, f long, sketch array<long>, low array<long>")
 
 
 def _sets(docs: DataFrame, table, k: int) -> DataFrame:
@@ -338,13 +339,13 @@ def _verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
 def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT,
          crowd: int = CROWD, pivots: int = PIVOTS, pivot_shingles: int = PIVOT_SHINGLES, rounds: int = ROUNDS,
          frequent: int = FREQUENT, max_frequent: int = MAX_FREQUENT, bits: int = TABLE_BITS):
-    """(membership, nodes, links): ``id, n, fp`` per document, ``fp, id`` per
+    """(membership, nodes, links): ``row, id, n, fp`` per document, ``fp, id`` per
     node with its smallest id, and the links ``a, b`` between nodes: all links to pivots, and all links of the nodes that the
     pivots did not settle. Two nodes are connected by them if and only if
     they are connected by the links of all pairs."""
     spark = docs.sparkSession
     arrow_rows(spark, 500)
-    d = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
+    d = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text).alias("t"))
     rows = materialize(_nodes(d, k, percent), "sets")
     reps = materialize(rows.filter("n > 0").groupBy("fp").agg(
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("f").alias("f"), F.first("sketch").alias("sketch")),
@@ -378,26 +379,34 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = S
     found = _sets(d, table, k).dropDuplicates(["fp"]).select("fp", "tokens")
     exact = _verify(pairs, found, percent)
     links = exact if links is None else links.union(exact)
-    return rows.select("id", "n", "fp"), reps.select("fp", "id"), links
+    return rows.select("row", "id", "n", "fp"), reps.select("fp", "id"), links
+
+
+def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``fp, id, root`` of every node; a component's root is its smallest name."""
+    comp = components(links).withColumnRenamed("id", "fp")
+    return nodes.join(comp, "fp", "left").select("fp", "id", F.coalesce("component", "fp").alias("root"))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``id, n_shingles, component_id`` of every document: the smallest id that
     links reach, its own included."""
     members, nodes, links = link(docs, id_col, **options)
-    comp = components(links)
-    root = nodes.join(comp.withColumnRenamed("id", "fp"), "fp", "left").select(
-        "fp", "id", F.coalesce("component", "fp").alias("root"))
+    root = _rooted(nodes, links)
     low = root.groupBy("root").agg(F.min("id").alias("component_id"))
     named = salted_join(root.select("fp", "root"), low, ["root"], ["fp"]).select("fp", "component_id")
-    full = salted_join(members.filter("n > 0"), named, ["fp"], ["id"]).select("id", "n", "component_id")
+    full = salted_join(members.filter("n > 0"), named, ["fp"], ["row"]).select("id", "n", "component_id")
     none = members.filter("n = 0").select("id", "n", F.col("id").alias("component_id"))
     return full.union(none).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """One document of each component, the one with the smallest id (of rows
-    with that id, one)."""
-    cls = classes(docs, id_col, **options)
-    first = cls.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_first")).distinct()
-    return docs.join(first, F.col(f"`{id_col}`") == F.col("_first"), "left_semi").dropDuplicates([id_col])
+    """The rows of ``docs`` without those of a component but its first (by id,
+    rows without an id last, then by row), and all rows without shingles."""
+    members, nodes, links = link(docs, id_col, **options)
+    root = _rooted(nodes, links).select("fp", "root")
+    own = salted_join(members.filter("n > 0"), root, ["fp"], ["row"])
+    first = own.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row")).alias("m"))
+    kept = first.select(F.col("m.row").alias("_row")).union(members.filter("n = 0").select("row"))
+    d = docs.withColumn("_row", F.monotonically_increasing_id())
+    return d.join(kept, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

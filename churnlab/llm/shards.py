@@ -121,6 +121,11 @@ def assign(docs: DataFrame, root: Node, grown: Node | None = None, id_col: str =
                       F.col("grown").alias("grown_shard"))
 
 
+def label(docs: DataFrame, root: Node, id_col: str = "doc_id", out: str = "shard") -> DataFrame:
+    """The rows of ``docs`` with their shard; a column of that name is replaced."""
+    return docs.withColumn(out, place(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), root))
+
+
 def _leaves(node: Node) -> int:
     return 1 if node.shard is not None else sum(map(_leaves, node.children))
 
