@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import risk_grade
-from .ordered import top_n
+from .ordered import _tie_positions, null_safe_join, rank_cut, running_totals, top_n
 
 # Business-score weight presets of the model comparison page.
 WEIGHT_PRESETS = {
@@ -89,14 +89,11 @@ def campaign_status(df: DataFrame, id_col: str, s: str, t: float, capacity: int,
                     by: Sequence[str] = ()) -> DataFrame:
     """Every member over the threshold flagged ``selected`` or ``waitlist``.
 
-    The selected set is the exact top-``capacity`` list (``top_n``); it is
-    joined back on (group, id), so no window spans a whole group.
+    The selected set is the exact top-``capacity`` list (``ordered.rank_cut``).
     """
     above = df.filter(F.col(s) >= F.lit(float(t)))
-    chosen = top_n(above, s, id_col, capacity, by=by).select(*by, id_col).withColumn("_sel", F.lit(True))
-    return (above.join(chosen, [*by, id_col], "left")
-            .withColumn("status", F.when(F.col("_sel"), "selected").otherwise("waitlist"))
-            .drop("_sel"))
+    return (rank_cut(above, s, id_col, capacity, by=by)
+            .withColumn("status", F.when(F.col("_in_top"), "selected").otherwise("waitlist")).drop("_in_top"))
 
 
 def waitlist(df: DataFrame, id_col: str, s: str, t: float, capacity: int,
@@ -159,28 +156,39 @@ def lift_table(df: DataFrame, id_col: str, y: str, s: str, n: int = 10,
     """Risk deciles (``ntile`` over score desc, id asc): size, churners, rate,
     cumulative capture and lift per decile (H1).
 
-    The decile of each row comes from its exact rank, computed without a
-    global window (``ordered.global_rank``); the per-decile table has ``n``
-    rows per group.
+    Deciles come from the histogram of scores: its running counts give each
+    score's ranks. Rows without a score are left out.
     """
-    from .ordered import global_rank
-    r = global_rank(df, s, id_col, by=by, name="_rank")
-    tot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(y).cast("double")).alias("_pos"))
-    r = r.join(tot, list(by)) if by else r.withColumn("_t", tot.select(F.struct("_n", "_pos")).scalar()) \
-        .select("*", "_t._n", "_t._pos").drop("_t")
-    q, rem = F.floor(F.col("_n") / n), F.col("_n") % n
+    by = list(by)
+    scored = df.filter(F.col(s).isNotNull())
+    hist = scored.groupBy(*by, F.col(s).alias("_s")).agg(
+        F.count(F.lit(1)).alias("m"), F.sum(F.col(y).cast("long")).alias("c"))
+    run = running_totals(hist, "_s", ["m", "c"], by=by, prefix="_cum_", descending=True, totals_prefix="_all_")
+    q, rem = F.floor(F.col("_all_m") / n), F.col("_all_m") % n
     big = rem * (q + 1)
-    decile = F.when(F.col("_rank") <= big, F.floor((F.col("_rank") - 1) / (q + 1)) + 1) \
-        .otherwise(rem + F.floor((F.col("_rank") - big - 1) / q) + 1).cast("int")
-    per = (r.withColumn("decile", decile)
-           .groupBy(*by, "decile")
-           .agg(F.count(F.lit(1)).alias("members"), F.sum(F.col(y).cast("long")).alias("churners"),
-                F.first("_n").alias("_n"), F.first("_pos").alias("_pos"), F.min(s).alias("min_score")))
+
+    def decile(rank):
+        return F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1) \
+            .otherwise(rem + F.floor((rank - big - 1) / q) + 1).cast("int")
+
+    run = run.withColumn("_above", F.col("_cum_m") - F.col("m"))
+    run = run.withColumn("decile", decile(F.col("_above") + 1)).withColumn("_last", decile(F.col("_cum_m")))
+    whole = run.filter("decile = _last").select(*by, "decile", "m", "c", "_s", "_all_m", "_all_c")
+    # at most n - 1 scores of a group span a decile border; their rows are put in id order
+    split = run.filter("decile <> _last").select(*by, F.col("_s").alias(s), "_above", "_all_m", "_all_c")
+    tied = null_safe_join(scored.select(*by, F.col(id_col), F.col(y).cast("long").alias("c"), F.col(s)),
+                          split if by else F.broadcast(split), by, [s])
+    tied = _tie_positions(tied, s, id_col, by, None).withColumn("decile", decile(F.col("_above") + F.col("_pos")))
+    parts = whole.unionByName(tied.select(*by, "decile", F.lit(1).cast("long").alias("m"), "c", F.col(s).alias("_s"),
+                                          "_all_m", "_all_c"))
+    per = parts.groupBy(*by, "decile").agg(
+        F.sum("m").alias("members"), F.sum("c").alias("churners"), F.first("_all_m").alias("_n"),
+        F.first("_all_c").cast("double").alias("_pos"), F.min("_s").alias("min_score"))
     cum = Window.partitionBy(*by).orderBy("decile").rowsBetween(Window.unboundedPreceding, 0)
     rate = F.col("churners") / F.col("members")
     return per.select(*by, "decile", "members", "churners", "min_score", rate.alias("churn_rate"),
-                      (F.sum("churners").over(cum) / F.col("_pos")).alias("cum_capture"),
-                      (rate / (F.col("_pos") / F.col("_n"))).alias("lift"))
+                      F.try_divide(F.sum("churners").over(cum), F.col("_pos")).alias("cum_capture"),
+                      F.try_divide(rate, F.col("_pos") / F.col("_n")).alias("lift"))
 
 
 def exclude(df: DataFrame, id_col: str, *blocklists: DataFrame) -> DataFrame:

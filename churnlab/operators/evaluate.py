@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div
-from .ordered import _with_bucket, running_totals
+from .ordered import _with_bucket, null_safe_join, running_totals
 
 
 def predictions(df: DataFrame, s: str, t: float, name: str = "y_pred") -> DataFrame:
@@ -77,7 +77,7 @@ def cumulative(df: DataFrame, y: str, s: str, by: Sequence[str] = (),
 
 
 def _auc_ap(cum: DataFrame, by: Sequence[str]) -> DataFrame:
-    pn = F.col("P") * F.col("N")
+    pn = F.col("P").cast("double") * F.col("N")     # counts beyond 3e9 overflow a long product
     return (cum.groupBy(*by)
             .agg(F.sum(F.col("pos") * (F.col("N") - F.col("fp") + 0.5 * F.col("neg"))).alias("_auc_num"),
                  F.sum(F.try_divide(F.col("pos"), F.col("P")) * (F.col("tp") / (F.col("tp") + F.col("fp")))).alias("_ap"),
@@ -105,7 +105,7 @@ def _thin(cum: DataFrame, by: Sequence[str], keep) -> DataFrame:
                             prefix="_r", descending=True)
     nxt = ranked.select(*by, (F.col("_r_one") - 1).alias("_r_one"),
                         F.col("pos").alias("_npos"), F.col("neg").alias("_nneg"))
-    j = ranked.join(nxt, [*by, "_r_one"], "left")
+    j = null_safe_join(ranked, nxt, by, ["_r_one"], "left")
     last = F.col("_npos").isNull()
     return j.filter((F.col("_r_one") == 1) | last
                     | keep(F.col("pos"), F.col("neg"), F.col("_npos"), F.col("_nneg")))
@@ -173,7 +173,7 @@ def trapezoid(curve: DataFrame, x: str, y: str, by: Sequence[str] = (),
     last = tagged.groupBy(*by, b).agg(F.max(F.struct("_x", "_y")).alias("_last"))
     prev = (last.withColumn("_prev", F.lag("_last").over(Window.partitionBy(*by).orderBy(b)))
             .select(*by, b, "_prev"))
-    j = local.join(prev, [*by, b], "left")
+    j = null_safe_join(local, prev, by, [b], "left")
     px = F.coalesce(F.col("_px"), F.col("_prev._x"))
     py = F.coalesce(F.col("_py"), F.col("_prev._y"))
     seg = F.when(px.isNull(), F.lit(0.0)).otherwise((F.col("_x") - px) * (F.col("_y") + py) / 2)
@@ -199,12 +199,13 @@ def metrics(df: DataFrame, y: str, s: str, t: float = 0.5, by: Sequence[str] = (
 
     One pass over the scored set (the score histogram) and one aggregate over
     the running counts give the confusion cells at ``t`` and the curve sums
-    together.
+    together. Rows without a score are left out of every figure (``total`` counts
+    the scored rows).
     """
     by = list(by)
     cum = cumulative(df, y, s, by)
     at = F.col("score") >= F.lit(float(t))
-    pn = F.col("P") * F.col("N")
+    pn = F.col("P").cast("double") * F.col("N")     # counts beyond 3e9 overflow a long product
     agg = cum.groupBy(*by).agg(
         F.coalesce(F.sum(F.when(~at, F.col("neg"))), F.lit(0)).alias("tn"),
         F.coalesce(F.sum(F.when(at, F.col("neg"))), F.lit(0)).alias("fp"),
@@ -227,19 +228,20 @@ def threshold_sweep(df: DataFrame, y: str, s: str, start: int = 5, stop: int = 9
 
     Each row is placed in the highest centile bin ``k`` with ``score >= k/100``
     (exact double comparison, so equal to evaluating every threshold); the
-    per-threshold counts are suffix sums over at most 101 bins per group.
+    per-threshold counts are suffix sums over at most 101 bins per group. Rows
+    without a score are selected by no threshold and left out, as in ``metrics``.
     """
     by = list(by)
     sc = F.col(s).cast("double")
     b0 = F.floor(sc * 100).cast("int")
     b1 = (F.when(sc >= (b0 + 1).cast("double") / 100.0, b0 + 1)
           .when(sc < b0.cast("double") / 100.0, b0 - 1).otherwise(b0))
-    binned = df.select(*by, F.col(y).alias("_y"), F.greatest(F.least(b1, F.lit(100)), F.lit(-1)).alias("_k"))
+    binned = df.filter(sc.isNotNull()).select(*by, F.col(y).alias("_y"), F.greatest(F.least(b1, F.lit(100)), F.lit(-1)).alias("_k"))
     counts = (binned.groupBy(*by, "_k")
               .agg(F.count(F.when(F.col("_y") == 1, 1)).alias("_p"), F.count(F.when(F.col("_y") != 1, 1)).alias("_n")))
     tot = counts.groupBy(*by).agg(F.sum("_p").alias("P"), F.sum("_n").alias("N"))
     grid = tot.select(*by, "P", "N", F.explode(F.sequence(F.lit(-1), F.lit(100))).alias("_k"))
-    g = grid.join(counts, [*by, "_k"], "left").fillna(0, ["_p", "_n"])
+    g = null_safe_join(grid, counts, by, ["_k"], "left").fillna(0, ["_p", "_n"])
     above = Window.partitionBy(*by).orderBy(F.desc("_k")).rowsBetween(Window.unboundedPreceding, 0)
     g = g.withColumn("tp", F.sum("_p").over(above)).withColumn("fp", F.sum("_n").over(above))
     g = g.filter((F.col("_k") >= start) & (F.col("_k") <= stop))

@@ -17,8 +17,8 @@ here keep the same exact results while spreading the work:
   counts, so no task holds an unbounded value map.
 * ``rank_cut`` / ``top_n`` / ``global_rank`` -- rows in ``(key desc, id asc)``
   order: through the histogram of keys and, inside a tied key, the order of
-  ids. Tie groups are sized first; heavy ties (one key holding a third of the
-  table) are split by id ranges, not sent to one task.
+  ids, cut into id ranges, so that heavy ties (one key holding a third of the
+  table) are not sent to one task.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import shuffle_partitions
 
@@ -36,6 +37,22 @@ _B = "_rt_bucket"
 GROUP_RANGE_MIN = 100_000
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: Sequence[str] = (),
+                   how: str = "inner") -> DataFrame:
+    """Equi-join on the grouping columns ``by``, where a null group meets the
+    null group, and on the columns ``on``. The keys of the right side are
+    dropped. A plain join on ``by`` would lose the rows of a null group."""
+    keys = [*by, *on]
+    names = {c: f"_ns_{i}" for i, c in enumerate(keys)}
+    r = right.withColumnsRenamed(names)
+    cond = F.lit(True)
+    for c in by:
+        cond = cond & F.col(f"`{c}`").eqNullSafe(F.col(names[c]))
+    for c in on:
+        cond = cond & (F.col(f"`{c}`") == F.col(names[c]))
+    return left.join(r, cond, how).drop(*names.values())
+
+
 def _n_buckets(df: DataFrame, buckets: int | None) -> int:
     if buckets:
         return max(1, int(buckets))
@@ -70,7 +87,7 @@ def _with_bucket(df: DataFrame, key: str, by: Sequence[str], buckets: int) -> Da
         # only larger groups carry cut points, so many small groups stay cheap
         cuts = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("_gn"), sketch.alias("_c"))
                 .select(*by, F.when(F.col("_gn") > GROUP_RANGE_MIN, F.col("_c")).alias("_rt_cuts")))
-        tagged = df.join(cuts, list(by))
+        tagged = null_safe_join(df, cuts, by)
     else:
         # one bounded array, planned as a scalar subquery (no join at all)
         cuts = df.agg(F.when(F.count(F.lit(1)) > GROUP_RANGE_MIN, sketch))
@@ -100,10 +117,6 @@ def running_totals(df: DataFrame, key: str, values: Sequence[str], by: Sequence[
     else:
         k = key
     tagged = _with_bucket(src, k, by, nb)
-    win = (Window.partitionBy(*by, _B).orderBy(F.col(k))
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = tagged.select("*", *[F.sum(v).over(win).alias(f"_rt_loc_{i}")
-                                 for i, v in enumerate(values)])
     totals = tagged.groupBy(*by, _B).agg(*[F.sum(v).alias(f"_rt_tot_{i}")
                                            for i, v in enumerate(values)])
     before = (Window.partitionBy(*by).orderBy(_B)
@@ -113,11 +126,15 @@ def running_totals(df: DataFrame, key: str, values: Sequence[str], by: Sequence[
         F.coalesce(F.sum(f"_rt_tot_{i}").over(before), F.lit(0)).alias(f"_rt_off_{i}")
         for i in range(len(values))], *[
         F.sum(f"_rt_tot_{i}").over(whole).alias(f"_rt_all_{i}") for i in range(len(values))])
-    out = local.join(offsets, [*by, _B])
+    # dealt by (group, range): a coarser partitioning left by the join would
+    # satisfy the window too and put all ranges of a group in one task
+    shifted = null_safe_join(tagged, offsets, by, [_B]).repartition(*by, _B)
+    win = (Window.partitionBy(*by, _B).orderBy(F.col(k))
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     extra = [F.col(f"_rt_all_{i}").alias(totals_prefix + v) for i, v in enumerate(values)] \
         if totals_prefix else []
-    return out.select(*[F.col(c) for c in df.columns], *[
-        (F.col(f"_rt_loc_{i}") + F.col(f"_rt_off_{i}")).alias(prefix + v)
+    return shifted.select(*[F.col(c) for c in df.columns], *[
+        (F.sum(v).over(win) + F.col(f"_rt_off_{i}")).alias(prefix + v)
         for i, v in enumerate(values)], *extra)
 
 
@@ -197,13 +214,13 @@ def _histogram_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[flo
     ranks = (wanted.select(*grp, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r"))
              .groupBy(*grp).agg(F.collect_set("_r").alias("_rs")))
     # each histogram row covers ranks [cum_n - n, cum_n - 1]; keep the wanted ones
-    hit = (run.join(ranks, grp)
+    hit = (null_safe_join(run, ranks, grp)
            .select(*grp, "value",
                    F.explode(F.filter("_rs", lambda r: (r >= F.col("cum_n") - F.col("n"))
                                       & (r < F.col("cum_n")))).alias("_r")))
     lo = hit.select(*grp, F.col("_r").alias("_lo"), F.col("value").alias("_vlo"))
     hi = hit.select(*grp, F.col("_r").alias("_hi"), F.col("value").alias("_vhi"))
-    return (wanted.join(lo, [*grp, "_lo"]).join(hi, [*grp, "_hi"])
+    return (null_safe_join(null_safe_join(wanted, lo, grp, ["_lo"]), hi, grp, ["_hi"])
             .select(*grp, "prob",
                     (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value")))
 
@@ -220,39 +237,38 @@ def quantile_columns(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 def rank_cut(df: DataFrame, key: str, id_col: str, n: int | Column,
              by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
-    """Flag the first ``n`` rows per group under ``(key desc, id asc)``.
+    """Flag the first ``n`` rows per group under ``(key desc, id asc)``, null
+    keys last.
 
-    Adds boolean column ``_in_top``. Exact, including ties on ``key``: rows of
-    the border key value are admitted by ascending id.
+    Adds boolean column ``_in_top``. Exact, including ties on ``key``: the
+    border key of a group comes from the histogram of keys; rows above it are a
+    plain filter, and only the rows tied at the border are put in id order. A
+    null group is a group of its own.
     """
     by = list(by)
-    n_col = n if isinstance(n, Column) else F.lit(int(n))
+    cap = n if isinstance(n, Column) else F.lit(int(n))
     hist = df.groupBy(*by, key).agg(F.count(F.lit(1)).alias("_kn"))
-    run = running_totals(hist, key, ["_kn"], by=by, buckets=buckets,
+    run = running_totals(hist.filter(F.col(key).isNotNull()), key, ["_kn"], by=by, buckets=buckets,
                          prefix="_cum", descending=True)
-    run = run.withColumn("_cap", n_col)
     # the border key: first key whose running count reaches the capacity
-    border = (run.filter((F.col("_cum_kn") >= F.col("_cap")) & (F.col("_cum_kn") - F.col("_kn") < F.col("_cap")))
-              .select(*by, F.col(key).alias("_bkey"),
-                      (F.col("_cap") - (F.col("_cum_kn") - F.col("_kn"))).alias("_need"),
-                      F.col("_kn").alias("_bkn")))
+    border = (run.withColumn("_cap", cap)
+              .filter((F.col("_cum_kn") >= F.col("_cap")) & (F.col("_cum_kn") - F.col("_kn") < F.col("_cap")))
+              .select(*by, F.col(key).alias("_bkey"), (F.col("_cap") - (F.col("_cum_kn") - F.col("_kn"))).alias("_bneed")))
+    scored = hist.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col(key).isNotNull(), F.col("_kn"))), F.lit(0)).alias("_sn"))
+    # without a border the capacity reaches past the keyed rows to the null keys
+    need = F.coalesce(F.col("_bneed"), cap - F.col("_sn")).cast("long").alias("_need")
     if by:
-        tagged = df.join(border, by, "left")
+        tagged = null_safe_join(df, null_safe_join(scored, border, by, how="left").select(*by, "_bkey", need), by)
     else:
-        b = border.select(F.struct("_bkey", "_need", "_bkn").alias("_b"))
-        tagged = df.withColumn("_b", b.scalar()).select("*", "_b._bkey", "_b._need", "_b._bkn").drop("_b")
-    # rows tied at the border key: admit the first `_need` ids
-    ties = tagged.filter(F.col(key) == F.col("_bkey")).select(*by, key, id_col, "_need", "_bkn")
-    max_tie = border.agg(F.max("_bkn")).first()[0]            # size check: one row per group
-    tie_pos = _tie_positions(ties, key, id_col, by, "_bkn", buckets, max_tie or 0)
-    tie_ok = tie_pos.filter(F.col("_pos") <= F.col("_need")).select(*by, id_col).withColumn("_tie_in", F.lit(True))
-    out = (tagged.join(tie_ok, [*by, id_col], "left")
-           .withColumn("_in_top",
-                       F.when(F.col("_bkey").isNull(), F.lit(True))   # fewer rows than capacity
-                       .when(F.col(key) > F.col("_bkey"), F.lit(True))
-                       .when(F.col(key) == F.col("_bkey"), F.coalesce(F.col("_tie_in"), F.lit(False)))
-                       .otherwise(F.lit(False))))
-    return out.drop("_bkey", "_need", "_bkn", "_tie_in")
+        one = scored.select("_sn", border.select(F.struct("_bkey", "_bneed")).scalar().alias("_x"))
+        one = one.select(F.col("_x._bkey").alias("_bkey"), F.col("_x._bneed").alias("_bneed"), "_sn")
+        tagged = df.withColumn("_b", one.select(F.struct("_bkey", need)).scalar()).select("*", "_b._bkey", "_b._need").drop("_b")
+    at_border = F.col(key).eqNullSafe(F.col("_bkey"))
+    decided = tagged.filter(~at_border).withColumn(
+        "_in_top", F.coalesce(F.col("_bkey").isNull() | (F.col(key) > F.col("_bkey")), F.lit(False)))
+    ties = _tie_positions(tagged.filter(at_border), key, id_col, by, buckets)
+    ties = ties.withColumn("_in_top", F.col("_pos") <= F.col("_need")).drop("_pos")
+    return decided.unionByName(ties).drop("_bkey", "_need")
 
 
 def global_rank(df: DataFrame, key: str, id_col: str, by: Sequence[str] = (),
@@ -267,54 +283,29 @@ def global_rank(df: DataFrame, key: str, id_col: str, by: Sequence[str] = (),
     hist = df.groupBy(*by, key).agg(F.count(F.lit(1)).alias("_kn"))
     run = running_totals(hist, key, ["_kn"], by=by, buckets=buckets,
                          prefix="_cum", descending=True)
-    off = run.select(*by, key, (F.col("_cum_kn") - F.col("_kn")).alias("_above"), "_kn")
-    tagged = df.join(off, [*by, key])
-    max_tie = hist.agg(F.max("_kn")).first()[0]               # size check on the key histogram
-    pos = _tie_positions(tagged, key, id_col, by, "_kn", buckets, max_tie or 0)
+    off = run.select(*by, key, (F.col("_cum_kn") - F.col("_kn")).alias("_above"))
+    tagged = null_safe_join(df, off, by, [key])
+    pos = _tie_positions(tagged, key, id_col, by, buckets)
     return (pos.withColumn(name, F.col("_above") + F.col("_pos"))
-            .drop("_above", "_pos", "_kn"))
+            .drop("_above", "_pos"))
 
 
-# Tie groups up to this size are ranked with one window task each.
-TIE_WINDOW_MAX = 100_000
-
-
-def _tie_positions(df: DataFrame, key: str, id_col: str, by: Sequence[str], size_col: str,
-                   buckets: int | None, max_tie: int | None = None) -> DataFrame:
-    """1-based position ``_pos`` of each row among the rows sharing its key,
-    by ascending id. ``size_col`` holds the size of the row's tie group
-    (known from the key histogram): groups within ``TIE_WINDOW_MAX`` rows use
-    a plain window, larger ones a running count over id ranges, so a key held
-    by a third of the table is not ranked in one task."""
+def _tie_positions(df: DataFrame, key: str, id_col: str, by: Sequence[str], buckets: int | None) -> DataFrame:
+    """1-based position ``_pos`` of each row among the rows sharing its key, by
+    ascending id: a running count along the id, cut into id ranges, so a key
+    held by a third of the table is not ranked in one task. Ids that are not
+    numbers are ranked by a window per key."""
     by = list(by)
-    w = Window.partitionBy(*by, key).orderBy(id_col)
-    if max_tie is not None and max_tie <= TIE_WINDOW_MAX:      # checked: every group is small
+    if not isinstance(df.schema[id_col].dataType, T.NumericType):
+        w = Window.partitionBy(*by, key).orderBy(id_col)
         return df.withColumn("_pos", F.row_number().over(w).cast("long"))
-    small = df.filter(F.col(size_col) <= TIE_WINDOW_MAX)
-    large = df.filter(F.col(size_col) > TIE_WINDOW_MAX)
-    a = small.withColumn("_pos", F.row_number().over(w).cast("long"))
-    one = large.withColumn("_one", F.lit(1).cast("long"))
-    b = (running_totals(one, id_col, ["_one"], by=[*by, key], buckets=buckets, prefix="_cum")
-         .withColumnRenamed("_cum_one", "_pos").drop("_one"))
-    return a.unionByName(b)
-
-
-# Spark plans ``row_number() <= k`` as a map-side WindowGroupLimit (each task
-# keeps its best k per group before the shuffle) only up to this k.
-GROUP_LIMIT_MAX = 1000
+    one = df.withColumn("_one", F.lit(1).cast("long"))
+    return (running_totals(one, id_col, ["_one"], by=[*by, key], buckets=buckets, prefix="_cum")
+            .withColumnRenamed("_cum_one", "_pos").drop("_one"))
 
 
 def top_n(df: DataFrame, key: str, id_col: str, n: int, by: Sequence[str] = (),
           buckets: int | None = None) -> DataFrame:
-    """First ``n`` rows per group under ``(key desc, id asc)``, exact.
-
-    Small ``n``: ``row_number() <= n``, which the optimizer turns into a
-    per-task partial limit, so the shuffle carries at most ``n`` rows per
-    group and task. Larger ``n``: ``rank_cut`` (histogram border, no task
-    holds more than a range of one group).
-    """
-    by = list(by)
-    if int(n) <= GROUP_LIMIT_MAX:
-        w = Window.partitionBy(*by).orderBy(F.desc(key), F.asc(id_col))
-        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= int(n)).drop("_rn")
+    """First ``n`` rows per group under ``(key desc, id asc)``, null keys last,
+    exact: the rows that ``rank_cut`` flags, for every ``n``."""
     return rank_cut(df, key, id_col, n, by, buckets).filter("_in_top").drop("_in_top")

@@ -19,14 +19,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_hex, hash_unit
-from .ordered import running_totals
+from .ordered import null_safe_join, running_totals
 
 
 def hash_rank(df: DataFrame, id_col: str, by: Sequence[str], seed, hex_digits: int = 3,
               name: str = "_rank") -> DataFrame:
     """1-based rank of each row within ``by`` under ``(md5(id|seed), id)``.
 
-    Also adds ``_class_n`` (rows in the group).
+    Also adds ``_class_n`` (rows in the group). Rows with a null label form a
+    class of their own.
     """
     by = list(by)
     h = hash_hex(F.col(id_col), seed)
@@ -39,7 +40,7 @@ def hash_rank(df: DataFrame, id_col: str, by: Sequence[str], seed, hex_digits: i
                            F.sum("_bn").over(Window.partitionBy(*by)).alias("_class_n"))
     inner = Window.partitionBy(*by, "_hb").orderBy("_h", id_col)
     return (t.withColumn("_rn", F.row_number().over(inner))
-            .join(offsets, [*by, "_hb"])
+            .transform(lambda d: null_safe_join(d, offsets, by, ["_hb"]))
             .withColumn(name, F.col("_off") + F.col("_rn"))
             .drop("_h", "_hb", "_rn", "_off"))
 

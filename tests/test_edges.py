@@ -142,10 +142,8 @@ def test_exact_quantiles_match_numpy(spark, group_min, monkeypatch):
                 assert q[(c, p)] == pytest.approx(np.quantile(x, p), abs=1e-12)
 
 
-@pytest.mark.parametrize("tie_max", [100_000, 50])
 @pytest.mark.parametrize("cap", [1, 7, 100, 1000, 5000])
-def test_rank_cut_with_a_heavy_tie(spark, cap, tie_max, monkeypatch):
-    monkeypatch.setattr(O, "TIE_WINDOW_MAX", tie_max)   # 50: tie groups take the id-range path
+def test_rank_cut_with_a_heavy_tie(spark, cap, monkeypatch):
     monkeypatch.setattr(O, "GROUP_RANGE_MIN", 10)
     rng = np.random.default_rng(11)
     n = 1500
@@ -159,9 +157,7 @@ def test_rank_cut_with_a_heavy_tie(spark, cap, tie_max, monkeypatch):
     assert got2 == exp
 
 
-@pytest.mark.parametrize("tie_max", [100_000, 5])
-def test_global_rank_and_lift_deciles(spark, tie_max, monkeypatch):
-    monkeypatch.setattr(O, "TIE_WINDOW_MAX", tie_max)
+def test_global_rank_and_lift_deciles(spark, monkeypatch):
     monkeypatch.setattr(O, "GROUP_RANGE_MIN", 10)
     rng = np.random.default_rng(13)
     n = 257

@@ -44,7 +44,19 @@ def test_grouped_curves_have_no_single_partition_step(members):
         assert "SinglePartition" not in plan(df)
 
 
-def test_small_top_n_is_a_partial_group_limit(members):
+def test_ranges_of_a_group_are_dealt_by_group_and_range(spark, members):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.metrics(MB.scores(members), "y_true", "y_score", 0.5, by=["model_key"])
+        assert "hashpartitioning(model_key" in plan(df) and "_rt_bucket" in "".join(
+            x for x in plan(df).splitlines() if "REPARTITION_BY_COL" in x)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_top_n_has_no_window_over_a_whole_group(members):
     s = MB.scores(members)
-    assert "WindowGroupLimit" in plan(O.top_n(s, "y_score", "member_id", 100, by=["model_key"]))
-    assert "WindowGroupLimit" not in plan(O.top_n(s, "y_score", "member_id", 5000, by=["model_key"]))
+    for n in (100, 5000):
+        p = plan(O.top_n(s, "y_score", "member_id", n, by=["model_key"]))
+        assert "WindowGroupLimit" not in p and "row_number" not in p
