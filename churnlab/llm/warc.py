@@ -64,21 +64,25 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", uri: str = "url"
     """Write the archives below ``path`` (a folder all executors share) and
     return their manifest ``path, records, size``."""
     arrow_rows(pages.sparkSession, 128)
-    same = (pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(payload).cast("binary"), F.lit("").cast("binary"))
-                         .alias("p"))
-            .filter(F.octet_length("p") >= min_bytes).groupBy(F.sha1("p").alias("sha1"))
-            .agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1"))
-    rows = chunks(pages, id_col, uri, payload, chunk)
-    rows = salted_join(rows, same, ["sha1"], ["id", "row"], "left")
-    other = F.col("n").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
-    rows = rows.withColumn("revisit", other).filter("chunk = 0 or not revisit")
+    narrow = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(payload).cast("binary"), F.lit("").cast("binary"))
+                          .alias("p")).filter(F.octet_length("p") >= min_bytes).select("id", F.sha1("p").alias("sha1"))
+    same = narrow.groupBy("sha1").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    same = salted_join(narrow, same, ["sha1"], ["id"]).select(_key().alias("key"), "id", "first").distinct()
+    same = same.select("key", "first", (~F.col("id").eqNullSafe(F.col("first"))).alias("other"), F.lit(True).alias("shared"))
+    # payloads are shuffled once; the join takes that partitioning
+    rows = chunks(pages, id_col, uri, payload, chunk).withColumn("key", _key()).repartition("key").join(same, "key", "left")
+    rows = rows.withColumn("revisit", F.coalesce("other", F.lit(False))).filter("chunk = 0 or not revisit")
     rows = rows.select(F.col("id").cast("string").alias("id"), "uri", "row", "bytes", "sha1", "chunk", "revisit",
-                       F.col("n").isNotNull().alias("shared"), F.col("first").cast("string").alias("first"),
+                       F.coalesce("shared", F.lit(False)).alias("shared"), F.col("first").cast("string").alias("first"),
                        F.when(~F.col("revisit"), F.col("data")).alias("data"))
-    rows = rows.repartition("id", "sha1").sortWithinPartitions("id", "sha1", "row", "chunk")
+    rows = rows.sortWithinPartitions("id", "sha1", "row", "chunk")
     return materialize(rows.mapInArrow(_writer(path, file_bytes), "path string, records long, size long"), "manifest")
 
 
+def _key():
+    return F.concat_ws("/", F.coalesce(F.col("id").cast("string"), F.lit("null")), "sha1")
+
+
 def _uri(path: str) -> str:
     return "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
 
@@ -116,7 +120,7 @@ class _Archive:
             self.name = f"{self.path}/{uuid.uuid4().hex}.warc.gz"
             fs, at = _open(self.name)
             fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
-            self.out, self.records, self.size = fs.open_output_stream(at), 0, 0
+            self.out, self.records, self.size = fs.open_output_stream(at, compression=None), 0, 0
         self.zip, self.sum, self.sha1 = zlib.compressobj(1, zlib.DEFLATED, 31), hashlib.sha1(), sha1
         self._put(self.zip.compress(head))
 
@@ -258,7 +262,7 @@ def read(spark: SparkSession, manifest: DataFrame, payload: bool = True, chunk:
             for path in part.column(0).to_pylist():
                 fs, at = _open(path)
                 rows, size = [], 0
-                with fs.open_input_stream(at) as stream:
+                with fs.open_input_stream(at, compression=None) as stream:
                     for r in records(stream, chunk):
                         rows.append(r if payload else (*r[:9], None))
                         size += r[7] + 200
@@ -268,7 +272,8 @@ def read(spark: SparkSession, manifest: DataFrame, payload: bool = True, chunk:
                 if rows:
                     yield batch(rows)
 
-    return manifest.select("path").repartition("path").mapInArrow(run, READ_SCHEMA)
+    files = manifest.select("path")
+    return files.repartition(max(1, files.count())).mapInArrow(run, READ_SCHEMA)      # a task per archive
 
 
 def report(chunk_rows: DataFrame, id_type: str = "long", id_col: str = "page_id") -> DataFrame:
