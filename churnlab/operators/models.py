@@ -19,7 +19,6 @@ Estimator mapping (reference -> MLlib):
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -273,10 +272,3 @@ def sweep(specs: Sequence[ModelSpec], df: DataFrame, datasets: dict, id_col: str
     else:
         out = [run(j) for j in jobs]
     return reduce(DataFrame.unionByName, out)
-
-
-def timed_inference(model: PipelineModel, df: DataFrame) -> tuple[float, int]:
-    """Wall time of scoring ``df`` (the bench's latency figure)."""
-    t = time.perf_counter()
-    n = score(model, df).agg(F.count(F.lit(1))).first()[0]
-    return time.perf_counter() - t, n

@@ -163,20 +163,21 @@ def _crm(m):
                     (F.col(ID) % 7 != 0).alias("consent"))
 
 
-@register("h7_exclusions", _RANKED + f"""
-, c AS (SELECT model_key, member_id, y_score AS churn_probability, y_true AS actual_churn_for_evaluation,
-             {_GRADE} AS risk_grade FROM r WHERE rk <= {CAP})
-SELECT * FROM c WHERE member_id NOT IN (SELECT member_id FROM members WHERE member_id % 11 = 0)
-  AND member_id NOT IN (SELECT member_id FROM members WHERE member_id % 7 = 0)
-  AND member_id NOT IN (SELECT member_id FROM members
-                        WHERE start_date + CAST(member_id % 30 AS INTEGER) >= DATE '1995-01-20')""")
+@register("h7_exclusions", f"""
+blocked AS (SELECT member_id FROM members WHERE member_id % 11 = 0 OR member_id % 7 = 0
+  OR start_date + CAST(member_id % 30 AS INTEGER) >= DATE '1995-01-20'),
+r AS (SELECT *, row_number() OVER (PARTITION BY model_key ORDER BY y_score DESC, member_id) AS rk FROM scores
+      WHERE y_score >= {T} AND member_id NOT IN (SELECT member_id FROM blocked))
+SELECT model_key, member_id, y_score AS churn_probability, y_true AS actual_churn_for_evaluation,
+       {_GRADE} AS risk_grade FROM r WHERE rk <= {CAP}""")
 def h7_exclusions(spark, sf):
+    # excluded members free their places: the capacity is filled after the exclusions
     crm = _crm(members(spark, sf))
     left = crm.filter("left_flag")
     no_consent = crm.filter(~F.col("consent"))
     recent = crm.filter(F.col("last_contact") >= F.lit("1995-01-20").cast("date"))
-    cands = G.candidates(scores(spark, sf), ID, "y_score", T, CAP, y="y_true", by=K)
-    return G.exclude(cands, ID, left, no_consent, recent)
+    allowed = G.exclude(scores(spark, sf), ID, left, no_consent, recent)
+    return G.candidates(allowed, ID, "y_score", T, CAP, y="y_true", by=K)
 
 
 @register("h8_control_arms", f"""

@@ -35,8 +35,8 @@ def _scored(spark, sf, spec: M.ModelSpec, numeric=NUM, categorical=CAT):
     return M.score(model, test, keep=[ID, F.col(LABEL).alias("y_true")])
 
 
-# Run-time budgets for the registered (smoke-size) fits; REFERENCE_SPECS holds
-# the reference's full settings used by the bench.
+# Settings of the registered fits: fewer trees, rounds and iterations than
+# REFERENCE_SPECS, the reference's full settings, which callers pass to ``fit``.
 SMALL = {
     "logistic": M.ModelSpec("logistic", "logistic", {"C": 1.0, "maxIter": 200}),
     "logistic_balanced": M.ModelSpec("logistic", "logistic", {"C": 1.0, "maxIter": 200}, balanced=True),

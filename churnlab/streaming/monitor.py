@@ -41,6 +41,32 @@ def run_to_table(stream_df: DataFrame, checkpoint: str, name: str) -> DataFrame:
     return stream_df.sparkSession.table(name)
 
 
+def drain_partials(events: DataFrame, path: str, checkpoint: str, ts: str = "ts", window: str = "1 day",
+                   by: Sequence[str] = ("event_type",), value: str = "value") -> DataFrame:
+    """Windowed counts and sums over everything a stream holds, in any order.
+
+    Each micro-batch writes its partial aggregate to its own folder of the
+    (shared) ``path``, overwritten when the batch is repeated; the result adds
+    the partials up. No event is late, and windows still open at the end of the
+    input are part of the result. State does not grow with the stream: a batch
+    leaves a row for each of its windows and groups.
+    """
+    rows = events.withColumn(ts, F.col(ts).cast("timestamp")).select(
+        F.window(ts, window).alias("window"), *by, F.col(value).alias("_v"))
+    aggregated = rows.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by, "_v")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.groupBy("window_start", "window_end", *by).agg(F.count(F.lit(1)).alias("events"), F.sum("_v").alias("sum_value"))
+         .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+
+    q = (aggregated.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    parts = events.sparkSession.read.parquet(path)
+    return parts.groupBy("window_start", "window_end", *by).agg(
+        F.sum("events").alias("events"), F.sum("sum_value").alias("sum_value"))
+
+
 def score_drift(scored: DataFrame, ts: str, score: str = "churn_probability", threshold: float = 0.5,
                 window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
     return (scored.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)

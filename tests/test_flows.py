@@ -354,8 +354,24 @@ def test_knn_even_sample_bounds_the_reference_rows(spark, planted_mid):
     train = df.filter("split = 'train'")
     knn = KNNClassifier(["visits", "returns"], "planted", "member_id", k=5, max_rows=300)
     model = knn.fit(train)
-    assert model.train.count() == 300
-    sample_ids = {r[0] for r in model.train.select("member_id").collect()}
+    assert len(model.rows) == 300
+    sample_ids = set(model.rows["member_id"])
     expected = {r[0] for r in D.even_sample(train, "member_id", 300).select("member_id").collect()}
     assert sample_ids == expected
     assert model.transform(df.filter("split = 'test'")).count() == df.filter("split = 'test'").count()
+
+
+def test_knn_fills_nulls_with_the_median(spark):
+    train = spark.createDataFrame([(1, 0.0, 0), (2, 2.0, 1), (3, 10.0, 1), (4, None, 1)], "id long, a double, y int")
+    query = spark.createDataFrame([(9, None), (10, 0.1)], "id long, a double")
+    got = {r.id: r.knn_score for r in KNNClassifier(["a"], "y", "id", k=2).fit(train).transform(query).collect()}
+    assert got == {9: 1.0, 10: 0.5}        # the median is 2: rows 2 and 4; then rows 1 and 2
+
+
+def test_stream_query_counts_every_event_of_a_folder(spark, tmpdir_path):
+    import __spark_entry__ as entry
+    src = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    src.repartition(4).write.parquet(f"{tmpdir_path}/events.parquet")
+    run = entry.queries()["h10_stream_event_activity"]
+    a, b = (sorted(map(tuple, run(spark, d).collect())) for d in (tmpdir_path, SF_SMALL))
+    assert a == b and sum(r[3] for r in a) == src.count()
