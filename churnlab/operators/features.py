@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import weekday0
-from .ordered import exact_quantiles
+from .ordered import exact_quantiles, named, sql_text
 
 # pandas' default missing-value tokens (read_csv na_values).
 PANDAS_NA = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -177,17 +177,16 @@ class OneHotFirstDrop(_StateEstimator):
 
     def _compute(self, df):
         cols = self._cols()
-        rows = (self._fit_rows(df)
-                .select(F.expr(f"stack({len(cols)}, " + ", ".join(f"'{c}', `{c}`" for c in cols)
-                               + ") as (feature, value)"))
-                .filter(F.col("value").isNotNull()).distinct()
-                .groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("levels"),
-                                        F.count(F.lit(1)).alias("n")))
+        pairs = ", ".join(f"'{sql_text(c)}', `{c}`" for c in cols)
+        values = (self._fit_rows(df).select(F.expr(f"stack({len(cols)}, {pairs}) as (feature, value)"))
+                  .filter(F.col("value").isNotNull()).distinct())
+        for r in values.groupBy("feature").count().collect():      # one row per column
+            if r["count"] > self._max:
+                raise ValueError(f"{r['feature']}: {r['count']} levels exceed maxLevels={self._max}")
         levels = {c: [] for c in cols}
-        for r in rows.collect():   # one row per column: bounded by the schema
-            if r["n"] > self._max:
-                raise ValueError(f"{r['feature']}: {r['n']} levels exceed maxLevels={self._max}")
-            levels[r["feature"]] = list(r["levels"])
+        for r in values.collect():      # at most maxLevels rows per column, checked above
+            levels[r["feature"]].append(r["value"])
+        levels = {c: sorted(v) for c, v in levels.items()}
         return {"levels": levels, "drop_first": self._drop_first}
 
 
@@ -220,7 +219,7 @@ def encode_like(df: DataFrame, feature_names: Sequence[str], categorical: Sequen
 class ExactStandardScalerModel(_StateModel):
     def _transform(self, df):
         st = self._state()
-        return df.withColumns({c: (F.col(c) - F.lit(st[c][0])) / F.lit(st[c][1]) for c in self._cols()})
+        return df.withColumns({c: (named(c) - F.lit(st[c][0])) / F.lit(st[c][1]) for c in self._cols()})
 
 
 class ExactStandardScaler(_StateEstimator):
@@ -232,7 +231,7 @@ class ExactStandardScaler(_StateEstimator):
 
     def _compute(self, df):
         cols = self._cols()
-        r = self._fit_rows(df).agg(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c)
+        r = self._fit_rows(df).agg(*[F.struct(F.avg(named(c)).alias("m"), F.stddev_pop(named(c)).alias("s")).alias(c)
                                      for c in cols]).first()
         return {c: [r[c]["m"], (r[c]["s"] or 1.0) if r[c]["s"] != 0 else 1.0] for c in cols}
 
@@ -242,7 +241,7 @@ class ExactStandardScaler(_StateEstimator):
 class ExactRobustScalerModel(_StateModel):
     def _transform(self, df):
         st = self._state()
-        return df.withColumns({c: (F.col(c) - F.lit(st[c][0])) / F.lit(st[c][1]) for c in self._cols()})
+        return df.withColumns({c: (named(c) - F.lit(st[c][0])) / F.lit(st[c][1]) for c in self._cols()})
 
 
 class ExactRobustScaler(_StateEstimator):

@@ -37,6 +37,16 @@ _B = "_rt_bucket"
 GROUP_RANGE_MIN = 100_000
 
 
+def named(column: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def sql_text(text: str) -> str:
+    """Text for use inside a quoted SQL string."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: Sequence[str] = (),
                    how: str = "inner") -> DataFrame:
     """Equi-join on the grouping columns ``by``, where a null group meets the
@@ -147,7 +157,7 @@ def value_histogram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
     row after the combine.
     """
     cols = list(cols)
-    pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols)
+    pairs = ", ".join(f"'{sql_text(c)}', cast(`{c}` as double)" for c in cols)
     long = df.select(*by, F.expr(f"stack({len(cols)}, {pairs}) as ({name_col}, {value_col})"))
     return (long.filter(F.col(value_col).isNotNull())
             .groupBy(*by, name_col, value_col).agg(F.count(F.lit(1)).alias("n")))
@@ -175,7 +185,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """
     cols, by = list(cols), list(by)
     if method == "auto":
-        card = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+        card = df.agg(*[F.approx_count_distinct(named(c)).alias(c) for c in cols]).first()
         small = [c for c in cols if card[c] <= map_max]
     else:
         small = cols if method == "map" else []
@@ -183,8 +193,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     parts = []
     if small:
         p_arr = F.array(*[F.lit(float(p)) for p in probs])
-        wide = df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), p_arr).alias(c) for c in small])
-        items = ", ".join(f"'{c}', `{c}`" for c in small)
+        wide = df.groupBy(*by).agg(*[F.percentile(named(c).cast("double"), p_arr).alias(c) for c in small])
+        items = ", ".join(f"'{sql_text(c)}', `{c}`" for c in small)
         long = wide.select(*by, F.expr(f"stack({len(small)}, {items}) as ({name_col}, _qs)"))
         parts.append(long.filter(F.col("_qs").isNotNull())
                      .select(*by, name_col, F.posexplode("_qs").alias("_i", "value"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ordered import exact_quantiles, quantile_columns
+from .ordered import exact_quantiles, named, quantile_columns, sql_text
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
@@ -37,7 +37,7 @@ def _rnd(c, digits):
 
 
 def _stack(cols: Sequence[str], cast: str | None = None, name="feature", value="value"):
-    items = ", ".join(f"'{c}', " + (f"cast(`{c}` as {cast})" if cast else f"`{c}`") for c in cols)
+    items = ", ".join(f"'{sql_text(c)}', " + (f"cast(`{c}` as {cast})" if cast else f"`{c}`") for c in cols)
     return F.expr(f"stack({len(cols)}, {items}) as ({name}, {value})")
 
 
@@ -54,7 +54,7 @@ def missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Missing count and ratio per column: ``(column, missing, ratio)``."""
     cols = list(cols or df.columns)
     wide = df.agg(F.count(F.lit(1)).alias("_n"),
-                  *[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols])
+                  *[F.sum(named(c).isNull().cast("long")).alias(c) for c in cols])
     long = wide.select("_n", _stack(cols, "long", value="missing"))
     return long.select("feature", "missing", (F.col("missing") / F.col("_n")).alias("ratio"))
 
@@ -162,6 +162,8 @@ def box_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
     """Equal-width histogram per column, last bin closed, empty bins kept.
 
+    The range of a constant column is widened by 0.5 on both sides.
+
     ``(column, bin, lo, hi, n)``; bin = least(floor((v-min)*bins/(max-min)), bins-1).
     """
     cols = list(cols)
@@ -169,7 +171,8 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
     rng = reuse(df.agg(*[F.struct(F.min(F.col(c).cast("double")).alias("mn"),
                                   F.max(F.col(c).cast("double")).alias("mx")).alias(c) for c in cols])
                 .select(_stack(cols, None, value="r"))
-                .select("feature", F.col("r.mn").alias("mn"), F.col("r.mx").alias("mx")))
+                .select("feature", F.when(F.col("r.mn") == F.col("r.mx"), F.col("r.mn") - 0.5).otherwise(F.col("r.mn")).alias("mn"),
+                        F.when(F.col("r.mn") == F.col("r.mx"), F.col("r.mx") + 0.5).otherwise(F.col("r.mx")).alias("mx")))
     bounds = rng.agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mn", "mx"))))).scalar()
     tagged = df.select(*cols).withColumn("_r", bounds)
 
@@ -177,8 +180,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
         mn, mx = F.col("_r")[c]["mn"], F.col("_r")[c]["mx"]
         v = F.col(c).cast("double")
         raw = F.floor((v - mn) * bins / (mx - mn))
-        return F.when(v.isNull(), F.lit(None)).when(mx == mn, F.lit(0)) \
-            .otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
+        return F.when(v.isNull(), F.lit(None)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
 
     items = ", ".join(f"'{c}', `{c}`" for c in cols)
     binned = tagged.select(*[bin_of(c).alias(c) for c in cols])
