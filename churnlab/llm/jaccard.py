@@ -5,16 +5,17 @@ documents link at a distance of at most ``r = 1 - threshold``. Equal sets are on
 node. Nodes meet in regions:
 
 1. *Pivots.* Crowded groups of nodes that share a pair of minimum hashes elect
-   one node each. All documents' exact distances to the pivots are computed, and
-   a document belongs to the region of its nearest pivot. A node x within r of
-   pivot p links to it. By the triangle inequality every partner y of x has
-   d(y, p) <= d(x, p) + r; if no node lies between r and that window around p,
-   all partners of x are within r of p as well and linked to it already, so x is
-   settled without any further comparison. Only the boundary nodes, those with a
-   node in their window, go on. A crowded group is thus joined by its members'
-   links to a pivot, never by all pairs.
-2. *Recursion.* Boundary nodes and unsettled crowds elect new pivots, for
-   ``rounds`` rounds at most and while rounds settle nodes.
+   a pivot each, the node with the most copies. The exact distances of all
+   documents to the pivots are computed, and a pivot's region holds the
+   documents within r; they link to it. The boundary documents, within the
+   window of 2 r, are replicated to the region too: by the triangle inequality
+   every partner y of a region's x has d(y, p) <= d(x, p) + r.
+2. *Recursion.* Crowds out of reach of the pivots become pivots themselves, for
+   ``rounds`` rounds within the bounds; all links of a pivot are then known. A
+   node of a region is settled when its window holds no documents but the
+   region's own and pivots: all its partners are connected to it already. A
+   crowd is thus joined by its members' links to pivots, never by all pairs,
+   and no pair within a connected group is looked at again.
 3. *The far region.* Unrelated texts share no shingle: they are at distance 1 of
    every pivot, where no window can part them. For them single shingles are the
    pivots: a node is replicated to the regions of its first
@@ -47,7 +48,7 @@ from .common import arrow_rows, bit_table, components, drop_tables, in_table, ma
 
 SHINGLE, PERCENT = 5, 80
 #: nodes that make a group crowded; pivots of a round, and their shingles in all
-CROWD, PIVOTS, PIVOT_SHINGLES, ROUNDS = 16, 2048, 2_000_000, 3
+CROWD, PIVOTS, PIVOT_SHINGLES, ROUNDS = 4, 8192, 2_000_000, 3
 #: nodes of a frequent shingle, and the most such shingles that are told to tasks
 FREQUENT, MAX_FREQUENT = 40, 1 << 20
 TABLE_BITS = 1 << 27
@@ -138,10 +139,12 @@ def _sets(docs: DataFrame, table, k: int) -> DataFrame:
     return docs.select(F.xxhash64("id").alias("hid"), "t").mapInArrow(run, "fp binary, n long, tokens array<long>")
 
 
-def _distances(docs: DataFrame, pivots, rep_table, k: int) -> DataFrame:
-    """``fp, n, pivot, shared`` for every document and pivot with a common shingle."""
+def _distances(docs: DataFrame, pivots, rep_table, k: int, least: int) -> DataFrame:
+    """``fp, n, pivot, shared`` for every document and pivot with a similarity of
+    at least ``least`` percent."""
     def run(batches):
         keys, which, names, count = pivots.value
+        size = np.bincount(which, minlength=count)
         small = np.zeros(1 << 18, np.uint64)       # a first look before the search
         b = keys & np.uint64((1 << 24) - 1)
         np.bitwise_or.at(small, (b >> np.uint64(6)).astype(np.int64), np.uint64(1) << (b & np.uint64(63)))
@@ -157,6 +160,9 @@ def _distances(docs: DataFrame, pivots, rep_table, k: int) -> DataFrame:
                         continue
                     at = np.repeat(lo, m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
                     shared = np.bincount(which[at], minlength=count)
+                    shared = np.where(100 * shared >= least * (len(u) + size - shared), shared, 0)
+                    if not shared.any():
+                        continue
                     p = _print(u)
                     key = np.array([p[0]], np.uint64) ^ hid[w.base + i:w.base + i + 1].view(np.uint64)
                     if not in_table(rep_table.value, key)[0]:
@@ -174,49 +180,92 @@ def _distances(docs: DataFrame, pivots, rep_table, k: int) -> DataFrame:
         run, "fp binary, n long, pivot binary, shared long")
 
 
-def _elect(open_nodes: DataFrame, crowd: int, pivots: int, shingles: int):
-    """Nodes elected by the most crowded groups, within the bounds."""
-    groups = (open_nodes.select("fp", "id", "f", "n", F.posexplode("sketch").alias("j", "s")).groupBy("j", "s")
-              .agg(F.count("*").alias("c"), F.min(F.struct("fp", "id", "f", "n")).alias("p")).filter(F.col("c") >= crowd))
-    rows = groups.groupBy("p").agg(F.max("c").alias("c")).orderBy(F.desc("c"), "p").limit(pivots).collect()
+def _crowds(nodes: DataFrame, crowd: int) -> DataFrame:
+    """Nodes by the groups of ``crowd`` nodes or more that share a pair of
+    minimum hashes: ``j, s, c`` and the node."""
+    each = nodes.select("fp", "id", "f", "n", "copies", F.posexplode("sketch").alias("j", "s"))
+    size = each.groupBy("j", "s").agg(F.count("*").alias("c"), F.max(F.struct("copies", "fp", "id", "f", "n")).alias("p"))
+    return size.filter(F.col("c") >= crowd)
+
+
+def _bounded(rows, pivots: int, shingles: int) -> list:
     out, total = [], 0
-    for r in rows:
-        if total + r.p.n <= shingles:
-            out.append(r.p)
-            total += r.p.n
+    for r in rows[:pivots]:
+        if total + r.n <= shingles:
+            out.append(r)
+            total += r.n
     return out
 
 
-def _pivot_round(docs: DataFrame, open_nodes: DataFrame, rep_table, k: int, percent: int, crowd: int, pivots: int,
-                 shingles: int, bits: int):
-    """Links to the pivots and the settled nodes of one round, or None."""
+def _centres(nodes: DataFrame, crowd: int, pivots: int, shingles: int) -> list:
+    """One node of each crowd, the one with the most copies: the most crowded
+    first, within the bounds."""
+    rows = (_crowds(nodes, crowd).groupBy("p").agg(F.max("c").alias("c")).orderBy(F.desc("c"), "p").limit(pivots)
+            .select("p.*").collect())
+    return _bounded(rows, pivots, shingles)
+
+
+def _members(nodes: DataFrame, crowd: int, pivots: int, shingles: int) -> list:
+    """The nodes of all crowds, the most crowded first, within the bounds."""
+    groups = _crowds(nodes, crowd).select("j", "s", "c")
+    each = nodes.select("fp", "id", "f", "n", F.posexplode("sketch").alias("j", "s"))
+    rows = (salted_join(each, groups, ["j", "s"], ["fp"]).groupBy("fp", "id", "f", "n").agg(F.max("c").alias("c"))
+            .orderBy(F.desc("c"), "fp").limit(pivots).collect())
+    return _bounded(rows, pivots, shingles)
+
+
+def _measured(docs: DataFrame, chosen: list, schema, rep_table, k: int, percent: int, least: int, bits: int):
+    """``fp, pivot, near, d`` of the documents within ``least`` percent of the
+    chosen nodes."""
     spark = docs.sparkSession
-    chosen = _elect(open_nodes, crowd, pivots, shingles)
-    if not chosen:
-        return None
-    own = spark.createDataFrame([(r.f, r.id) for r in chosen], open_nodes.select("f", "id").schema)
+    own = spark.createDataFrame([(r.f, r.id) for r in chosen], schema)
     table = spark.sparkContext.broadcast(bit_table(own.select(F.col("f").bitwiseXOR(F.xxhash64("id")).alias("k")), "k", bits))
-    wanted = docs.join(F.broadcast(own.select("id").distinct()), docs["id"].eqNullSafe(own["id"]), "left_semi")
-    names = {bytes(r.fp): i for i, r in enumerate(chosen)}
-    got = {bytes(r.fp): np.array(r.tokens, np.int64).view(np.uint64) for r in _sets(wanted, table, k).collect()
-           if bytes(r.fp) in names}
-    order = list(got)
+    names = {bytes(r.fp) for r in chosen}
+    rows = _sets(docs, table, k).select("fp", "tokens").toArrow()       # the chosen nodes, and few wrong bits
+    got = {fp: t.values.to_numpy().view(np.uint64) for fp, t in zip(rows["fp"].to_pylist(), rows["tokens"]) if fp in names}
+    order = sorted(got)
     keys = np.concatenate([got[x] for x in order])
-    which = np.repeat(np.arange(len(order)), [len(got[x]) for x in order])
+    which = np.repeat(np.arange(len(order), dtype=np.int32), [len(got[x]) for x in order])
     by = np.argsort(keys, kind="stable")
-    size = {x: len(got[x]) for x in order}
     held = spark.sparkContext.broadcast((keys[by], which[by], order, len(order)))
-    sizes = spark.createDataFrame([(bytearray(x), s) for x, s in size.items()], "pivot binary, m long")
-    d = _distances(docs, held, rep_table, k).join(F.broadcast(sizes), "pivot")
+    sizes = spark.createDataFrame([(bytearray(x), len(got[x])) for x in order], "pivot binary, m long")
+    d = _distances(docs, held, rep_table, k, least).join(F.broadcast(sizes), "pivot")       # bounded by ``pivots``
     union = F.col("n") + F.col("m") - F.col("shared")
-    d = materialize(d.select("fp", "pivot", (100 * F.col("shared") >= percent * union).alias("near"),
-                             (1 - F.col("shared") / union).alias("d")).distinct(), "distances")
+    return materialize(d.select("fp", "pivot", (100 * F.col("shared") >= percent * union).alias("near"),
+                                (1 - F.col("shared") / union).alias("d")).distinct(), "distances")
+
+
+def _pivot_links(d: DataFrame) -> DataFrame:
+    return d.filter("near").filter(F.col("fp") != F.col("pivot")).select(F.col("fp").alias("a"), F.col("pivot").alias("b"))
+
+
+def _pivots(docs: DataFrame, reps: DataFrame, rep_table, k: int, percent: int, crowd: int, pivots: int, shingles: int,
+            rounds: int, bits: int):
+    """(links to pivots or None, nodes that need no further comparison)."""
+    schema = reps.select("f", "id").schema
+    centres = _centres(reps, crowd, pivots, shingles)
+    if not centres:
+        return None, None
+    d = _measured(docs, centres, schema, rep_table, k, percent, 2 * percent - 100, bits)
+    links = _pivot_links(d)
+    pivot_names = d.select(F.col("pivot").alias("fp")).distinct()
+    loose = reps
+    for _ in range(rounds):
+        reached = links.select(F.col("a").alias("fp")).union(links.select(F.col("b").alias("fp"))).union(pivot_names).distinct()
+        loose = materialize(loose.join(reached, "fp", "left_anti"), "loose")
+        more = _members(loose, crowd, pivots, shingles)
+        if not more:
+            break
+        e = _measured(docs, more, schema, rep_table, k, percent, percent, bits)
+        links = links.union(_pivot_links(e))
+        pivot_names = pivot_names.union(e.select(F.col("pivot").alias("fp")).distinct())
+    # a pivot's links are all known; so are those of a node near a centre whose window holds only pivots
     r = 1 - percent / 100
-    ring = d.filter(~F.col("near")).groupBy("pivot").agg(F.min("d").alias("ring"))
-    near = d.filter("near").join(ring, "pivot", "left")       # at most one row per pivot: small
-    settled = near.filter(F.col("ring").isNull() | (F.col("d") + r < F.col("ring") - _EPS)).select("fp").distinct()
-    links = d.filter("near").filter(F.col("fp") != F.col("pivot")).select(F.col("fp").alias("a"), F.col("pivot").alias("b"))
-    return links, settled, d
+    ring = (d.filter(~F.col("near")).join(pivot_names.distinct(), "fp", "left_anti").groupBy("pivot")
+            .agg(F.min("d").alias("ring")))
+    near = d.filter("near").join(ring, "pivot", "left")       # at most one row per centre: small
+    settled = near.filter(F.col("ring").isNull() | (F.col("d") + r < F.col("ring") - _EPS)).select("fp")
+    return links, settled.union(pivot_names).distinct()
 
 
 def _frequent(nodes: DataFrame, limit: int, most: int) -> np.ndarray:
@@ -235,14 +284,15 @@ def _is_in(u: np.ndarray, sorted_keys: np.ndarray) -> np.ndarray:
 class _Entries:
     """Rows of a node's replicas in the regions of its prefix."""
 
-    SCHEMA = "token long, fp binary, n int, p int, last long"
+    SCHEMA = "token long, fp binary, g binary, n int, p int, last long"
 
     def __init__(self):
-        self.token, self.fp, self.n, self.p, self.last, self.count = [], [], [], [], [], []
+        self.token, self.fp, self.g, self.n, self.p, self.last, self.count = [], [], [], [], [], [], []
 
-    def add(self, tokens: np.ndarray, late: bool, fp: bytes, n: int):
+    def add(self, tokens: np.ndarray, late: bool, fp: bytes, g: bytes, n: int):
         self.token.append(W.signed(tokens))
         self.fp.append(fp)
+        self.g.append(g)
         self.n.append(n)
         self.p.append(len(tokens))
         self.last.append(int(tokens[-1] >> np.uint64(2)) | (int(late) << 62))
@@ -252,9 +302,10 @@ class _Entries:
         at = np.repeat(np.arange(len(self.count)), self.count)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate(self.token) if self.token else np.zeros(0, np.int64)),
-             pa.array(self.fp, pa.binary()).take(pa.array(at)), pa.array(np.array(self.n, np.int32)[at]),
+             pa.array(self.fp, pa.binary()).take(pa.array(at)), pa.array(self.g, pa.binary()).take(pa.array(at)),
+             pa.array(np.array(self.n, np.int32)[at]),
              pa.array(np.array(self.p, np.int32)[at]), pa.array(np.array(self.last, np.int64)[at])],
-            ["token", "fp", "n", "p", "last"])
+            ["token", "fp", "g", "n", "p", "last"])
 
 
 def _regions(nodes: DataFrame, docs: DataFrame, frequent, k: int, percent: int, bits: int) -> DataFrame:
@@ -268,11 +319,12 @@ def _regions(nodes: DataFrame, docs: DataFrame, frequent, k: int, percent: int,
     def run(batches):
         for batch in batches:
             out = _Entries()
-            low, n, fp = batch.column("low"), batch.column("n").to_pylist(), batch.column("fp").to_pylist()
+            low = batch.column("low")
+            n, fp, g = (batch.column(c).to_pylist() for c in ("n", "fp", "g"))
             for i in range(batch.num_rows):
                 u = enough(low[i].values.to_numpy().view(np.uint64), n[i])
                 if u is not None:
-                    out.add(u, False, fp[i], n[i])
+                    out.add(u, False, fp[i], g[i], n[i])
             yield out.batch()
 
     def short(batches):
@@ -288,7 +340,8 @@ def _regions(nodes: DataFrame, docs: DataFrame, frequent, k: int, percent: int,
     def rescan(batches):
         for batch in batches:
             out = _Entries()
-            for fp, n, tokens in zip(batch.column("fp").to_pylist(), batch.column("n").to_pylist(), batch.column("tokens")):
+            fps, ns, gs = (batch.column(c).to_pylist() for c in ("fp", "n", "g"))
+            for fp, n, g, tokens in zip(fps, ns, gs, batch.column("tokens")):
                 u = tokens.values.to_numpy().view(np.uint64)
                 late = _is_in(u, frequent.value)
                 if len(u) - late.sum() >= prefix(n, percent):
@@ -296,18 +349,20 @@ def _regions(nodes: DataFrame, docs: DataFrame, frequent, k: int, percent: int,
                     if enough(low, n) is not None:
                         continue                # a wrong bit: the row above has it
                 both = np.concatenate([u[~late], u[late]])[:prefix(n, percent)]
-                out.add(both, len(both) > len(u) - late.sum(), fp, n)
+                out.add(both, len(both) > len(u) - late.sum(), fp, g, n)
             yield out.batch()
 
-    first = nodes.select("low", "n", "fp").mapInArrow(run, _Entries.SCHEMA)
-    return first.union(_sets(docs, table, k).mapInArrow(rescan, _Entries.SCHEMA))
+    first = nodes.select("low", "n", "fp", "g").mapInArrow(run, _Entries.SCHEMA)
+    again = _sets(docs, table, k).join(nodes.select("fp", "g").distinct(), "fp").select("fp", "n", "tokens", "g")
+    return first.union(again.mapInArrow(rescan, _Entries.SCHEMA))
 
 
 def _candidates(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a region whose overlap can reach the threshold."""
-    a = entries.select("token", *[F.col(c).alias(f"a{c}") for c in ("fp", "n", "p", "last")])
-    b = entries.select("token", *[F.col(c).alias(f"b{c}") for c in ("fp", "n", "p", "last")])
-    j = a.join(b, "token").filter((F.col("afp") < F.col("bfp")) & (100 * F.col("an") >= percent * F.col("bn"))
+    """Pairs of a region that are not connected yet and whose overlap can reach
+    the threshold."""
+    a = entries.select("token", *[F.col(c).alias(f"a{c}") for c in ("fp", "g", "n", "p", "last")])
+    b = entries.select("token", *[F.col(c).alias(f"b{c}") for c in ("fp", "g", "n", "p", "last")])
+    j = a.join(b, "token").filter((F.col("afp") < F.col("bfp")) & (F.col("ag") != F.col("bg")) & (100 * F.col("an") >= percent * F.col("bn"))
                                   & (100 * F.col("bn") >= percent * F.col("an")))
     g = j.groupBy("afp", "bfp").agg(F.count("*").alias("c"), *[F.first(f"{s}{c}").alias(f"{s}{c}")
                                                                for s in "ab" for c in ("n", "p", "last")])
@@ -336,6 +391,25 @@ def _verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "afp").join(b, "bfp").select("afp", "bfp", "at", "bt").mapInArrow(run, "a binary, b binary")
 
 
+def _named(part: DataFrame, comp: DataFrame, bits: int) -> DataFrame:
+    """``part`` with the component ``g`` of each node; only the rows whose bit
+    is set go through the join, the others are their own component."""
+    spark = part.sparkSession
+    key = F.conv(F.hex(F.substring("fp", 2, 7)), 16, 10).cast("long")
+    table = spark.sparkContext.broadcast(bit_table(comp.select(key.alias("key")), "key", bits))
+
+    def side(inside):
+        def run(batches):
+            for batch in batches:
+                key = np.array([int.from_bytes(x[1:8], "big") for x in batch.column("fp").to_pylist()], np.uint64)
+                yield batch.filter(pa.array(in_table(table.value, key) == inside))
+        return run
+
+    alone = part.mapInArrow(side(False), part.schema).withColumn("g", F.col("fp"))
+    some = part.mapInArrow(side(True), part.schema).join(comp, "fp", "left").withColumn("g", F.coalesce("g", "fp"))
+    return alone.unionByName(some)
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT,
          crowd: int = CROWD, pivots: int = PIVOTS, pivot_shingles: int = PIVOT_SHINGLES, rounds: int = ROUNDS,
          frequent: int = FREQUENT, max_frequent: int = MAX_FREQUENT, bits: int = TABLE_BITS):
@@ -348,21 +422,14 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = S
     d = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text).alias("t"))
     rows = materialize(_nodes(d, k, percent), "sets")
     reps = materialize(rows.filter("n > 0").groupBy("fp").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("f").alias("f"), F.first("sketch").alias("sketch")),
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("f").alias("f"), F.first("sketch").alias("sketch"),
+        F.count("*").alias("copies")),
         "nodes")
     rep_key = F.col("f").bitwiseXOR(F.xxhash64("id"))
     rep_table = spark.sparkContext.broadcast(bit_table(reps.select(rep_key.alias("key")), "key", bits))
-    links, open_nodes = None, reps
-    for _ in range(rounds):
-        got = _pivot_round(d, open_nodes, rep_table, k, percent, crowd, pivots, pivot_shingles, bits)
-        if got is None:
-            break
-        links = got[0] if links is None else links.union(got[0])
-        left = materialize(open_nodes.join(got[1], "fp", "left_anti"), "open")
-        settled = open_nodes.count() - left.count()
-        open_nodes = left
-        if settled < crowd:
-            break
+    links, settled = _pivots(d, reps, rep_table, k, percent, crowd, pivots, pivot_shingles, rounds, bits)
+    open_nodes = reps if settled is None else reps.join(settled, "fp", "left_anti")
+    open_nodes = materialize(open_nodes, "open")
     open_table = spark.sparkContext.broadcast(bit_table(open_nodes.select(rep_key.alias("key")), "key", bits))
 
     def still_open(batches):
@@ -372,6 +439,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = S
 
     part = rows.filter("n > 0").select("id", "n", "fp", "f", "low", rep_key.alias("key"))
     part = part.mapInArrow(still_open, part.schema).drop("key")
+    if links is None:
+        part = part.withColumn("g", F.col("fp"))
+    else:       # nodes that links to pivots connect need no pair among themselves
+        comp = materialize(components(links).withColumnsRenamed({"id": "fp", "component": "g"}), "components")
+        part = _named(part, comp, bits)
     often = spark.sparkContext.broadcast(_frequent(part, frequent, max_frequent))
     pairs = materialize(_candidates(_regions(part, d, often, k, percent, bits), percent), "pairs")
     ends = pairs.select(F.col("afp").alias("fp")).union(pairs.select(F.col("bfp").alias("fp"))).distinct()
