@@ -362,15 +362,16 @@ def _candidates(entries: DataFrame, percent: int) -> DataFrame:
     the threshold."""
     a = entries.select("token", *[F.col(c).alias(f"a{c}") for c in ("fp", "g", "n", "p", "last")])
     b = entries.select("token", *[F.col(c).alias(f"b{c}") for c in ("fp", "g", "n", "p", "last")])
-    j = a.join(b, "token").filter((F.col("afp") < F.col("bfp")) & (F.col("ag") != F.col("bg")) & (100 * F.col("an") >= percent * F.col("bn"))
-                                  & (100 * F.col("bn") >= percent * F.col("an")))
-    g = j.groupBy("afp", "bfp").agg(F.count("*").alias("c"), *[F.first(f"{s}{c}").alias(f"{s}{c}")
-                                                               for s in "ab" for c in ("n", "p", "last")])
-    # shared shingles of the prefix that ends first are all counted
-    most = F.col("c") + F.when(F.col("alast") < F.col("blast"), F.col("an") - F.col("ap")).when(
+    j = a.join(b, "token").filter(
+        (F.col("afp") < F.col("bfp")) & (F.coalesce("ag", "afp") != F.coalesce("bg", "bfp"))
+        & (100 * F.col("an") >= percent * F.col("bn")) & (100 * F.col("bn") >= percent * F.col("an")))
+    # shared shingles of the prefix that ends first are all counted; ``room`` is what lies beyond it
+    room = F.when(F.col("alast") < F.col("blast"), F.col("an") - F.col("ap")).when(
         F.col("alast") > F.col("blast"), F.col("bn") - F.col("bp")).otherwise(
         F.least(F.col("an") - F.col("ap"), F.col("bn") - F.col("bp")))
-    return g.filter((100 + percent) * most >= percent * (F.col("an") + F.col("bn"))).select("afp", "bfp")
+    g = j.select("afp", "bfp", room.alias("room"), (F.col("an") + F.col("bn")).alias("both")).groupBy("afp", "bfp").agg(
+        F.count("*").alias("c"), F.max("room").alias("room"), F.max("both").alias("both"))
+    return g.filter((100 + percent) * (F.col("c") + F.col("room")) >= percent * F.col("both")).select("afp", "bfp")
 
 
 def _verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
@@ -392,8 +393,8 @@ def _verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
 
 
 def _named(part: DataFrame, comp: DataFrame, bits: int) -> DataFrame:
-    """``part`` with the component ``g`` of each node; only the rows whose bit
-    is set go through the join, the others are their own component."""
+    """``part`` with the component ``g`` of each node, null for a node of its
+    own; only the rows whose bit is set go through the join."""
     spark = part.sparkSession
     key = F.conv(F.hex(F.substring("fp", 2, 7)), 16, 10).cast("long")
     table = spark.sparkContext.broadcast(bit_table(comp.select(key.alias("key")), "key", bits))
@@ -405,8 +406,8 @@ def _named(part: DataFrame, comp: DataFrame, bits: int) -> DataFrame:
                 yield batch.filter(pa.array(in_table(table.value, key) == inside))
         return run
 
-    alone = part.mapInArrow(side(False), part.schema).withColumn("g", F.col("fp"))
-    some = part.mapInArrow(side(True), part.schema).join(comp, "fp", "left").withColumn("g", F.coalesce("g", "fp"))
+    alone = part.mapInArrow(side(False), part.schema).withColumn("g", F.lit(None).cast("binary"))
+    some = part.mapInArrow(side(True), part.schema).join(comp, "fp", "left").select(*part.columns, "g")
     return alone.unionByName(some)
 
 
@@ -440,7 +441,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = S
     part = rows.filter("n > 0").select("id", "n", "fp", "f", "low", rep_key.alias("key"))
     part = part.mapInArrow(still_open, part.schema).drop("key")
     if links is None:
-        part = part.withColumn("g", F.col("fp"))
+        part = part.withColumn("g", F.lit(None).cast("binary"))
     else:       # nodes that links to pivots connect need no pair among themselves
         comp = materialize(components(links).withColumnsRenamed({"id": "fp", "component": "g"}), "components")
         part = _named(part, comp, bits)
