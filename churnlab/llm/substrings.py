@@ -8,8 +8,10 @@ fourteen words. Four steps:
 1. count every anchor occurrence of all documents; anchors seen once cannot lie
    in a recurring window. The rest is marked in a bit table of fixed size; a
    wrong mark only makes a window a candidate that step 2 refutes;
-2. confirm: count the candidate windows exactly, by anchor and window hash;
-   those found twice or more recur;
+2. confirm: the consecutive windows with one anchor are a run; runs are counted
+   by anchor and hash, and all windows of a run found twice or more recur. Where
+   an anchor also has a run of its own kind, as at the ends of a passage, its
+   windows are counted one by one;
 3. compile: the anchors of recurring windows are dealt to shards by their hash;
    each shard's task builds an Aho-Corasick automaton over word numbers;
 4. locate: the parts of the documents with candidate windows are streamed
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import arrow_rows, materialize
+from .common import arrow_rows, bit_table, in_table, materialize
 
 WINDOW, ANCHOR = 35, 8
 #: bits of the table of repeated anchors (16 MB)
@@ -64,11 +66,6 @@ def _words(w: W.Words) -> np.ndarray:
     return w.hash & _LOW48
 
 
-def _in_table(key: np.ndarray, table: np.ndarray) -> np.ndarray:
-    b = key % np.uint64(len(table) * 64)
-    return (table[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63))) & np.uint64(1) != 0
-
-
 def _repeated(docs: DataFrame, bits: int, window: int):
     """Bit table of the anchors that occur twice or more, and the number of
     their occurrences."""
@@ -83,14 +80,8 @@ def _repeated(docs: DataFrame, bits: int, window: int):
 
     again = (docs.select("t").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
              .filter("n > 1"))
-    # unsigned remainder: bits is a power of two
-    b = F.col("key").bitwiseAND(F.lit(bits - 1))
-    cells = again.groupBy(F.shiftright(b, 6).alias("i")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(key & 63 as int))")).alias("w"), F.sum("n").alias("n"))
-    got = cells.toPandas()              # at most bits / 64 rows
-    table = np.zeros(bits // 64, np.uint64)
-    table[got["i"].to_numpy(np.int64)] = got["w"].to_numpy(np.int64).view(np.uint64)
-    return table, int(got["n"].sum())
+    again = materialize(again, "anchors")
+    return bit_table(again, "key", bits), again.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
 
 
 def _candidates(docs: DataFrame, table, window: int) -> DataFrame:
@@ -105,7 +96,7 @@ def _candidates(docs: DataFrame, table, window: int) -> DataFrame:
             n = np.zeros(len(texts), np.int64)
             for w in W.split(batch.column("t")):
                 start, _, key = anchors(_words(w), w.starts(window), window)
-                some[w.base + np.unique(w.doc[start[_in_table(key, t)]])] = True
+                some[w.base + np.unique(w.doc[start[in_table(t, key)]])] = True
                 n[w.base:w.base + len(w)] = np.diff(w.first)
             sha = [None if s else digest(x) for s, x in zip(some, texts)]
             yield pa.RecordBatch.from_arrays(
@@ -129,44 +120,79 @@ def kept(text: str | None, removed: np.ndarray | None = None) -> bytes:
     return b" ".join(words)
 
 
-def _window_hash(h: np.ndarray, start: np.ndarray, window: int) -> np.ndarray:
-    """Hash of the whole window at each start."""
-    c = W._splitmix(window, 47) | np.uint64(1)
-    out = np.zeros(len(start), np.uint64)
-    for j in range(window):
-        out += h[start + j] * c[j]
-    return W.mix(out)
+_K = 0xD1342543DE82EF95
+_K_INVERSE = pow(_K, -1, 1 << 64)
+
+
+def _spans(h: np.ndarray, start: np.ndarray, size) -> np.ndarray:
+    """Hash of the ``size`` words at each start (sizes may differ)."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    up, down = np.full(len(h), _K, np.uint64), np.full(len(h), _K_INVERSE, np.uint64)
+    up[0] = down[0] = 1
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(W.mix(h) * np.cumprod(up), dtype=np.uint64)])
+    size = np.broadcast_to(np.asarray(size, np.int64), start.shape)
+    out = (total[start + size] - total[start]) * np.cumprod(down)[start]
+    return W.mix(out + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _run_ends(start: np.ndarray, pos: np.ndarray):
+    """First and last of the windows of each run: equal anchor, next start."""
+    if not len(start):
+        z = np.zeros(0, np.int64)
+        return z, z
+    cut = np.flatnonzero(np.append(True, (pos[1:] != pos[:-1]) | (start[1:] != start[:-1] + 1)))
+    return cut, np.append(cut[1:], len(start)) - 1
 
 
 def _live(w: W.Words, table: np.ndarray, window: int):
     h = _words(w)
     start, pos, key = anchors(h, w.starts(window), window)
-    c = _in_table(key, table)
+    c = in_table(table, key)
     return h, start[c], pos[c], key[c]
 
 
-def _windows(cand: DataFrame, table, window: int) -> DataFrame:
-    """Candidate windows that recur: ``key, window``."""
+def _counted(a: list, b: list) -> pa.RecordBatch:
+    """Pairs of two lists of keys and how often each occurs."""
+    x, y = (np.concatenate(v) if v else np.zeros(0, np.uint64) for v in (a, b))
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    at = np.flatnonzero(np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1]))[:len(x)])
+    n = np.diff(np.append(at, len(x)))
+    return pa.RecordBatch.from_arrays([pa.array(W.signed(x[at])), pa.array(W.signed(y[at])), pa.array(n.astype(np.int32))],
+                                      ["key", "span", "n"])
+
+
+def _runs(cand: DataFrame, table, window: int) -> DataFrame:
+    """Occurrences of each run: ``key, span, n``."""
+    def run(batches):
+        for batch in batches:
+            a, b = [], []
+            for w in W.split(batch.column(0)):
+                h, start, pos, key = _live(w, table.value, window)
+                i, j = _run_ends(start, pos)
+                a.append(key[i])
+                b.append(_spans(h, start[i], start[j] - start[i] + window))
+            yield _counted(a, b)
+
+    return (cand.select("t").mapInArrow(run, "key long, span long, n int").groupBy("key", "span")
+            .agg(F.sum("n").alias("n")))
+
+
+def _windows(cand: DataFrame, table, mixed, window: int) -> DataFrame:
+    """Recurring windows of the anchors in the ``mixed`` table: ``key, span``."""
     def run(batches):
         for batch in batches:
             a, b = [], []
             for w in W.split(batch.column(0)):
                 h, start, _, key = _live(w, table.value, window)
-                a.append(key)
-                b.append(_window_hash(h, start, window))
-            both = np.stack([np.concatenate(a), np.concatenate(b)], axis=1) if a else np.zeros((0, 2), np.uint64)
-            order = np.lexsort((both[:, 1], both[:, 0]))
-            both = both[order]
-            new = np.ones(len(both), bool)
-            new[1:] = (both[1:] != both[:-1]).any(axis=1)
-            at = np.flatnonzero(new)
-            n = np.diff(np.append(at, len(both)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(W.signed(np.ascontiguousarray(both[at, 0]))), pa.array(W.signed(np.ascontiguousarray(both[at, 1]))),
-                 pa.array(n.astype(np.int32))], ["key", "window", "n"])
+                some = in_table(mixed.value, key)
+                a.append(key[some])
+                b.append(_spans(h, start[some], window))
+            yield _counted(a, b)
 
-    return (cand.select("t").mapInArrow(run, "key long, window long, n int").groupBy("key", "window")
-            .agg(F.sum("n").alias("n")).filter("n > 1").select("key", "window"))
+    return (cand.select("t").mapInArrow(run, "key long, span long, n int").groupBy("key", "span")
+            .agg(F.sum("n").alias("n")).filter("n > 1").select("key", "span"))
 
 
 def _pack(h: np.ndarray) -> bytes:
@@ -226,6 +252,15 @@ def _segments(cand: DataFrame, table, salts, window: int) -> DataFrame:
     return cand.select("row", "t").mapInArrow(run, "part int, row long, start long, words binary")
 
 
+def _pair(key: np.ndarray, span: np.ndarray) -> np.ndarray:
+    return W.mix(key * np.uint64(0x9E3779B97F4A7C15) + span)
+
+
+def _known(known: np.ndarray, key: np.ndarray, span: np.ndarray) -> np.ndarray:
+    c = _pair(key, span)
+    return known[np.minimum(np.searchsorted(known, c), len(known) - 1)] == c
+
+
 def _locate(window: int):
     """Streams a part's phrases, then its segments: found ranges of words."""
     def run(batches):
@@ -240,7 +275,7 @@ def _locate(window: int):
             if phrases:
                 a.make_automaton()
             k = np.array(confirmed, np.int64).reshape(-1, 2).view(np.uint64)
-            return a, np.sort(W.mix(k[:, 0] * np.uint64(0x9E3779B97F4A7C15) + k[:, 1]))
+            return a, np.sort(_pair(k[:, 0], k[:, 1]))
 
         for batch in batches:
             kinds, parts = batch.column("kind").to_pylist(), batch.column("part").to_pylist()
@@ -266,9 +301,11 @@ def _locate(window: int):
                     start, pos, key = anchors(h, np.ones(len(h), bool), window)
                     hit = np.isin(pos, np.fromiter(found, np.int64, len(found)))
                     start, key = start[hit], key[hit]
-                    c = W.mix(key * np.uint64(0x9E3779B97F4A7C15) + _window_hash(h, start, window))
-                    at = np.minimum(np.searchsorted(known, c), len(known) - 1)
-                    start = start[known[at] == c]
+                    first, last = _run_ends(start, pos[hit])
+                    whole = _known(known, key[first], _spans(h, start[first], start[last] - start[first] + window))
+                    here = np.repeat(whole, last - first + 1)
+                    here[~here] = _known(known, key[~here], _spans(h, start[~here], window))
+                    start = start[here]
                     if len(start):
                         cut = np.flatnonzero(np.append(True, start[1:] > start[:-1] + window))
                         last = np.append(cut[1:], len(start)) - 1
@@ -288,16 +325,19 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: in
     spark = docs.sparkSession
     arrow_rows(spark, 500)
     d = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text).alias("t"))
-    bit_table, seen = _repeated(d, bits, window)
-    table = spark.sparkContext.broadcast(bit_table)
+    repeated, seen = _repeated(d, bits, window)
+    table = spark.sparkContext.broadcast(repeated)
     whole = materialize(_candidates(d, table, window), "candidates")
     cand = whole.filter(F.col("t").isNotNull())
-    confirmed = materialize(_windows(cand, table, window), "windows")
+    runs = materialize(_runs(cand, table, window), "runs")
+    mixed = runs.groupBy("key").agg(F.min("n").alias("low"), F.sum("n").alias("n")).filter("low = 1 and n > 1")
+    mixed = spark.sparkContext.broadcast(bit_table(mixed, "key", bits))
+    confirmed = materialize(runs.filter("n > 1").select("key", "span").union(_windows(cand, table, mixed, window)),
+                            "confirmed")
     # shards by the number of anchor occurrences; a frequent shard has several parts
     shards = int(seen // part_anchors + 1)
     shard = F.expr(f"pmod(pmod(key, {shards}) + if(key < 0, pmod(18446744073709551616BD, {shards}), 0), {shards})").cast("int")
-    load = (cand.select("t").mapInArrow(_loads(table, shards, window), "shard int, n long").groupBy("shard")
-            .agg(F.sum("n").alias("n")).collect())      # at most one row per shard
+    load = runs.groupBy(shard.alias("shard")).agg(F.sum("n").alias("n")).collect()      # a row per shard
     count = np.ones(shards, np.int64)
     for r in load:
         count[r.shard] = r.n // (2 * part_anchors) + 1
@@ -309,7 +349,7 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: in
     rows = (phrases.select(shard.alias("shard"), F.lit(0).alias("kind"), F.col("key").alias("a"),
                            null.cast("long").alias("b"), "words")
             .union(confirmed.select(shard.alias("shard"), F.lit(1).alias("kind"), F.col("key").alias("a"),
-                                    F.col("window").alias("b"), null.cast("binary").alias("words"))))
+                                    F.col("span").alias("b"), null.cast("binary").alias("words"))))
     rows = rows.join(F.broadcast(parts), "shard").select(
         F.explode(F.sequence("p", F.col("p") + F.col("c") - 1)).alias("part"), "kind", "a", "b", "words")
     rows = rows.union(_segments(cand, table, salts, window).select(
@@ -322,19 +362,6 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: in
         "ranges", F.lit(None).cast("array<struct<start:bigint,end:bigint>>")))
 
 
-def _loads(table, shards: int, window: int):
-    def run(batches):
-        n = np.zeros(shards, np.int64)
-        for batch in batches:
-            for w in W.split(batch.column(0)):
-                _, _, pos, key = _live(w, table.value, window)
-                k = key[np.unique(pos, return_index=True)[1]]
-                n += np.bincount((k % np.uint64(shards)).astype(np.int64), minlength=shards)
-        some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some])], ["shard", "n"])
-    return run
-
-
 def removed(n: int, ranges) -> np.ndarray:
     gone = np.zeros(n, bool)
     for r in ranges or ():
