@@ -261,62 +261,73 @@ def _known(known: np.ndarray, key: np.ndarray, span: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, c), len(known) - 1)] == c
 
 
+def _compiled(phrases: list, confirmed: list):
+    """Automaton over the word numbers of the phrases, and the sorted hashes of
+    the confirmed spans."""
+    import ahocorasick
+    a = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for words in phrases:
+        a.add_word(tuple((_unpack(words) & np.uint64(0xFFFFFFFF)).tolist()), True)
+    if len(a):
+        a.make_automaton()
+    return a, np.sort(np.concatenate(confirmed)) if confirmed else np.zeros(0, np.uint64)
+
+
 def _locate(window: int):
     """Streams a part's phrases, then its segments: found ranges of words."""
     def run(batches):
-        import ahocorasick
-        part, automaton, phrases, confirmed = None, None, [], []
-
-        def compile_shard():
-            a = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-            for key, words in phrases:
-                seq = tuple((_unpack(words) & np.uint64(0xFFFFFFFF)).tolist())
-                a.add_word(seq, (*a.get(seq, ()), key))
-            if phrases:
-                a.make_automaton()
-            k = np.array(confirmed, np.int64).reshape(-1, 2).view(np.uint64)
-            return a, np.sort(_pair(k[:, 0], k[:, 1]))
-
+        part, automaton, known, phrases, confirmed = None, None, None, [], []
         for batch in batches:
-            kinds, parts = batch.column("kind").to_pylist(), batch.column("part").to_pylist()
-            a, b, words = (batch.column(c).to_pylist() for c in ("a", "b", "words"))
-            out = ([], [], [])
-            for i, kind in enumerate(kinds):
+            kind, parts = batch.column("kind").to_numpy(), batch.column("part").to_numpy()
+            a, b = (batch.column(c).fill_null(0).to_numpy() for c in ("a", "b"))
+            words, out = batch.column("words"), ([], [], [])
+            cut = np.flatnonzero(np.append(True, (parts[1:] != parts[:-1]) | (kind[1:] != kind[:-1]))[:len(kind)])
+            for i, j in zip(cut, np.append(cut[1:], len(kind))):
                 if parts[i] != part:
                     part, automaton, phrases, confirmed = parts[i], None, [], []
-                if kind == 0:
-                    phrases.append((a[i], words[i]))
-                elif kind == 1:
-                    confirmed.append((a[i], b[i]))
-                elif confirmed:
+                if kind[i] == 0:
+                    phrases += words[i:j].to_pylist()
+                elif kind[i] == 1:
+                    confirmed.append(_pair(a[i:j].view(np.uint64), b[i:j].view(np.uint64)))
+                else:
                     if automaton is None:
-                        automaton, known = compile_shard()
-                        phrases = []
-                    h = _unpack(words[i])
-                    found = {}
-                    for end, keys in automaton.iter(tuple((h & np.uint64(0xFFFFFFFF)).tolist())):
-                        found[end + 1 - ANCHOR] = keys
-                    if not found:
-                        continue
-                    start, pos, key = anchors(h, np.ones(len(h), bool), window)
-                    hit = np.isin(pos, np.fromiter(found, np.int64, len(found)))
-                    start, key = start[hit], key[hit]
-                    first, last = _run_ends(start, pos[hit])
-                    whole = _known(known, key[first], _spans(h, start[first], start[last] - start[first] + window))
-                    here = np.repeat(whole, last - first + 1)
-                    here[~here] = _known(known, key[~here], _spans(h, start[~here], window))
-                    start = start[here]
-                    if len(start):
-                        cut = np.flatnonzero(np.append(True, start[1:] > start[:-1] + window))
-                        last = np.append(cut[1:], len(start)) - 1
-                        out[0].extend([a[i]] * len(cut))
-                        out[1].extend((start[cut] + b[i]).tolist())
-                        out[2].extend((start[last] + b[i] + window).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["row", "start", "end"])
+                        automaton, known = _compiled(phrases, confirmed)
+                        phrases, confirmed = [], []
+                    if len(automaton) and len(known):
+                        which, start, end = _found(automaton, known, words[i:j].to_pylist(), window)
+                        out[0].append(a[i:j][which])
+                        out[1].append(b[i:j][which] + start)
+                        out[2].append(b[i:j][which] + end)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
+                                              for x in out], ["row", "start", "end"])
 
     return run
 
 
+def _found(automaton, known: np.ndarray, segments: list, window: int):
+    """(segment, start, end) of the ranges of recurring windows."""
+    size = np.array([len(x) // 6 for x in segments], np.int64)
+    first = np.concatenate([[0], np.cumsum(size)])
+    h = _unpack(b"".join(segments))
+    hit = np.zeros(len(h) + 1, bool)        # an anchor of this shard starts here
+    for last, _ in automaton.iter(tuple((h & np.uint64(0xFFFFFFFF)).tolist())):
+        hit[last + 1 - ANCHOR] = True
+    ok = np.arange(len(h)) + window <= np.repeat(first[1:], size)
+    start, pos, key = anchors(h, ok, window)
+    some = hit[pos]
+    start, pos, key = start[some], pos[some], key[some]
+    i, j = _run_ends(start, pos)
+    here = np.repeat(_known(known, key[i], _spans(h, start[i], start[j] - start[i] + window)), j - i + 1)
+    rest = np.flatnonzero(~here)
+    here[rest] = _known(known, key[rest], _spans(h, start[rest], window))
+    start = start[here]
+    which = np.searchsorted(first, start, "right") - 1
+    cut = np.flatnonzero(np.append(True, (start[1:] > start[:-1] + window) | (which[1:] != which[:-1]))[:len(start)])
+    last = np.append(cut[1:], len(start)) - 1 if len(cut) else cut
+    which = which[cut]
+    return which, start[cut] - first[which], start[last] - first[which] + window
+
+
 def mark(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW,
          bits: int = TABLE_BITS, part_anchors: int = PART_ANCHORS) -> DataFrame:
     """One row per document: ``row, id, n_words, sha, t, ranges``. ``ranges``
