@@ -1,12 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are folded (lower case, punctuation dropped). The seeds of a test item are
-its ``SEED``-word n-grams that are rare among all documents, or rare as the item
-goes: an item that leaked everywhere keeps its least frequent seeds. A document
+all its ``SEED``-word n-grams, however many documents hold them: a leak keeps its
+seeds if thousands of documents have the same edited copy. A document
 and an item that share at least ``MIN_SEEDS`` seeds close together meet in one
 candidate region, and the item is aligned with the region's words
 (match +2, other word -1, gap -1). The similarity is the best local score over the
-score of a perfect copy; from ``threshold`` the document holds the item.
+score of a perfect copy; from ``threshold`` the document holds the item. A region
+with too few of the item's words to reach the threshold is not aligned.
 
 The test items are read in slabs of at most ``SLAB_CHARS`` characters, so the
 index that tasks get stays bounded; each slab is one more pass over the documents.
@@ -28,7 +29,6 @@ from . import words as W
 from .common import arrow_rows
 
 SEED, MIN_SEEDS, MIN_WORDS = 3, 2, 6
-RARE, RARE_SHARE, RELATIVE = 5, 1e-4, 3.0
 THRESHOLD = 0.5
 SLAB_CHARS = 4 << 20
 MATCH, OTHER, GAP = 2, -1, -1
@@ -67,16 +67,6 @@ class Index:
         hit = np.flatnonzero(self.keys[k] == grams)
         return hit, k[hit]
 
-    def thin(self, documents: np.ndarray, total: int) -> None:
-        """Keep the rare seeds, given the documents that hold each key."""
-        df = np.repeat(documents, self.upto - self.at)
-        keep = np.zeros(len(df), bool)
-        rare = RARE + RARE_SHARE * total
-        for i in np.unique(self.item):
-            own = self.item == i
-            keep |= own & (df <= max(rare, RELATIVE * np.quantile(df[own], 0.25)))
-        self._set(self.seeds[keep], self.item[keep], self.pos[keep])
-
 
 def align(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment: (score, start, end) with the region's words
@@ -126,25 +116,6 @@ def _hits(index: Index, w: W.Words):
     return at, k
 
 
-def _count(docs: DataFrame, index: Index) -> np.ndarray:
-    """Documents that hold each seed, over all documents."""
-    def run(batches):
-        for batch in batches:
-            n = np.zeros(len(index.keys), np.int64)
-            for w in W.split(batch.column(0), folded=True):
-                got = _hits(index, w)
-                if got is not None and len(got[0]):
-                    pair = np.unique(w.doc[got[0]] * len(index.keys) + got[1])
-                    n += np.bincount(pair % len(index.keys), minlength=len(index.keys))
-            k = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(n[k], pa.int64())], ["k", "n"])
-
-    out = np.zeros(len(index.keys), np.int64)
-    for r in docs.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
-        out[r.k] = r.n          # at most one row for each seed of the slab
-    return out
-
-
 def _aligned(index: Index, col, threshold: float):
     """(row, item, similarity, first word, end word, seeds) of the pairs of a
     text column that reach the threshold."""
@@ -160,13 +131,15 @@ def _aligned(index: Index, col, threshold: float):
         pair = doc * len(index.items) + item
         order = np.argsort(pair, kind="stable")
         start = np.flatnonzero(np.append(True, np.diff(pair[order]) != 0))
-        for own in np.split(order, start[1:]):
-            if len(own) < MIN_SEEDS:
-                continue
+        upto = np.append(start[1:], len(order))
+        for x in np.flatnonzero(upto - start >= MIN_SEEDS):
+            own = order[start[x]:upto[x]]
             d, i = int(doc[own[0]]), int(item[own[0]])
             a, z = w.first[d], w.first[d + 1]
             words, size, best = w.hash[a:z], len(index.items[i]), (0, 0, 0)
             for lo, hi in regions(at[own] - a, pos[own], size, len(words)):
+                if np.isin(index.items[i], words[lo:hi]).sum() < threshold * size:
+                    continue        # the score is at most MATCH for each of these words
                 s, x, y = align(index.items[i], words[lo:hi])
                 best = max(best, (s, -(lo + x), lo + y))
             if best[0] >= threshold * MATCH * size:
@@ -189,21 +162,18 @@ def _link(docs: DataFrame, index: Index, threshold: float, id_type: str, item_ty
 
 
 def _indexes(docs: DataFrame, benchmark: DataFrame, text: str, item_col: str, item_text: str, slab_chars: int):
-    """The index of each slab of test items, with the seeds that are rare in
-    all documents, and the type of the item ids."""
+    """The index of each slab of test items, and the type of the item ids."""
     arrow_rows(docs.sparkSession, 500)
     items = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).alias("t"))
     item_type = items.schema["i"].dataType.simpleString()
     if item_type not in ("bigint", "long"):
         items = items.withColumn("i", F.col("i").cast("string"))
     chars = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0)).alias("n")).first().n
-    slabs, out, total = chars // slab_chars + 1, [], docs.count()
+    slabs, out = chars // slab_chars + 1, []
     for s in range(slabs):
         part = items.filter(F.pmod(F.xxhash64("t"), F.lit(slabs)) == s) if slabs > 1 else items
         rows = sorted(part.collect(), key=lambda r: (r.i is None, r.i if r.i is not None else 0, r.t or ""))
-        index = Index([r.i for r in rows], [r.t for r in rows])
-        index.thin(_count(docs.select(F.col(text).alias("t")), index), total)
-        out.append(index)
+        out.append(Index([r.i for r in rows], [r.t for r in rows]))
     return out, item_type
 
 

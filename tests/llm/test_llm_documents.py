@@ -209,6 +209,24 @@ def test_decontamination_finds_copies_and_edits(spark, docs, empty, tmp_path):
     assert D.find(empty, benchmark).collect() == [] and D.find(all_docs, benchmark.limit(0)).collect() == []
 
 
+def test_decontamination_finds_hundreds_of_copies_of_one_edited_leak(spark, tmp_path):
+    from churnlab.llm import decontaminate as D
+    rnd, v, other = C.random.Random(12), C.vocabulary(21), C.vocabulary(22)
+    item = C.prose(rnd, v, 20)
+    words = item.split()
+    words[5], words[13] = "edited", "changed"       # 6 of 18 seeds are broken
+    leak = " ".join(words)
+    words[13], words[9] = item.split()[13], "other"  # another edit, in one document
+    rows = [(k, C.prose(rnd, other, 30) + " " + leak + " " + C.prose(rnd, other, 30)) for k in range(300)]
+    rows += [(300, C.prose(rnd, other, 30) + " " + " ".join(words))] + [(400 + k, C.prose(rnd, other, 60)) for k in range(300)]
+    docs = C.saved(spark, rows, str(tmp_path))
+    benchmark = spark.createDataFrame([(0, item)], "item_id long, text string")
+    out = D.find(docs, benchmark).collect()
+    assert sorted(r.doc_id for r in out) == list(range(301))
+    assert all(r.similarity >= 0.8 for r in out)
+    assert {r.doc_id for r in D.clean(docs, benchmark).collect()} == set(range(400, 700))
+
+
 def test_decontamination_finds_every_exact_copy(spark):
     from churnlab.llm.queries import QUERIES
     sf = "/root/testdata/sf0.01"
