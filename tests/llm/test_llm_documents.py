@@ -347,6 +347,25 @@ def test_lines_of_a_group_are_close_and_kept_once(spark, tmp_path, crowd):
     assert gone == {p for s in want.values() for p in s if p != min(s)}
 
 
+def former_normal(line):
+    return re.sub("[1-9]", "0", re.sub(r"[^\w]+|_", " ", line.lower())).strip()
+
+
+def test_lines_that_differ_in_digits_quotes_and_blanks_are_one(spark, tmp_path):
+    from churnlab.llm import lines as L
+    same = [["9 lives of cat 7", "8 lives of cat 5"], ["page 12 of 30, 2024-01-05", "Page 47 of 98  2023\u201311\u201330"],
+            ["the \u201cfoo\u201d and\u00a0bar", "the foo   and 'bar'"], ["foo,bar baz qux", "foo bar - baz qux"],
+            ["tab\tand more\r", "tab and more"]]
+    other = ["foobar baz qux quux", "tabandmore or less here"]
+    rows = [(k, "\n".join(x)) for k, x in enumerate(zip(*same))] + [(9, "\n".join(other))]
+    docs = C.saved(spark, rows, str(tmp_path))
+    d = docs.selectExpr("monotonically_increasing_id() row", "doc_id id", "text t")
+    norm = {(r.id, r.pos): r.norm for r in L._lines(d).collect()}
+    assert norm == {(i, p): re.sub(" +", " ", former_normal(x)) for i, t in rows for p, x in enumerate(t.split("\n"))}
+    gone = {(r.id, r.pos) for r in L.removed(L.groups(docs)).collect()}
+    assert gone == {(1, p) for p in range(len(same))}
+
+
 def test_lines_awkward_cases(docs, empty):
     from churnlab.llm import lines as L
     out = {}
