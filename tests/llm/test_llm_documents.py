@@ -366,6 +366,13 @@ def test_lines_that_differ_in_digits_quotes_and_blanks_are_one(spark, tmp_path):
     assert gone == {(1, p) for p in range(len(same))}
 
 
+def test_short_lines_are_grouped_when_equal(spark, tmp_path):
+    from churnlab.llm import lines as L
+    rows = [(k, "Home\nContact us\n%s\nContact as" % ["about", "news", "Home"][k]) for k in range(3)]
+    gone = {(r.id, r.pos) for r in L.removed(L.groups(C.saved(spark, rows, str(tmp_path)))).collect()}
+    assert gone == {(1, 0), (1, 1), (1, 3), (2, 0), (2, 1), (2, 2), (2, 3)}
+
+
 def test_lines_awkward_cases(docs, empty):
     from churnlab.llm import lines as L
     out = {}
