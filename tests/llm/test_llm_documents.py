@@ -373,6 +373,24 @@ def test_short_lines_are_grouped_when_equal(spark, tmp_path):
     assert gone == {(1, 0), (1, 1), (1, 3), (2, 0), (2, 1), (2, 2), (2, 3)}
 
 
+def test_long_lines_are_compared_by_edit_similarity(spark):
+    from churnlab.llm import lines as L
+    rnd, v = C.random.Random(6), C.vocabulary(6)
+    words = [rnd.choice(v) for _ in range(130)]
+    mixed = rnd.sample(words, len(words))
+    typos = [x + "q" if i % 4 == 0 else x for i, x in enumerate(words)]
+    half = [rnd.choice(v) if i % 2 else x for i, x in enumerate(words)]
+    fifth = [rnd.choice(v) if i % 5 == 0 else x for i, x in enumerate(words)]
+    names = [" ".join(x) for x in (words, mixed, typos, half, fifth, words[:-30], words[30:], words[:60])]
+    assert len(names[0]) > 500
+    texts = spark.createDataFrame(list(enumerate(names)), "k long, norm string")
+    pairs = [(i, j) for j in range(len(names)) for i in range(j)]
+    out = L._verified(spark.createDataFrame(pairs, "ak long, bk long"), texts, 80).collect()
+    want = [(i, j) for i, j in pairs if similarity(names[i], names[j]) >= 0.8]
+    assert sorted((r.a, r.b) for r in out) == want
+    assert (0, 2) in want and (0, 1) not in want
+
+
 def test_lines_awkward_cases(docs, empty):
     from churnlab.llm import lines as L
     out = {}
