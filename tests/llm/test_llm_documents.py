@@ -391,6 +391,39 @@ def test_long_lines_are_compared_by_edit_similarity(spark):
     assert (0, 2) in want and (0, 1) not in want
 
 
+def edits_within(x, y, most):
+    """Whether at most ``most`` edits lead from x to y; stops as soon as they do not."""
+    row = list(range(len(y) + 1))
+    for i, a in enumerate(x, 1):
+        row, last = [i], row
+        for j, b in enumerate(y, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (a != b)))
+        if min(row) > most:
+            return False
+    return row[-1] <= most
+
+
+def test_edited_lines_of_every_length_are_found(spark, tmp_path):
+    from churnlab.llm import lines as L
+    rnd, v = C.random.Random(15), C.vocabulary(15)
+    pairs = []
+    for size in (8, 12, 20, 30, 40, 60):
+        for k in range(20):
+            a = [rnd.choice(v) for _ in range(size)]
+            b, at = list(a), rnd.randrange(size)
+            b[at] = b[at][:-1] + "x" if k % 2 else rnd.choice(v)
+            pairs.append((" ".join(a), " ".join(b)))
+    rows = [(k, "\n".join(p)) for k, p in enumerate(pairs)]
+    out = L.report(C.saved(spark, rows, str(tmp_path))).collect()
+    found = {(r.doc_id, int(p)) for r in out for p in r.removed_lines.split(",") if p}
+    # brute force: edit similarity alone
+    names = [(k, i, x) for k, p in enumerate(pairs) for i, x in enumerate(p)]
+    want = {(k, i) for a, (k, i, x) in enumerate(names) for _, _, y in names[:a]
+            if min(len(x), len(y)) >= 0.8 * max(len(x), len(y)) and edits_within(x, y, max(len(x), len(y)) // 5)}
+    assert found <= want and len(want) > 100
+    assert len(found) >= 0.97 * len(want)
+
+
 def test_lines_awkward_cases(docs, empty):
     from churnlab.llm import lines as L
     out = {}
