@@ -214,3 +214,40 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document that repeat an earlier line or nearly do."""
     from . import lines as L
     return L.report(table(spark, sf_dir, "documents"))
+
+
+# --- op11: centroid clustering ----------------------------------------------
+
+def _op11_sql(k: int = 40, rounds: int = 5, dims: int = 64, scale: int = 256) -> str:
+    """Long form: one row per vector and dimension, centroids one CTE a round."""
+    ctes = []
+    for r in range(rounds + 1):
+        ctes.append(f"""a{r} AS MATERIALIZED (SELECT id, arg_min(c, {{key}}) AS c, min(s) AS distance FROM (
+   SELECT e.id, m.c, sum((e.q - m.q) * (e.q - m.q))::BIGINT AS s FROM e JOIN m{r} m ON m.j = e.j GROUP BY e.id, m.c)
+   GROUP BY id)""".replace("{key}", f"s * {k} + c"))
+        if r < rounds:
+            ctes.append(f"""m{r + 1} AS MATERIALIZED (SELECT m.c, m.j, coalesce(n.q, m.q) AS q FROM m{r} m LEFT JOIN (
+   SELECT c, j, ((s - ((s % n + n) % n)) // n)::BIGINT AS q
+   FROM (SELECT a.c, e.j, sum(e.q)::BIGINT AS s, count(*) AS n FROM e JOIN a{r} a ON a.id = e.id GROUP BY a.c, e.j)) n
+   ON n.c = m.c AND n.j = m.j)""")
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+   WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ e AS MATERIALIZED (SELECT id, j, floor({scale} * x)::BIGINT AS q
+   FROM (SELECT id, unnest(v) AS x, unnest(range({dims})) AS j FROM v)),
+ f AS (SELECT id, row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c FROM v
+   QUALIFY c < {k}),
+ m0 AS MATERIALIZED (SELECT f.c, e.j, e.q FROM f JOIN e ON e.id = f.id),
+ {', '.join(ctes)},
+ t AS (SELECT c, sum(distance) AS s FROM a{rounds} GROUP BY c),
+ h AS (SELECT c, sha256(string_agg(q::VARCHAR, ',' ORDER BY j)) AS h FROM m{rounds} GROUP BY c)
+SELECT v.vec_id, a.c::INTEGER AS cluster, a.distance::BIGINT AS distance, t.s::BIGINT AS cluster_inertia,
+  (SELECT sum(s) FROM t)::BIGINT AS inertia, h.h AS centroid_sha256
+FROM v JOIN a{rounds} a ON a.id = v.id JOIN t ON t.c = a.c JOIN h ON h.c = a.c"""
+
+
+@query("op11_centroids", _op11_sql())
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in 40 clusters after five exact rounds."""
+    from . import centroids as K
+    return K.cluster(table(spark, sf_dir, "embeddings"))
