@@ -251,3 +251,41 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors in 40 clusters after five exact rounds."""
     from . import centroids as K
     return K.cluster(table(spark, sf_dir, "embeddings"))
+
+
+# --- op13: source divergence audit ------------------------------------------
+
+def _op13_sql(min_docs: int = 30, top: int = 50, scale: int = 1_000_000_000, smooth: int = 5) -> str:
+    """Shares of every group and term, differences summed per pair."""
+    p = "1 + ({scale}::HUGEINT * (coalesce({c}, 0) + {smooth})) // (coalesce({n}, 0) + {smooth} * {v})"
+    share = p.replace("{scale}", str(scale)).replace("{smooth}", str(smooth))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+ w AS (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+ kept AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= {min_docs}),
+ c AS (SELECT lang, source, term, count(*) AS c FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+ g AS (SELECT DISTINCT lang, source FROM d),
+ n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source),
+ v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+ p AS MATERIALIZED (SELECT g.lang, g.source, kept.term, coalesce(c.c, 0) AS c,
+   ({share.format(c="c.c", n="n.n", v="v.v")})::BIGINT AS p,
+   ({share.format(c="kept.total", n="v.n", v="v.v")})::BIGINT AS q
+   FROM g JOIN kept ON kept.lang = g.lang JOIN v ON v.lang = g.lang
+   LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+   LEFT JOIN n ON n.lang = g.lang AND n.source = g.source),
+ s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value
+   FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+ o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+   FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+   LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+   UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE c > 0 AND p > q),
+ r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM o)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= {top}"""
+
+
+@query("op13_divergence", _op13_sql())
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language and their telling terms."""
+    from . import divergence as D
+    return D.audit(table(spark, sf_dir, "documents"))
