@@ -5,12 +5,18 @@ address at most 255, Luhn for cards, mod 97 for bank accounts, digit counts for
 phones); context words near a span raise or lower its score. Confirmed spans of
 the four base kinds always stay; the other kinds are kept from ``min_score``.
 
+The patterns repeat possessively over single characters or flat groups, so a
+match of any length is found without recursion, and an address or number
+starts where its run of characters starts (or where the last match ended), so a
+long run is read once.
+
 Positions count code points. ``split`` by a pattern gives the gaps between its
 leftmost non-overlapping matches, and the running sum of gap and match lengths
 gives each match's start; that sum is a window over the matches of one document
 and kind, so a text with very many matches is a sorted run, not one array.
 
-Null and empty texts have no spans. Repeated rows are searched each on their
+Null and empty texts have no spans; texts of any length are searched whole. Where
+two kinds match the same characters (a tie) both spans are given. Repeated rows are searched each on their
 own. An empty table gives an empty result; columns other than id and text are
 ignored.
 """
@@ -39,11 +45,11 @@ class Kind:
 
 
 KINDS = [
-    Kind("email", r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "@", "any", 0.9,
+    Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", "any", 0.9,
          r"\b(e-?mail|contact|write|mailto)\b", "", True),
-    Kind("ip", r"[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]+)", r"[0-9]\.[0-9]+\.[0-9]", "octets", 0.6,
+    Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]+\.[0-9]", "octets", 0.6,
          r"\b(ip|address|host|server|addr)\b", r"\b(version|release|build|v)\b", True),
-    Kind("card", r"[0-9]([\x20-]?[0-9])+", r"[0-9]([\x20-]?[0-9]){12}", "luhn", 0.8,
+    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", r"[0-9](?:[\x20-]?[0-9]){12}", "luhn", 0.8,
          r"\b(card|visa|credit|debit|mastercard|payment)\b", r"\b(order|serial|isbn|tracking)\b", True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", "phone", 0.6,
          r"\b(phone|tel|call|fax|mobile|whatsapp)\b", "", True),
@@ -52,6 +58,8 @@ KINDS = [
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "ssn", 0.4,
          r"\b(ssn|social security|social)\b", ""),
     Kind("access_key", r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])", "AKIA", "any", 0.9),
+    Kind("secret", r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{24,128}+(?![A-Za-z0-9_-])", r"[A-Za-z0-9_-]{24}", "mixed", 0.4,
+         r"\b(token|secret|passw(or)?d|api[_-]?key|key|credentials?|bearer|auth)\b"),
 ]
 BASE = [k.name for k in KINDS if k.base]
 
@@ -94,11 +102,13 @@ def _valid(kind: str, m: Column) -> Column:
             return (F.length(p) > 3) | (F.coalesce(F.substring(p, 1, 3).try_cast("int"), F.lit(0)) > 255)
         return ~F.exists(F.split(m, r"\."), large)
     if kind == "luhn":
-        return F.length(d).between(13, 19) & luhn(d)
+        return F.when(F.length(d).between(13, 19), luhn(d)).otherwise(False)
     if kind == "phone":
         return F.length(d).between(9, 15)
     if kind == "mod97":
-        return F.length(F.regexp_replace(m, " ", "")).between(15, 34) & mod97(m)
+        return F.when(F.length(F.regexp_replace(m, " ", "")).between(15, 34), mod97(m)).otherwise(False)
+    if kind == "mixed":
+        return (d != "") & m.rlike("[A-Za-z]")
     if kind == "ssn":
         return ~d.rlike("^(000|666|9)") & ~d.rlike("^...00") & ~d.rlike("0000$")
     return F.lit(True)
