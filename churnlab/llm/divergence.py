@@ -286,7 +286,7 @@ def audit(docs: DataFrame, min_docs: int = 30, top: int = 50, scale: int = 1_000
         F.transform(every, lambda y: F.struct(F.least("block", y).alias("x"), F.greatest("block", y).alias("y"))))
     rows = rows.withColumn("tile", F.explode(tiles)).select("*", F.col("tile.x").alias("x"), F.col("tile.y").alias("y")).drop("tile")
 
-    def run(key, t: pa.Table) -> pa.Table:
+    def run(key, t):
         tongue, _, x, y = (k.as_py() for k in key)
         cols = {c: t.column(c).to_pylist() for c in ("kind", "source", "level", "n", "block", "vocabulary", "lang_size", "terms")}
         raw = t.column("bits").to_pylist()
