@@ -120,6 +120,7 @@ def counts(docs: DataFrame, min_docs: int = 30, text: str = "text", lang: str =
 
 BITS = "kind int, lang string, seg long, source string, level long, n long, bits binary, terms array<string>"
 HEAD, LANG, GROUP = 0, 1, 2
+RESULT = [("lang", pa.string()), ("source", pa.string()), ("part", pa.string()), ("item", pa.string()), ("value", pa.int64())]
 
 
 def _segment_rows(lang: str, seg: int, totals: dict[int, list[tuple[int, str]]],
@@ -302,6 +303,8 @@ def audit(docs: DataFrame, min_docs: int = 30, top: int = 50, scale: int = 1_000
             else:
                 own.setdefault(cols["source"][i], []).append((cols["level"][i], cols["n"][i], raw[i]))
         width = (n + 63) // 64
+        if not n:                                                   # blocks without a group of this language
+            return pa.table({c: pa.array([], z) for c, z in RESULT})
         sides = {b: _Side(sorted(s), own, vocabulary, width, scale, smooth) for b, s in seat.items()}
         g, h, v = _distances(sides[x], sides[y], n, x == y)
         part = ["pair"] * len(g)
@@ -311,8 +314,7 @@ def audit(docs: DataFrame, min_docs: int = 30, top: int = 50, scale: int = 1_000
             more = _telling(sides[x], lang_bits, share, [s for _, _, s in language], top)
             g, h, v = g + more[0], h + more[1], v + more[2]
             part += ["term"] * len(more[0])
-        return pa.table({"lang": pa.array([tongue] * len(g), pa.string()), "source": pa.array(g, pa.string()),
-                         "part": pa.array(part, pa.string()), "item": pa.array(h, pa.string()), "value": pa.array(v, pa.int64())})
+        return pa.table({c: pa.array(x, z) for (c, z), x in zip(RESULT, ([tongue] * len(g), g, part, h, v))})
 
     found = materialize(rows.groupBy("lang", "seg", "x", "y").applyInArrow(
         run, "lang string, source string, part string, item string, value long"), "divergence")
