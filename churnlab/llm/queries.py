@@ -253,6 +253,20 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.cluster(table(spark, sf_dir, "embeddings"))
 
 
+# --- op12: language ---------------------------------------------------------
+
+@query("op12_language")
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out.
+    A text with a letter gets the nearest language; ``rejected`` marks those
+    too far from every centroid."""
+    from . import langid as L
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    docs = table(spark, sf_dir, "documents")
+    out = L.identify(docs, L.learn(docs, fold != 1), reject=False)
+    return out.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "distance", "rejected")
+
+
 # --- op13: source divergence audit ------------------------------------------
 
 def _op13_sql(min_docs: int = 30, top: int = 50, scale: int = 1_000_000_000, smooth: int = 5) -> str:
