@@ -12,7 +12,8 @@ Estimator mapping (reference -> MLlib):
   ``class_weight='balanced'`` -> ``weightCol = n / (2 * n_class)``;
 * random forest -> ``RandomForestClassifier`` (trees, depth, min leaf, sqrt);
 * XGBoost / LightGBM -> ``GBTClassifier`` (first-order boosting; depth 5
-  stands in for 31 leaves); early stopping through ``validationIndicatorCol``;
+  stands in for 31 leaves), ``scale_pos_weight`` -> ``weightCol``; early stopping on
+  average precision in ``operators.boosting``;
 * MLP -> ``MultilayerPerceptronClassifier`` (sigmoid hidden layers, L-BFGS);
 * KNN -> ``operators.knn``.
 """
@@ -70,7 +71,9 @@ def _classifier(spec: ModelSpec, n_features: int, n_train: int, label: str, seed
     if spec.kind == "randomforest":
         return RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed, **p)
     if spec.kind == "gbt":
-        return GBTClassifier(featuresCol="features", labelCol=label, seed=seed, **p)
+        weighted = p.pop("scale_pos_weight", None) is not None
+        gbt = GBTClassifier(featuresCol="features", labelCol=label, seed=seed, **p)
+        return gbt.setWeightCol("_w") if weighted else gbt
     if spec.kind == "mlp":
         hidden = list(p.pop("hidden", [128, 32, 8]))
         return MultilayerPerceptronClassifier(featuresCol="features", labelCol=label, seed=seed,
@@ -129,6 +132,7 @@ def fit(spec: ModelSpec, df: DataFrame, numeric: Sequence[str], categorical: Seq
         for cls, k in counts.items():
             w = F.when(F.col(label) == cls, F.lit(n / (len(counts) * k))).otherwise(w)
         train = train.withColumn("_w", w)
+    train = _weighted(train, spec, label)
     clf = _classifier(spec, len(names), n, label, seed)
     model = clf.fit(train)
     return PipelineModel(stages=[*stages, asm, model])
@@ -136,42 +140,37 @@ def fit(spec: ModelSpec, df: DataFrame, numeric: Sequence[str], categorical: Seq
 
 def fit_early_stopped(spec: ModelSpec, df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                       label: str, train_where: str, valid_where: str, patience: int = 50,
-                      seed: int = 42) -> tuple[PipelineModel, int]:
-    """Boosting with early stopping by patience.
-
-    Fits ``maxIter`` rounds on the training rows, gets the validation loss of
-    every prefix of the ensemble in one distributed pass
-    (``evaluateEachIteration``), stops at the first round after which the loss
-    has not improved for ``patience`` rounds, and refits up to the best round
-    (rounds are seeded per iteration, so the refit repeats the same trees).
-    Returns ``(model, best_rounds)``.
+                      seed: int = 42, first: int | None = None) -> tuple[PipelineModel, int]:
+    """Boosting stopped by patience on average precision.
+
+    Up to ``maxIter`` rounds are fitted on the training rows; the rounds kept are
+    those up to the best average precision on the validation rows, once it has not
+    improved for ``patience`` rounds (see ``boosting``). Imputer and encoder are
+    fitted on the training rows alone. Returns ``(model, best_rounds)``.
     """
     if spec.kind != "gbt":
         raise ValueError("early stopping applies to boosting specs")
     from ..session import materialize
+    from .boosting import fit_by_average_precision
     keep = list(dict.fromkeys([*numeric, *categorical, label]))
-    # both fits read the same written training copy: same partitions, same per-round samples
     train = materialize(df.filter(F.expr(train_where)).select(*keep))
-    full = fit(spec, train, numeric, categorical, label, seed=seed, checkpoint=False)
-    stages = full.stages[:-1]
+    stages, names, cur = feature_stages(train, numeric, categorical)
+    asm = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
+    cols = ["features", F.col(label).cast("double").alias(label)]
+    ready = materialize(_weighted(asm.transform(cur).select(*cols), spec, label), "train_vectors")
     valid = df.filter(F.expr(valid_where)).select(*keep)
     for st in stages:
         valid = st.transform(valid)
-    valid = valid.withColumn(label, F.col(label).cast("double"))
-    losses = full.stages[-1].evaluateEachIteration(valid)
-    best, best_i, since = float("inf"), 0, 0
-    for i, loss in enumerate(losses):
-        if loss < best:
-            best, best_i, since = loss, i, 0
-        else:
-            since += 1
-            if since >= patience:
-                break
-    rounds = best_i + 1
-    if rounds == len(losses):
-        return full, rounds
-    short = ModelSpec(spec.name, spec.kind, {**spec.params, "maxIter": rounds}, spec.balanced)
-    return fit(short, train, numeric, categorical, label, seed=seed, checkpoint=False), rounds
+    valid = materialize(asm.transform(valid).select(*cols), "validation_vectors")
+    clf = _classifier(spec, len(names), 0, label, seed)
+    model, rounds, _ = fit_by_average_precision(clf, ready, valid, label, patience, first)
+    return PipelineModel(stages=[*stages, asm, model]), rounds
+
+
+def _weighted(df: DataFrame, spec: ModelSpec, label: str) -> DataFrame:
+    """With ``scale_pos_weight`` in the spec, rows of class 1 get that weight."""
+    w = spec.params.get("scale_pos_weight")
+    return df if w is None else df.withColumn("_w", F.when(F.col(label) == 1, float(w)).otherwise(1.0))
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (), name: str = "y_score") -> DataFrame:

@@ -35,83 +35,73 @@ def _scored(spark, sf, spec: M.ModelSpec, numeric=NUM, categorical=CAT):
     return M.score(model, test, keep=[ID, F.col(LABEL).alias("y_true")])
 
 
-# Settings of the registered fits: fewer trees, rounds and iterations than
-# REFERENCE_SPECS, the reference's full settings, which callers pass to ``fit``.
-SMALL = {
-    "logistic": M.ModelSpec("logistic", "logistic", {"C": 1.0, "maxIter": 200}),
-    "logistic_balanced": M.ModelSpec("logistic", "logistic", {"C": 1.0, "maxIter": 200}, balanced=True),
-    "randomforest": M.ModelSpec("randomforest", "randomforest",
-                                {"numTrees": 20, "maxDepth": 7, "minInstancesPerNode": 50,
-                                 "featureSubsetStrategy": "sqrt"}),
-    "xgboost": M.ModelSpec("xgboost", "gbt", {"maxIter": 20, "maxDepth": 5, "stepSize": 0.05,
-                                              "subsamplingRate": 0.8}),
-    "lightgbm": M.ModelSpec("lightgbm", "gbt", {"maxIter": 20, "maxDepth": 5, "stepSize": 0.05}),
-    "mlp": M.ModelSpec("mlp", "mlp", {"hidden": [128, 32, 8], "maxIter": 30, "blockSize": 16384}),
-}
+# The registered fits use the reference's settings.
+SPECS = M.REFERENCE_SPECS
 
 
 @register("e1_logistic_scores")
 def e1_logistic_scores(spark, sf):
-    return _scored(spark, sf, SMALL["logistic"])
+    return _scored(spark, sf, SPECS["logistic"])
 
 
 @register("e2_logistic_balanced_scores")
 def e2_logistic_balanced_scores(spark, sf):
-    return _scored(spark, sf, SMALL["logistic_balanced"])
+    return _scored(spark, sf, SPECS["logistic_balanced"])
 
 
 @register("e3_random_forest_scores")
 def e3_random_forest_scores(spark, sf):
-    return _scored(spark, sf, SMALL["randomforest"])
+    return _scored(spark, sf, SPECS["randomforest"])
 
 
 @register("e4_gbt_xgboost_scores")
 def e4_gbt_xgboost_scores(spark, sf):
-    return _scored(spark, sf, SMALL["xgboost"])
+    return _scored(spark, sf, SPECS["xgboost"])
 
 
 @register("e5_gbt_lightgbm_scores")
 def e5_gbt_lightgbm_scores(spark, sf):
-    return _scored(spark, sf, SMALL["lightgbm"])
+    return _scored(spark, sf, SPECS["lightgbm"])
 
 
 @register("e6_gbt_early_stopping")
 def e6_gbt_early_stopping(spark, sf):
+    # MLlib's own rule: stops when the validation loss no longer falls
     df = D.three_way_split(planted(spark, sf), ID, LABEL, 0.2, 0.2, 42)
     df = df.withColumn("is_val", F.col("split") == "validation")
-    spec = M.ModelSpec("xgboost", "gbt", {"maxIter": 60, "maxDepth": 5, "stepSize": 0.05,
-                                          "validationIndicatorCol": "is_val", "validationTol": 0.001})
+    spec = M.ModelSpec("xgboost", "gbt", {**SPECS["xgboost"].params, "maxIter": 2000, "validationIndicatorCol": "is_val",
+                                          "validationTol": 0.001})
     model = M.fit(spec, df, NUM, CAT, LABEL, fit_where="split <> 'test'")
     return M.score(model, df.filter("split = 'test'"), keep=[ID, F.col(LABEL).alias("y_true")])
 
 
 @register("e6_gbt_patience_stopping")
 def e6_gbt_patience_stopping(spark, sf):
+    # the reference's rule: up to 2000 rounds, patience 50 on average precision
     df = D.three_way_split(planted(spark, sf), ID, LABEL, 0.2, 0.2, 42)
-    spec = M.ModelSpec("xgboost", "gbt", {"maxIter": 40, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8})
+    spec = M.ModelSpec("xgboost", "gbt", {**SPECS["xgboost"].params, "maxIter": 2000})
     model, rounds = M.fit_early_stopped(spec, df, NUM, CAT, LABEL, "split = 'train'", "split = 'validation'",
-                                        patience=10)
+                                        patience=50)
     out = M.score(model, df.filter("split = 'test'"), keep=[ID, F.col(LABEL).alias("y_true")])
     return out.withColumn("rounds", F.lit(rounds))
 
 
 @register("e7_importance_top_half")
 def e7_importance_top_half(spark, sf):
-    spec = M.ModelSpec("importance", "gbt", {"maxIter": 20, "maxDepth": 6, "stepSize": 0.1})
     df = _prepared(spark, sf)
-    model = M.fit(spec, df, NUM, CAT, LABEL, fit_where="split = 'train'")
+    model = M.fit(SPECS["importance"], df, NUM, CAT, LABEL, fit_where="split = 'train'")
     return C.select_top_fraction(M.importances(model), 0.5)
 
 
 @register("e10_mlp_scores")
 def e10_mlp_scores(spark, sf):
-    return _scored(spark, sf, SMALL["mlp"], numeric=NUM, categorical=[])
+    return _scored(spark, sf, SPECS["mlp"])
 
 
 @register("e12_top_importances")
 def e12_top_importances(spark, sf):
     df = _prepared(spark, sf)
-    model = M.fit(SMALL["logistic"], df, NUM, CAT, LABEL, fit_where="split = 'train'")
+    model = M.fit(SPECS["logistic"], df, NUM, CAT, LABEL, fit_where="split = 'train'")
     return M.importances(model, k=5)
 
 
@@ -119,7 +109,7 @@ def e12_top_importances(spark, sf):
 def e13_sweep_metrics(spark, sf):
     df = _prepared(spark, sf)
     datasets = {"full": NUM, "50": ["visits", "returns", "urgent", "fee"]}
-    specs = [SMALL["logistic"], M.ModelSpec("randomforest", "randomforest",
+    specs = [SPECS["logistic"], M.ModelSpec("randomforest", "randomforest",
                                             {"numTrees": 10, "maxDepth": 5, "featureSubsetStrategy": "sqrt"})]
     sc = M.sweep(specs, df, datasets, ID, LABEL, exclude=(None, "returns", "urgent"), categorical=CAT)
     return E.metrics(sc, "y_true", "y_score", 0.5, by=["model_key"])
@@ -128,7 +118,7 @@ def e13_sweep_metrics(spark, sf):
 @register("e14_batch_scoring")
 def e14_batch_scoring(spark, sf):
     df = _prepared(spark, sf)
-    model = M.fit(SMALL["logistic"], df, NUM, CAT, LABEL, fit_where="split = 'train'")
+    model = M.fit(SPECS["logistic"], df, NUM, CAT, LABEL, fit_where="split = 'train'")
     path = A.save_model(model, scratch_path(spark, "fitted_model"))
     loaded = A.load_model(path)
     return M.score_members(loaded, df.filter("split = 'test'"), ID, threshold=0.5)
