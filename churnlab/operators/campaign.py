@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import risk_grade
-from .ordered import _tie_positions, null_safe_join, rank_cut, running_totals, top_n
+from .ordered import rank_cut, top_n
+from .selection import rank_borders, within
 
 # Business-score weight presets of the model comparison page.
 WEIGHT_PRESETS = {
@@ -156,34 +157,26 @@ def lift_table(df: DataFrame, id_col: str, y: str, s: str, n: int = 10,
     """Risk deciles (``ntile`` over score desc, id asc): size, churners, rate,
     cumulative capture and lift per decile (H1).
 
-    Deciles come from the histogram of scores: its running counts give each
-    score's ranks. Rows without a score are left out.
+    The decile borders (score, id) of each group are found by counting digits
+    (``selection.rank_borders``); a row's decile is the number of borders before
+    it. Rows without a score are left out; ids are numbers.
     """
     by = list(by)
-    scored = df.filter(F.col(s).isNotNull())
-    hist = scored.groupBy(*by, F.col(s).alias("_s")).agg(
-        F.count(F.lit(1)).alias("m"), F.sum(F.col(y).cast("long")).alias("c"))
-    run = running_totals(hist, "_s", ["m", "c"], by=by, prefix="_cum_", descending=True, totals_prefix="_all_")
-    q, rem = F.floor(F.col("_all_m") / n), F.col("_all_m") % n
-    big = rem * (q + 1)
-
-    def decile(rank):
-        return F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1) \
-            .otherwise(rem + F.floor((rank - big - 1) / q) + 1).cast("int")
-
-    run = run.withColumn("_above", F.col("_cum_m") - F.col("m"))
-    run = run.withColumn("decile", decile(F.col("_above") + 1)).withColumn("_last", decile(F.col("_cum_m")))
-    whole = run.filter("decile = _last").select(*by, "decile", "m", "c", "_s", "_all_m", "_all_c")
-    # at most n - 1 scores of a group span a decile border; their rows are put in id order
-    split = run.filter("decile <> _last").select(*by, F.col("_s").alias(s), "_above", "_all_m", "_all_c")
-    tied = null_safe_join(scored.select(*by, F.col(id_col), F.col(y).cast("long").alias("c"), F.col(s)),
-                          split if by else F.broadcast(split), by, [s])
-    tied = _tie_positions(tied, s, id_col, by, None).withColumn("decile", decile(F.col("_above") + F.col("_pos")))
-    parts = whole.unionByName(tied.select(*by, "decile", F.lit(1).cast("long").alias("m"), "c", F.col(s).alias("_s"),
-                                          "_all_m", "_all_c"))
-    per = parts.groupBy(*by, "decile").agg(
-        F.sum("m").alias("members"), F.sum("c").alias("churners"), F.first("_all_m").alias("_n"),
-        F.first("_all_c").cast("double").alias("_pos"), F.min("_s").alias("min_score"))
+    scored = df.filter(F.col(s).isNotNull()).select(*by, id_col, F.col(y).cast("long").alias("c"), F.col(s).cast("double").alias("_score"))
+    # ntile: the first m % n deciles have one row more
+    m = F.col("m")
+    ends = [F.floor(m / n) * j + F.least(m % n, F.lit(j)) for j in range(1, n)]
+    keyed = rank_borders(scored, "_score", id_col, by, F.array_distinct(F.array(*[e.cast("long") - 1 for e in ends])))
+    after = F.aggregate("_borders", F.lit(0).cast("long"),
+                        lambda at, b: F.when(within(b), at).otherwise(b["r"] + 1))
+    after = F.coalesce(after, F.lit(0).cast("long"))
+    # a row that comes after r + 1 rows at least is in the decile of rank r + 2
+    sizes = keyed.withColumn("_after", after).groupBy(*by, "_after").agg(
+        F.count(F.lit(1)).alias("members"), F.sum("c").alias("churners"), F.min("_score").alias("min_score"))
+    whole = Window.partitionBy(*by)
+    order = whole.orderBy("_after")
+    per = sizes.select(*by, F.row_number().over(order).cast("int").alias("decile"), "members", "churners", "min_score",
+                       F.sum("members").over(whole).alias("_n"), F.sum("churners").over(whole).cast("double").alias("_pos"))
     cum = Window.partitionBy(*by).orderBy("decile").rowsBetween(Window.unboundedPreceding, 0)
     rate = F.col("churners") / F.col("members")
     return per.select(*by, "decile", "members", "churners", "min_score", rate.alias("churn_rate"),

@@ -12,13 +12,10 @@ here keep the same exact results while spreading the work:
   range with an ordinary partitioned window, and shifted by the totals of the
   earlier ranges (a table with one row per range).
 * ``exact_quantiles`` -- linear-interpolation quantiles (pandas / NumPy /
-  DuckDB ``quantile_cont``): Spark's exact ``percentile`` when a column's
-  distinct count is checked to be small, else a value histogram plus running
-  counts, so no task holds an unbounded value map.
-* ``rank_cut`` / ``top_n`` / ``global_rank`` -- rows in ``(key desc, id asc)``
-  order: through the histogram of keys and, inside a tied key, the order of
-  ids, cut into id ranges, so that heavy ties (one key holding a third of the
-  table) are not sent to one task.
+  DuckDB ``quantile_cont``) by radix selection (``selection``): no sort, no
+  value map, no shuffle of rows.
+* ``rank_cut`` / ``top_n`` -- rows in ``(key desc, id asc)`` order: the border
+  (key, id) of each group by radix selection, rows compared with it.
 """
 
 from __future__ import annotations
@@ -163,48 +160,21 @@ def value_histogram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
             .groupBy(*by, name_col, value_col).agg(F.count(F.lit(1)).alias("n")))
 
 
-# A column with at most this many distinct values is summarised with Spark's
-# exact ``percentile`` (a value -> count map per group, bounded by this size).
-MAP_QUANTILE_MAX = 100_000
-
-
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = (), name_col: str = "feature",
-                    buckets: int | None = None, method: str = "auto",
-                    map_max: int = MAP_QUANTILE_MAX) -> DataFrame:
+                    buckets: int | None = None, many_groups: bool = False) -> DataFrame:
     """Exact quantiles, linear interpolation, nulls ignored.
 
     Returns ``(by..., feature, prob, value)``. Same definition as pandas
-    ``Series.quantile``, NumPy ``quantile`` and DuckDB ``quantile_cont``.
-
-    ``method='auto'`` checks each column's distinct count first (one
-    HyperLogLog aggregate): columns with at most ``map_max`` distinct values
-    use the built-in exact ``percentile`` (its per-group value map is then
-    bounded); the others use the distributed histogram path, whose largest
-    task holds one range of one column's distinct values.
+    ``Series.quantile``, NumPy ``quantile`` and DuckDB ``quantile_cont``. All
+    columns and probabilities are found in three counting passes
+    (``selection.quantiles``); with ``many_groups``, for groups in the thousands and
+    more, a value histogram is joined with the ranks of each group instead.
     """
-    cols, by = list(cols), list(by)
-    if method == "auto":
-        card = df.agg(*[F.approx_count_distinct(named(c)).alias(c) for c in cols]).first()
-        small = [c for c in cols if card[c] <= map_max]
-    else:
-        small = cols if method == "map" else []
-    large = [c for c in cols if c not in small]
-    parts = []
-    if small:
-        p_arr = F.array(*[F.lit(float(p)) for p in probs])
-        wide = df.groupBy(*by).agg(*[F.percentile(named(c).cast("double"), p_arr).alias(c) for c in small])
-        items = ", ".join(f"'{sql_text(c)}', `{c}`" for c in small)
-        long = wide.select(*by, F.expr(f"stack({len(small)}, {items}) as ({name_col}, _qs)"))
-        parts.append(long.filter(F.col("_qs").isNotNull())
-                     .select(*by, name_col, F.posexplode("_qs").alias("_i", "value"))
-                     .select(*by, name_col, F.element_at(p_arr, F.col("_i") + 1).alias("prob"), "value"))
-    if large:
-        parts.append(_histogram_quantiles(df, large, probs, by, name_col, buckets))
-    out = parts[0]
-    for extra in parts[1:]:
-        out = out.unionByName(extra)
-    return out
+    if many_groups:
+        return _histogram_quantiles(df, cols, probs, by, name_col, buckets)
+    from .selection import quantiles
+    return quantiles(df, cols, probs, by, name_col)
 
 
 def _histogram_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -245,18 +215,30 @@ def quantile_columns(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                    for p, n in zip(probs, names)]))
 
 
-def rank_cut(df: DataFrame, key: str, id_col: str, n: int | Column,
-             by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+def rank_cut(df: DataFrame, key: str, id_col: str, n: int | Column, by: Sequence[str] = (),
+             buckets: int | None = None, many_groups: bool = False) -> DataFrame:
     """Flag the first ``n`` rows per group under ``(key desc, id asc)``, null
     keys last.
 
-    Adds boolean column ``_in_top``. Exact, including ties on ``key``: the
-    border key of a group comes from the histogram of keys; rows above it are a
-    plain filter, and only the rows tied at the border are put in id order. A
-    null group is a group of its own.
+    Adds boolean column ``_in_top``. Exact, including ties on ``key``: the border
+    (key, id) of each group is found by counting digits (``selection.rank_borders``)
+    and rows are compared with it, without a join or a shuffle of the table. A null
+    group is a group of its own; rows with equal key and id stand together. Ids that
+    are not numbers, and groups in the thousands (``many_groups``), take the join
+    form: borders from the histogram of keys, ties at the border in id order.
     """
-    by = list(by)
+    from .selection import numeric_id, rank_borders, within
     cap = n if isinstance(n, Column) else F.lit(int(n))
+    if many_groups or not numeric_id(df, id_col):
+        return _rank_cut_join(df, key, id_col, cap, by, buckets)
+    top = rank_borders(df, key, id_col, by, F.array(cap.cast("long") - 1)).withColumn("_b", F.get("_borders", F.lit(0)))
+    return (top.withColumn("_in_top", F.when(cap <= 0, False).when(F.col("_b").isNull(), True).otherwise(within(F.col("_b"))))
+            .drop("_b", "_borders", "_s", "_i"))
+
+
+def _rank_cut_join(df: DataFrame, key: str, id_col: str, cap: Column, by: Sequence[str],
+                   buckets: int | None) -> DataFrame:
+    by = list(by)
     hist = df.groupBy(*by, key).agg(F.count(F.lit(1)).alias("_kn"))
     run = running_totals(hist.filter(F.col(key).isNotNull()), key, ["_kn"], by=by, buckets=buckets,
                          prefix="_cum", descending=True)
@@ -281,25 +263,6 @@ def rank_cut(df: DataFrame, key: str, id_col: str, n: int | Column,
     return decided.unionByName(ties).drop("_bkey", "_need")
 
 
-def global_rank(df: DataFrame, key: str, id_col: str, by: Sequence[str] = (),
-                buckets: int | None = None, name: str = "rank") -> DataFrame:
-    """1-based rank under ``(key desc, id asc)`` per group, without a global window.
-
-    rank = rows with a larger key + position of the id among rows tied on key.
-    The tied part is a running count along the id inside each key, so a key
-    shared by many rows is cut into id ranges.
-    """
-    by = list(by)
-    hist = df.groupBy(*by, key).agg(F.count(F.lit(1)).alias("_kn"))
-    run = running_totals(hist, key, ["_kn"], by=by, buckets=buckets,
-                         prefix="_cum", descending=True)
-    off = run.select(*by, key, (F.col("_cum_kn") - F.col("_kn")).alias("_above"))
-    tagged = null_safe_join(df, off, by, [key])
-    pos = _tie_positions(tagged, key, id_col, by, buckets)
-    return (pos.withColumn(name, F.col("_above") + F.col("_pos"))
-            .drop("_above", "_pos"))
-
-
 def _tie_positions(df: DataFrame, key: str, id_col: str, by: Sequence[str], buckets: int | None) -> DataFrame:
     """1-based position ``_pos`` of each row among the rows sharing its key, by
     ascending id: a running count along the id, cut into id ranges, so a key
@@ -315,7 +278,7 @@ def _tie_positions(df: DataFrame, key: str, id_col: str, by: Sequence[str], buck
 
 
 def top_n(df: DataFrame, key: str, id_col: str, n: int, by: Sequence[str] = (),
-          buckets: int | None = None) -> DataFrame:
+          buckets: int | None = None, many_groups: bool = False) -> DataFrame:
     """First ``n`` rows per group under ``(key desc, id asc)``, null keys last,
     exact: the rows that ``rank_cut`` flags, for every ``n``."""
-    return rank_cut(df, key, id_col, n, by, buckets).filter("_in_top").drop("_in_top")
+    return rank_cut(df, key, id_col, n, by, buckets, many_groups).filter("_in_top").drop("_in_top")

@@ -4,11 +4,12 @@ Rows are ordered inside each class by ``md5(id|seed)`` (then id): the order
 does not depend on partitioning, so a split is reproducible after a
 re-partition or a lost executor, and DuckDB can compute the same split.
 
-Ranking a whole class with one window would send each class (for a binary
-label, half the table) to one task. Instead the md5 order is cut into
-``16**hex_digits`` buckets by the hash prefix -- uniform by construction --
-rows are ranked inside (class, bucket), and each bucket is shifted by the
-sizes of the buckets before it (a table of at most 2 x 4096 rows).
+A split needs no ranks, only the border of each class: the hash at the wanted rank
+is found by counting digits of the hashes (``selection``: three aggregates over id
+and class, a few numbers as result), and every row is compared with the border of
+its class. The rows of the table are neither shuffled nor sorted. Rows with equal
+ids fall on one side together. Where a rank of every row is wanted (folds),
+``hash_rank`` ranks inside (class, hash bucket) and shifts the buckets.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import hash_hex, hash_unit
 from .ordered import null_safe_join, running_totals
+from .selection import select_ranks, with_own
 
 
 def hash_rank(df: DataFrame, id_col: str, by: Sequence[str], seed, hex_digits: int = 3,
@@ -45,28 +47,61 @@ def hash_rank(df: DataFrame, id_col: str, by: Sequence[str], seed, hex_digits: i
             .drop("_h", "_hb", "_rn", "_off"))
 
 
-def _quota(fraction: float) -> Column:
-    return F.round(F.col("_class_n") * F.lit(float(fraction))).cast("long")
+def _hashed(df: DataFrame, id_col: str, seed) -> DataFrame:
+    """Add ``_h``, the hash of the id, and ``_v``, its first 60 bits as a long."""
+    return (df.withColumn("_h", hash_hex(F.col(id_col), seed))
+            .withColumn("_v", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long")))
+
+
+def _first(df: DataFrame, rows: DataFrame, id_col: str, by: Sequence[str], seed, quota: Column, name: str) -> DataFrame:
+    """Add ``name``: whether a row of ``df`` is at or before place ``quota`` (an expression of
+    ``m``, the rows of the class) of its class in the hash order of ``rows``."""
+    by = list(by)
+    names = {c: f"_g{i}" for i, c in enumerate(by)}
+    src = _hashed(rows.select(*[F.col(f"`{c}`").alias(g) for c, g in names.items()], F.col(f"`{id_col}`").alias("_id")), "_id", seed)
+    group = [*names.values(), "_one"]
+    src = src.withColumn("_one", F.lit(1))
+    found = select_ranks(src.select(*group, "_v"), group, F.array(quota.cast("long") - 1))
+    per = {}
+    for x in found:
+        tie = None
+        if x["below"] + x["same"] > x["r"] + 1:     # the border parts rows with the same 60 bits
+            here = F.col("_v") == x["key"]
+            for g in group:
+                here = here & F.col(g).eqNullSafe(F.lit(x[g]))
+            place = Window.orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            same = src.filter(here).groupBy("_h", "_id").agg(F.count(F.lit(1)).alias("n"))
+            at = (same.withColumn("_c", F.sum("n").over(place)).filter(F.col("_c") > x["r"] - x["below"])
+                  .orderBy("_h", "_id").first())
+            tie = (at["_h"], at["_id"])
+        per[tuple(x[g] for g in names.values())] = [(x["key"], *(tie or (None, None)))]
+    id_type = df.schema[id_col].dataType.simpleString()
+    out = with_own(_hashed(df, id_col, seed), by, per, {"v": "bigint", "h": "string", "i": id_type}, "_border")
+    b = F.get("_border", F.lit(0))
+    before = F.struct(F.col("_h"), F.col(f"`{id_col}`")) <= F.struct(b["h"], b["i"])
+    inside = (F.col("_v") < b["v"]) | ((F.col("_v") == b["v"]) & (b["h"].isNull() | before))
+    return out.withColumn(name, F.coalesce(inside, F.lit(False))).drop("_h", "_v", "_border")
+
+
+def _share(fraction: float) -> Column:
+    return F.round(F.col("m") * F.lit(float(fraction)))
 
 
 def stratified_split(df: DataFrame, id_col: str, y: str, test_fraction: float = 0.2,
-                     seed=42, name: str = "split", hex_digits: int = 3) -> DataFrame:
+                     seed=42, name: str = "split") -> DataFrame:
     """Add ``split`` = 'test' for exactly round(test_fraction * n_class) rows per class."""
-    r = hash_rank(df, id_col, [y], seed, hex_digits)
-    return (r.withColumn(name, F.when(F.col("_rank") <= _quota(test_fraction), "test").otherwise("train"))
-            .drop("_rank", "_class_n"))
+    r = _first(df, df, id_col, [y], seed, _share(test_fraction), "_in")
+    return r.withColumn(name, F.when(F.col("_in"), "test").otherwise("train")).drop("_in")
 
 
 def three_way_split(df: DataFrame, id_col: str, y: str, test_fraction: float = 0.2,
                     val_fraction: float = 0.25, seed=42, name: str = "split") -> DataFrame:
     """Test first, then validation cut from the remainder (per class, exact)."""
-    s = stratified_split(df, id_col, y, test_fraction, seed, "_s1")
-    rest = s.filter(F.col("_s1") == "train")
-    v = hash_rank(rest, id_col, [y], f"{seed}|val")
-    v = v.withColumn(name, F.when(F.col("_rank") <= _quota(val_fraction), "validation").otherwise("train"))
-    v = v.drop("_rank", "_class_n", "_s1")
-    t = s.filter(F.col("_s1") == "test").withColumn(name, F.lit("test")).drop("_s1")
-    return v.unionByName(t)
+    s = _first(df, df, id_col, [y], seed, _share(test_fraction), "_test")
+    rest = s.filter(~F.col("_test")).select(id_col, y)
+    v = _first(s, rest, id_col, [y], f"{seed}|val", _share(val_fraction), "_val")
+    return (v.withColumn(name, F.when(F.col("_test"), "test").when(F.col("_val"), "validation").otherwise("train"))
+            .drop("_test", "_val"))
 
 
 def stratified_subsample(df: DataFrame, id_col: str, y: str, fraction: float, seed=42,
@@ -74,11 +109,9 @@ def stratified_subsample(df: DataFrame, id_col: str, y: str, fraction: float, se
     """Keep round(fraction * n_class) rows per class of the rows matching
     ``where`` (the training part); other rows are kept unchanged."""
     part = df.filter(F.expr(where)) if where else df
-    r = hash_rank(part, id_col, [y], f"{seed}|sub")
-    kept = r.filter(F.col("_rank") <= _quota(fraction)).drop("_rank", "_class_n")
-    if not where:
-        return kept
-    return kept.unionByName(df.filter(~F.expr(where) | F.expr(where).isNull()))
+    r = _first(df, part.select(id_col, y), id_col, [y], f"{seed}|sub", _share(fraction), "_in")
+    other = F.coalesce(~F.expr(where), F.lit(True)) if where else F.lit(False)
+    return r.filter(F.col("_in") | other).drop("_in")
 
 
 def even_sample(df: DataFrame, id_col: str, max_rows: int, chunk: int = 100_000,
@@ -121,9 +154,9 @@ def kfold(df: DataFrame, id_col: str, y: str, k: int = 5, seed=42, name: str = "
 
 def undersample(df: DataFrame, id_col: str, y: str, seed=42) -> DataFrame:
     """Every class cut to the minority class size (hash order inside a class)."""
-    r = hash_rank(df, id_col, [y], f"{seed}|under")
-    minority = df.groupBy(y).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).scalar()
-    return r.filter(F.col("_rank") <= minority).drop("_rank", "_class_n")
+    minority = df.groupBy(y).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).first()[0]
+    r = _first(df, df, id_col, [y], f"{seed}|under", F.lit(minority), "_in")
+    return r.filter("_in").drop("_in")
 
 
 def group_split(df: DataFrame, group_col: str, test_fraction: float = 0.2, seed=42,

@@ -132,10 +132,10 @@ def test_exact_quantiles_match_numpy(spark, group_min, monkeypatch):
     vals[::17] = np.nan
     pdf = pd.DataFrame({"a": vals, "b": rng.integers(0, 4, 201).astype(float)})
     df = spark.createDataFrame(pdf).withColumn("a", F.when(F.isnan("a"), None).otherwise(F.col("a")))
-    for method in ("histogram", "map", "auto"):
+    for many in (False, True):
         q = {(r["feature"], r["prob"]): r["value"]
              for r in O.exact_quantiles(df, ["a", "b"], [0.1, 0.25, 0.5, 0.75, 0.9], buckets=4,
-                                        method=method, map_max=10).collect()}
+                                        many_groups=many).collect()}
         for c in ("a", "b"):
             x = pdf[c].dropna().to_numpy()
             for p in (0.1, 0.25, 0.5, 0.75, 0.9):
@@ -150,27 +150,30 @@ def test_rank_cut_with_a_heavy_tie(spark, cap, monkeypatch):
     s = np.where(np.arange(n) % 3 == 0, 0.5, np.round(rng.random(n), 3))   # a third share one score
     pdf = pd.DataFrame({"id": rng.permutation(n).astype("int64"), "s": s})
     df = spark.createDataFrame(pdf)
-    got = set(O.rank_cut(df, "s", "id", cap, buckets=4).filter("_in_top").toPandas()["id"])
+    got = set(O.rank_cut(df, "s", "id", cap, buckets=4, many_groups=True).filter("_in_top").toPandas()["id"])
     exp = set(pdf.sort_values(["s", "id"], ascending=[False, True]).head(cap)["id"])
     assert got == exp
     got2 = set(O.top_n(df, "s", "id", cap).toPandas()["id"])
     assert got2 == exp
+    text = df.withColumn("id", F.format_string("%08d", "id"))      # ids that are not numbers
+    assert {int(i) for i in O.top_n(text, "s", "id", cap).toPandas()["id"]} == exp
 
 
-def test_global_rank_and_lift_deciles(spark, monkeypatch):
-    monkeypatch.setattr(O, "GROUP_RANGE_MIN", 10)
+def test_lift_deciles(spark):
     rng = np.random.default_rng(13)
     n = 257
     pdf = pd.DataFrame({"id": np.arange(n, dtype="int64"), "s": np.round(rng.random(n), 1),
                         "y": rng.integers(0, 2, n)})
     df = spark.createDataFrame(pdf)
-    r = O.global_rank(df, "s", "id", buckets=3).toPandas().sort_values("rank")
-    exp = pdf.sort_values(["s", "id"], ascending=[False, True])["id"].to_numpy()
-    assert (r["id"].to_numpy() == exp).all() and (r["rank"].to_numpy() == np.arange(1, n + 1)).all()
     lift = G.lift_table(df, "id", "y", "s", 10).toPandas().sort_values("decile")
     sizes = [26] * 7 + [25] * 3                     # ntile: the first n % 10 deciles get one more
     assert lift["members"].tolist() == sizes
     assert lift["cum_capture"].iloc[-1] == pytest.approx(1.0)
+    exp = pdf.sort_values(["s", "id"], ascending=[False, True]).reset_index(drop=True)
+    cuts = np.cumsum([0] + sizes)
+    assert lift["churners"].tolist() == [int(exp["y"][a:z].sum()) for a, z in zip(cuts, cuts[1:])]
+    few = G.lift_table(df.filter("id < 4"), "id", "y", "s", 10).toPandas()     # fewer rows than deciles
+    assert few["members"].tolist() == [1] * 4 and few["decile"].tolist() == [1, 2, 3, 4]
 
 
 def test_robust_scaler_zero_iqr_and_fit_rows_only(spark):

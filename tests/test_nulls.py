@@ -48,6 +48,22 @@ def test_splits_keep_null_labels_as_a_class(rows):
     assert D.undersample(rows, "id", "y").groupBy("y").count().toPandas()["count"].tolist() == [20, 20, 20]
 
 
+def test_split_border_inside_equal_hashes(rows, monkeypatch):
+    # every id has the same first 60 bits: the whole hash and the id decide
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(D, "hash_hex", lambda c, seed: F.concat(F.lit("0" * 15), F.format_string("%017d", c % 7)))
+    s = D.stratified_split(rows, "id", "y", 0.2).toPandas()
+    for _, part in s.groupby(s["y"].fillna(-1)):
+        order = sorted(part["id"], key=lambda i: (i % 7, i))
+        assert set(part[part.split == "test"]["id"]) == set(order[:round(len(order) * 0.2)])
+
+
+def test_rows_with_equal_ids_stay_together(spark):
+    df = spark.createDataFrame([(k // 3, 1) for k in range(60)], "id long, y int")
+    s = D.stratified_split(df, "id", "y", 0.2).toPandas()
+    assert (s.groupby("id")["split"].nunique() == 1).all() and 12 <= (s.split == "test").sum() <= 14
+
+
 def test_metrics_and_lift_keep_the_null_group(rows):
     m = {r.g: r for r in E.metrics(rows, "y", "s", 0.5, by=["g"]).collect()}
     c = {r.g: r for r in E.confusion(rows.filter("s is not null"), "y", "s", 0.5, by=["g"]).collect()}

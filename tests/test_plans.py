@@ -31,8 +31,13 @@ def test_member_scan_pushes_cutoff_and_prunes(members):
     assert "ReadSchema: struct<user_id:bigint,event_type:string>" in p
 
 
-def test_split_ranks_inside_hash_buckets(members):
-    p = plan(D.stratified_split(members, "member_id", "churn"))
+def test_splits_neither_shuffle_nor_sort_the_rows(spark):
+    wide = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    for df in (D.stratified_split(wide, "c_custkey", "c_mktsegment"), D.three_way_split(wide, "c_custkey", "c_mktsegment"),
+               D.undersample(wide, "c_custkey", "c_mktsegment")):
+        p = df._jdf.queryExecution().executedPlan().toString()
+        assert not any(step in p for step in ("Exchange", "Sort", "Window", "Join"))
+    p = plan(D.kfold(wide, "c_custkey", "c_mktsegment"))
     windows = [line for line in p.splitlines() if line.strip().startswith("Arguments:") and "row_number" in line]
     assert windows and all("_hb" in w for w in windows)
 
@@ -56,7 +61,7 @@ def test_ranges_of_a_group_are_dealt_by_group_and_range(spark, members):
 
 
 def test_top_n_has_no_window_over_a_whole_group(members):
-    s = MB.scores(members)
+    s = MB.scores(members).persist()
     for n in (100, 5000):
         p = plan(O.top_n(s, "y_score", "member_id", n, by=["model_key"]))
         assert "WindowGroupLimit" not in p and "row_number" not in p
