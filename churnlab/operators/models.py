@@ -1,8 +1,8 @@
 """Classifiers on ``pyspark.ml`` (E*).
 
-``fit`` builds one ``PipelineModel``: median imputation (+ indicators) of
-numeric features, ``Missing`` fill + one-hot of categorical ones, a
-``VectorAssembler`` and the classifier. Everything is fitted on the rows of
+``fit`` builds one ``PipelineModel``: a column transformer (median imputation with
+indicators, standard or robust scaling where asked for, ``Missing`` fill + one-hot),
+a ``VectorAssembler`` and the classifier. Everything is fitted on the rows of
 ``fit_where`` (the training split), so test rows never move a parameter.
 
 Estimator mapping (reference -> MLlib):
@@ -31,7 +31,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import ConstantImputer, MedianImputer, OneHotFirstDrop
+from .transformer import ColumnTransformer
 
 
 @dataclass
@@ -81,35 +81,27 @@ def _classifier(spec: ModelSpec, n_features: int, n_train: int, label: str, seed
     raise ValueError(f"unknown model kind {spec.kind}")
 
 
-def feature_stages(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                   fit_where: str = ""):
-    """Fitted imputation / encoding stages and the assembled feature names."""
-    stages, names = [], []
-    cur = df
-    if numeric:
-        imp = MedianImputer(list(numeric), indicator=True, fitWhere=fit_where).fit(cur)
-        cur = imp.transform(cur)
-        stages.append(imp)
-        names += list(numeric) + [c for c in cur.columns if c.endswith("_missing") and c not in df.columns]
-    if categorical:
-        fill = ConstantImputer(inputCols=list(categorical), value="Missing")
-        cur = fill.transform(cur)
-        oh = OneHotFirstDrop(list(categorical), dropFirst=False, fitWhere=fit_where).fit(cur)
-        before = set(cur.columns)
-        cur = oh.transform(cur)
-        stages += [fill, oh]
-        names += [c for c in cur.columns if c not in before]
-    return stages, names, cur
+def feature_stages(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], fit_where: str = "",
+                   standard: Sequence[str] = (), robust: Sequence[str] = ()):
+    """Fitted column transformer and the assembled feature names. Numeric columns
+    are filled with their median (plus indicator); those in ``standard`` and ``robust``
+    are also scaled."""
+    scaled = {*standard, *robust}
+    ct = ColumnTransformer(standard=[c for c in numeric if c in standard], robust=[c for c in numeric if c in robust],
+                           passthrough=[c for c in numeric if c not in scaled], categorical=list(categorical),
+                           fitWhere=fit_where).fit(df)
+    return [ct], ct.featureNames, ct.transform(df)
 
 
 def fit(spec: ModelSpec, df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
-        label: str = "label", fit_where: str = "", seed: int = 42,
-        checkpoint: bool = True) -> PipelineModel:
+        label: str = "label", fit_where: str = "", seed: int = 42, checkpoint: bool = True,
+        standard: Sequence[str] = (), robust: Sequence[str] = ()) -> PipelineModel:
     """Fit preprocessing + classifier on the ``fit_where`` rows -> PipelineModel.
 
     The fit runs several jobs over the same rows (imputer, encoder, class
     counts, solver iterations); with ``checkpoint`` the needed columns are
     written once to the checkpoint folder and every job reads that copy.
+    ``standard`` and ``robust`` name the columns to scale (linear models, MLP).
     """
     if spec.kind == "knn":
         raise ValueError("use operators.knn.KNNClassifier for knn specs")
@@ -119,7 +111,7 @@ def fit(spec: ModelSpec, df: DataFrame, numeric: Sequence[str], categorical: Seq
         keep = list(dict.fromkeys([*numeric, *categorical, label, *extra]))
         part = df.filter(F.expr(fit_where)) if fit_where else df
         df, fit_where = materialize(part.select(*keep)), ""
-    stages, names, cur = feature_stages(df, numeric, categorical, fit_where)
+    stages, names, cur = feature_stages(df, numeric, categorical, fit_where, standard, robust)
     asm = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
     train = asm.transform(cur)
     if fit_where:

@@ -30,6 +30,7 @@ DOUBLE_COLUMNS = {
     'c11_standard_scaler': ['fee', 'visits', 'avg_value'],
     'c12_robust_scaler': ['urgent', 'returns'],
     'c13_median_imputer': ['avg_value', 'returns', 'wait_days'],
+    'c15_column_transformer': ['value'],
     'c16_to_xy': ['fee', 'avg_value', 'wait_days'],
     'c1_fill_constants': ['fee', 'avg_value', 'wait_days'],
     'c20_top_half_features': ['importance'],

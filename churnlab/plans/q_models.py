@@ -28,9 +28,15 @@ def _prepared(spark, sf):
     return D.stratified_split(planted(spark, sf), ID, LABEL, 0.2, 42)
 
 
-def _scored(spark, sf, spec: M.ModelSpec, numeric=NUM, categorical=CAT):
+# scaling branches of the linear models and the MLP; other numeric columns pass through
+STANDARD = ["fee", "visits", "avg_value", "parts", "wait_days"]
+ROBUST = ["urgent", "returns"]
+SCALED = {"standard": STANDARD, "robust": ROBUST}
+
+
+def _scored(spark, sf, spec: M.ModelSpec, numeric=NUM, categorical=CAT, **scaled):
     df = _prepared(spark, sf)
-    model = M.fit(spec, df, numeric, categorical, LABEL, fit_where="split = 'train'")
+    model = M.fit(spec, df, numeric, categorical, LABEL, fit_where="split = 'train'", **scaled)
     test = df.filter("split = 'test'")
     return M.score(model, test, keep=[ID, F.col(LABEL).alias("y_true")])
 
@@ -41,12 +47,12 @@ SPECS = M.REFERENCE_SPECS
 
 @register("e1_logistic_scores")
 def e1_logistic_scores(spark, sf):
-    return _scored(spark, sf, SPECS["logistic"])
+    return _scored(spark, sf, SPECS["logistic"], **SCALED)
 
 
 @register("e2_logistic_balanced_scores")
 def e2_logistic_balanced_scores(spark, sf):
-    return _scored(spark, sf, SPECS["logistic_balanced"])
+    return _scored(spark, sf, SPECS["logistic_balanced"], **SCALED)
 
 
 @register("e3_random_forest_scores")
@@ -95,13 +101,13 @@ def e7_importance_top_half(spark, sf):
 
 @register("e10_mlp_scores")
 def e10_mlp_scores(spark, sf):
-    return _scored(spark, sf, SPECS["mlp"])
+    return _scored(spark, sf, SPECS["mlp"], **SCALED)
 
 
 @register("e12_top_importances")
 def e12_top_importances(spark, sf):
     df = _prepared(spark, sf)
-    model = M.fit(SPECS["logistic"], df, NUM, CAT, LABEL, fit_where="split = 'train'")
+    model = M.fit(SPECS["logistic"], df, NUM, CAT, LABEL, fit_where="split = 'train'", **SCALED)
     return M.importances(model, k=5)
 
 
@@ -118,7 +124,7 @@ def e13_sweep_metrics(spark, sf):
 @register("e14_batch_scoring")
 def e14_batch_scoring(spark, sf):
     df = _prepared(spark, sf)
-    model = M.fit(SPECS["logistic"], df, NUM, CAT, LABEL, fit_where="split = 'train'")
+    model = M.fit(SPECS["logistic"], df, NUM, CAT, LABEL, fit_where="split = 'train'", **SCALED)
     path = A.save_model(model, scratch_path(spark, "fitted_model"))
     loaded = A.load_model(path)
     return M.score_members(loaded, df.filter("split = 'test'"), ID, threshold=0.5)
@@ -131,7 +137,7 @@ def h11_search(spark, sf):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
     df = _prepared(spark, sf)
-    stages, names, cur = M.feature_stages(df, NUM, CAT, "split = 'train'")
+    stages, names, cur = M.feature_stages(df, NUM, CAT, "split = 'train'", **SCALED)
     data = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(cur)
     train = data.filter("split = 'train'").withColumn(LABEL, F.col(LABEL).cast("double"))
     lr = LogisticRegression(featuresCol="features", labelCol=LABEL, standardization=False, maxIter=100)
@@ -143,14 +149,37 @@ def h11_search(spark, sf):
     return spark.createDataFrame(rows, "reg_param double, validation_auc double")
 
 
-@register("c15_column_transformer")
+_SPLIT_SQL = """sp AS (SELECT *,
+  CASE WHEN row_number() OVER (PARTITION BY planted ORDER BY md5(CAST(member_id AS VARCHAR) || '|42'), member_id)
+       <= round(count(*) OVER (PARTITION BY planted) * 0.2) THEN 'test' ELSE 'train' END AS split FROM planted),
+tr AS (SELECT * FROM sp WHERE split = 'train')"""
+
+
+def _c15_sql() -> str:
+    """Each feature as rows, from statistics of the filled training column."""
+    parts = []
+    for c in NUM:
+        filled = f"SELECT coalesce({c}::DOUBLE, (SELECT median({c}::DOUBLE) FROM tr)) AS v FROM tr"
+        marks = f"SELECT ({c} IS NULL)::INT::DOUBLE AS v FROM tr"
+        for name, value, rows, where in ((f"{c}", f"coalesce({c}::DOUBLE, (SELECT median({c}::DOUBLE) FROM tr))", filled, ""),
+                                         (f"{c}_missing", f"({c} IS NULL)::INT::DOUBLE", marks,
+                                          f" WHERE (SELECT count(*) > count({c}) FROM tr)")):
+            center, scale = ("avg(v)", "stddev_pop(v)") if c in STANDARD else (
+                "median(v)", "quantile_cont(v, 0.75) - quantile_cont(v, 0.25)")
+            parts.append(f"SELECT member_id, split, '{name}' AS feature, ({value} - a) / s AS value FROM sp, "
+                         f"(SELECT {center} AS a, coalesce(nullif({scale}, 0), 1) AS s FROM ({rows})) AS st{where}")
+    for c in CAT:
+        parts.append(f"SELECT member_id, split, '{c}_' || l, (coalesce({c}, 'Missing') = l)::INT::DOUBLE FROM sp, "
+                     f"(SELECT DISTINCT coalesce({c}, 'Missing') AS l FROM tr)")
+    return _SPLIT_SQL + "\n" + "\nUNION ALL ".join(parts)
+
+
+@register("c15_column_transformer", _c15_sql())
 def c15_column_transformer(spark, sf):
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
     df = _prepared(spark, sf)
-    stages, names, cur = M.feature_stages(df, NUM, CAT, "split = 'train'")
-    out = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(cur)
-    return out.select(ID, "split", vector_to_array("features").alias("features"))
+    stages, names, out = M.feature_stages(df, NUM, CAT, "split = 'train'", **SCALED)
+    pairs = ", ".join(f"'{n}', `{n}`" for n in names)
+    return out.select(ID, "split", F.expr(f"stack({len(names)}, {pairs}) as (feature, value)"))
 
 
 # --- KNN (exact, with twins) ----------------------------------------------------
