@@ -22,6 +22,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
@@ -39,6 +40,7 @@ class _Branches(Params):
     passthrough = Param(Params._dummy(), "passthrough", "numeric columns filled only", TypeConverters.toListString)
     categorical = Param(Params._dummy(), "categorical", "columns encoded by level", TypeConverters.toListString)
     state = Param(Params._dummy(), "state", "fitted parameters (JSON)", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "vector of all features, if set", TypeConverters.toString)
     fitWhere = Param(Params._dummy(), "fitWhere", "SQL predicate of the rows to fit on", TypeConverters.toString)
 
     def branch(self, name: str) -> list[str]:
@@ -79,7 +81,11 @@ class ColumnTransformerModel(Model, _Branches, DefaultParamsReadable, DefaultPar
             for v in levels:
                 new[f"{c}_{v}"] = (F.coalesce(named(c), F.lit(FILL)) == F.lit(v)).cast("double")
         keep = [named(c) for c in df.columns if c not in new and c not in st["levels"]]
-        return df.select(*keep, *[x.alias(n) for n, x in new.items()])
+        out = df.select(*keep, *[x.alias(n) for n, x in new.items()])
+        if self.isDefined(self.outputCol):
+            out = VectorAssembler(inputCols=self.featureNames, outputCol=self.getOrDefault(self.outputCol),
+                                  handleInvalid="keep").transform(out)
+        return out
 
 
 class ColumnTransformer(Estimator, _Branches, DefaultParamsReadable, DefaultParamsWritable):
@@ -128,6 +134,8 @@ class ColumnTransformer(Estimator, _Branches, DefaultParamsReadable, DefaultPara
                                                  "robust" if c in self.branch("robust") else "")
         model = ColumnTransformerModel()
         model._set(**{b: self.branch(b) for b in ("standard", "robust", "passthrough", "categorical") if self.branch(b)})
+        if self.isDefined(self.outputCol):
+            model._set(outputCol=self.getOrDefault(self.outputCol))
         return model._set(state=json.dumps(st))
 
     def _order_statistics(self, rows: DataFrame, cols: Sequence[str], n: int) -> dict[str, dict[int, float]]:

@@ -44,6 +44,7 @@ DOUBLE_COLUMNS = {
     'd4_even_sample': ['fee', 'avg_value', 'wait_days'],
     'd5_head': ['fee', 'avg_value', 'wait_days'],
     'e11_majority_baseline': ['baseline_accuracy'],
+    'e14_stored_score_decisions': ['churn_probability', 'threshold'],
     'e8_knn_uniform': ['knn_score'],
     'e9_knn_distance': ['knn_score'],
     'f11_metric_bundle': ['threshold', 'accuracy', 'precision', 'recall', 'f1', 'roc_auc', 'pr_auc'],

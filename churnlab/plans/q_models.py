@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import bundle as B
 from ..operators import evaluate as E
 from ..operators import features as C
 from ..operators import models as M
@@ -16,7 +17,7 @@ from ..operators import splits as D
 from ..operators.knn import KNNClassifier
 from ..session import scratch_path
 from ..sources import files as A
-from .common import CAT, ID, NUM, planted
+from .common import CAT, ID, NUM, planted, scores
 from .registry import register
 
 LABEL = "planted"
@@ -123,30 +124,41 @@ def e13_sweep_metrics(spark, sf):
 
 @register("e14_batch_scoring")
 def e14_batch_scoring(spark, sf):
-    df = _prepared(spark, sf)
-    model = M.fit(SPECS["logistic"], df, NUM, CAT, LABEL, fit_where="split = 'train'", **SCALED)
-    path = A.save_model(model, scratch_path(spark, "fitted_model"))
-    loaded = A.load_model(path)
-    return M.score_members(loaded, df.filter("split = 'test'"), ID, threshold=0.5)
+    # trainer flow -> bundle saved and loaded -> decisions at the threshold chosen on validation rows
+    df = D.three_way_split(planted(spark, sf), ID, LABEL, 0.2, 0.2, 42)
+    made, _ = B.train(SPECS["logistic"], df, ID, LABEL, NUM, CAT, reference_date="2001-02-01", model_key="logistic_full", **SCALED)
+    loaded = A.load_model(A.save_model(made, scratch_path(spark, "bundle")))
+    return B.decide(loaded, df.filter("split = 'test'"), ID)
+
+
+@register("e14_stored_score_decisions", """
+SELECT member_id, model_key, y_score AS churn_probability, 0.45::DOUBLE AS threshold,
+       CAST(y_score >= 0.45 AS INTEGER) AS churn_decision,
+       CASE WHEN y_score >= 0.7 THEN 'high_risk' WHEN y_score >= 0.4 THEN 'caution' ELSE 'retain' END AS risk_grade
+FROM scores""")
+def e14_stored_score_decisions(spark, sf):
+    # the saved and loaded stages of a bundle on stored scores that come as text
+    from pyspark.ml import PipelineModel
+    stages = PipelineModel(stages=[B.InputCheck(inputs={"y_score": "number", "model_key": "text"}),
+                                   B.Decision(threshold=0.45, scoreCol="y_score")])
+    loaded = A.load_model(A.save_model(stages, scratch_path(spark, "decision")))
+    return B.decide(loaded, scores(spark, sf).withColumn("y_score", F.col("y_score").cast("string")), ID, keep=["model_key"])
+
+
+@register("e14_trainer_records")
+def e14_trainer_records(spark, sf):
+    # the same test rows for a model of all training rows and of half of them
+    df = D.three_way_split(planted(spark, sf), ID, LABEL, 0.2, 0.2, 42)
+    records = [B.train(SPECS["logistic"], df, ID, LABEL, NUM, CAT, fraction=f, **SCALED)[1] for f in (1.0, 0.5)]
+    return records[0].unionByName(records[1])
 
 
 @register("h11_search")
 def h11_search(spark, sf):
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-    df = _prepared(spark, sf)
-    stages, names, cur = M.feature_stages(df, NUM, CAT, "split = 'train'", **SCALED)
-    data = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(cur)
-    train = data.filter("split = 'train'").withColumn(LABEL, F.col(LABEL).cast("double"))
-    lr = LogisticRegression(featuresCol="features", labelCol=LABEL, standardization=False, maxIter=100)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.001, 0.01, 0.1]).build()
-    tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=grid, trainRatio=0.75, seed=42,
-                               evaluator=BinaryClassificationEvaluator(labelCol=LABEL))
-    fitted = tvs.fit(train)
-    rows = [(float(pm[lr.regParam]), float(m)) for pm, m in zip(grid, fitted.validationMetrics)]
-    return spark.createDataFrame(rows, "reg_param double, validation_auc double")
+    # on the training rows alone: five folds by id, regularisation by grid
+    train = _prepared(spark, sf).filter("split = 'train'")
+    return B.search(SPECS["logistic"], {"regParam": [0.0, 0.001, 0.01, 0.1]}, train, ID, LABEL, NUM, CAT,
+                    metric="areaUnderROC", **SCALED)[1]
 
 
 _SPLIT_SQL = """sp AS (SELECT *,
