@@ -211,26 +211,36 @@ def spec_key(spec: ModelSpec, features: Sequence[str], categorical: Sequence[str
 
 def sweep(specs: Sequence[ModelSpec], df: DataFrame, datasets: dict, id_col: str, label: str,
           split_col: str = "split", exclude: Sequence[str | None] = (None,),
-          categorical: Sequence[str] = (), model_dir: str | None = None, parallel: int = 1) -> DataFrame:
+          categorical: Sequence[str] = (), model_dir: str | None = None, parallel: int = 1,
+          standard: Sequence[str] = (), robust: Sequence[str] = ()) -> DataFrame:
     """Datasets x models x leave-one-feature-out variants.
 
-    Each variant is fitted on the training split and scores the test split;
-    the scored sets of all variants are returned as one table
-    ``(model_key, id, y_true, y_score)`` so that the evaluation of every
-    variant is one grouped job (``evaluate.metrics(..., by=['model_key'])``).
-    A feature excluded but absent from a dataset skips that variant. With
-    ``model_dir`` a fitted pipeline is saved under a hash of its inputs and
-    reused on the next run; ``parallel`` > 1 submits fits from a thread pool
-    (Spark runs the jobs of different fits concurrently).
+    The column transformer is fitted once, on the training rows and all features,
+    and one vector table is written; a variant is a slice of its vectors, so nothing
+    is prepared twice and labels travel with the scores. The scored sets of all
+    variants are returned as one table ``(model_key, id, y_true, y_score)``, so that the
+    evaluation of every variant is one grouped job
+    (``evaluate.metrics(..., by=['model_key'])``). A feature excluded but absent from a
+    dataset skips that variant. With ``model_dir`` a fitted pipeline is saved under a
+    hash of its inputs and reused on the next run; ``parallel`` > 1 submits fits
+    from a thread pool (Spark runs the jobs of different fits concurrently).
     """
     from concurrent.futures import ThreadPoolExecutor
     from functools import reduce
+
+    from pyspark.ml.feature import VectorSlicer
+
     from ..session import materialize
     from ..sources.files import load_model, path_exists, save_model
     from .knn import KNNClassifier
-    df = materialize(df)   # every variant reads the same prepared table
-    test = df.filter(F.col(split_col) == "test")
-    truth = test.select(id_col, F.col(label).cast("int").alias("y_true"))
+    numeric = list(dict.fromkeys(f for feats in datasets.values() for f in feats))
+    df = materialize(df.select(*dict.fromkeys([id_col, label, split_col, *numeric, *categorical])), "sweep_rows")
+    stages, names, cur = feature_stages(df, numeric, categorical, f"{split_col} = 'train'", standard, robust)
+    asm = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
+    vectors = materialize(asm.transform(cur).select(
+        id_col, split_col, F.col(label).cast("double").alias(label), "features"), "sweep_vectors")
+    owner = _owners(names, numeric, categorical)
+    counts = {r[0]: r[1] for r in vectors.filter(F.col(split_col) == "train").groupBy(label).count().collect()}
     jobs = []
     for ds_name, feats in datasets.items():
         for spec in specs:
@@ -242,20 +252,35 @@ def sweep(specs: Sequence[ModelSpec], df: DataFrame, datasets: dict, id_col: str
 
     def run(job):
         key, spec, use, cats = job
+        keyed = F.lit(key).alias("model_key")
         if spec.kind == "knn":
             knn = KNNClassifier(use, label, id_col, **spec.params)
-            sc = knn.fit(df.filter(F.col(split_col) == "train")).transform(test)
-            sc = sc.select(id_col, F.col("knn_score").alias("y_score"))
-        else:
-            path = f"{model_dir}/{key}-{spec_key(spec, use, cats)}" if model_dir else None
-            if path and path_exists(df.sparkSession, path):
-                m = load_model(path)
-            else:
-                m = fit(spec, df, use, cats, label, fit_where=f"{split_col} = 'train'")
-                if path:
-                    save_model(m, path)
-            sc = score(m, test, keep=[id_col])
-        return sc.join(truth, id_col).select(F.lit(key).alias("model_key"), id_col, "y_true", "y_score")
+            test = df.filter(F.col(split_col) == "test")
+            sc = knn.fit(df.filter(F.col(split_col) == "train")).transform(test).select(id_col, F.col("knn_score").alias("y_score"))
+            return sc.join(test.select(id_col, F.col(label).cast("int").alias("y_true")), id_col).select(
+                keyed, id_col, "y_true", "y_score")
+        path = f"{model_dir}/{key}-{spec_key(spec, use, cats)}" if model_dir else None
+        if path and path_exists(df.sparkSession, path):
+            m = load_model(path)
+            return score(m, df.filter(F.col(split_col) == "test"), keep=[id_col, F.col(label).cast("int").alias("y_true")]).select(
+                keyed, id_col, "y_true", "y_score")
+        own = {*use, *cats}
+        at = [i for i, n in enumerate(names) if owner[n] in own]
+        cut = VectorSlicer(inputCol="features", outputCol="sliced", indices=at)
+        view = cut.transform(vectors)
+        train = view.filter(F.col(split_col) == "train")
+        if spec.balanced:
+            w = F.lit(None).cast("double")
+            for cls, k in counts.items():
+                w = F.when(F.col(label) == cls, F.lit(sum(counts.values()) / (len(counts) * k))).otherwise(w)
+            train = train.withColumn("_w", w)
+        clf = _classifier(spec, len(at), sum(counts.values()), label, 42).setFeaturesCol("sliced")
+        model = clf.fit(_weighted(train, spec, label))
+        if path:
+            save_model(PipelineModel(stages=[*stages, asm, cut, model]), path)
+        sc = model.transform(view.filter(F.col(split_col) == "test"))
+        return sc.select(keyed, id_col, F.col(label).cast("int").alias("y_true"),
+                         vector_to_array(F.col("probability"))[1].alias("y_score"))
 
     if parallel > 1:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
@@ -263,3 +288,16 @@ def sweep(specs: Sequence[ModelSpec], df: DataFrame, datasets: dict, id_col: str
     else:
         out = [run(j) for j in jobs]
     return reduce(DataFrame.unionByName, out)
+
+
+def _owners(names: Sequence[str], numeric: Sequence[str], categorical: Sequence[str]) -> dict[str, str]:
+    """Input column of every assembled feature: itself, its indicator, or a level of it."""
+    out = {}
+    for n in names:
+        if n in numeric:
+            out[n] = n
+        elif n.endswith("_missing") and n[:-8] in numeric:
+            out[n] = n[:-8]
+        else:
+            out[n] = max((c for c in categorical if n.startswith(c + "_")), key=len)
+    return out

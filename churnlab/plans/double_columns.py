@@ -5,6 +5,8 @@ both sides round these columns to 6 decimals before the comparison.
 """
 
 DOUBLE_COLUMNS = {
+    'h10_psi_all_features': ['psi'],
+    'h10_stream_event_drift': ['psi'],
     'a10_campaign_export': ['churn_probability'],
     'a1_csv_roundtrip': ['fee', 'avg_value', 'wait_days'],
     'a5_processed_sink': ['fee', 'avg_value', 'wait_days'],

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import campaign as G
+from ..operators import drift as DR
 from ..operators import evaluate as E
 from ..operators import extras as X
 from ..operators import splits as D
-from .common import ID, Y, members, scores
+from .common import CAT, ID, NUM, Y, members, scores
 from .q_evaluate import _BUNDLE
 from .registry import register
 
@@ -212,6 +213,33 @@ def h10_psi(spark, sf):
     return X.psi_table(sp.filter("split = 'train'"), sp.filter("split = 'test'"), "visits")
 
 
+def _psi_all_sql() -> str:
+    """One feature after the other: bins of both parts, shares, index."""
+    bins = [f"SELECT split, '{c}' AS feature, CASE WHEN {c} IS NULL THEN '<null>' ELSE len(list_filter((SELECT "
+            f"quantile_cont({c}::DOUBLE, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) FROM sp WHERE split = 'train'), "
+            f"lambda x: x < {c}::DOUBLE))::VARCHAR END AS bin FROM sp" for c in NUM]
+    bins += [f"SELECT split, '{c}', CASE WHEN {c} IS NULL THEN '<null>' WHEN {c} IN (SELECT {c} FROM sp WHERE split = 'train') "
+             f"THEN {c} ELSE '<other>' END FROM sp" for c in CAT]
+    return _SPLIT_SQL + f""",
+b AS ({' UNION ALL '.join(bins)}),
+sh AS (SELECT split, feature, bin, count(*) AS n, count(*) / sum(count(*)) OVER (PARTITION BY split, feature) AS share
+       FROM b GROUP BY split, feature, bin),
+j AS (SELECT coalesce(b.feature, c.feature) AS feature, coalesce(b.share, 0) AS p, coalesce(c.share, 0) AS q, coalesce(c.n, 0) AS n
+      FROM (SELECT * FROM sh WHERE split = 'train') b FULL OUTER JOIN (SELECT * FROM sh WHERE split = 'test') c
+      ON b.feature = c.feature AND b.bin = c.bin)
+SELECT feature, sum(n)::BIGINT AS "rows",
+       sum((greatest(q, 1e-6) - greatest(p, 1e-6)) * ln(greatest(q, 1e-6) / greatest(p, 1e-6))) AS psi FROM j GROUP BY feature"""
+
+
+@register("h10_psi_all_features", _psi_all_sql())
+def h10_psi_all_features(spark, sf):
+    # every numeric feature and category from two sketches
+    sp = D.stratified_split(members(spark, sf), ID, Y)
+    base, current = sp.filter("split = 'train'"), sp.filter("split = 'test'")
+    lay = DR.layout(base, NUM, CAT)
+    return DR.psi(DR.sketch(base, lay), DR.sketch(current, lay))
+
+
 _BIG = 2000
 
 

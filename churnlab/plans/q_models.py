@@ -21,6 +21,7 @@ from .common import CAT, ID, NUM, planted, scores
 from .registry import register
 
 LABEL = "planted"
+KNN_FILL = ["avg_value", "returns", "parts", "wait_days"]
 KNN_FEATS = ["visits", "urgent", "returns0", "parts0"]
 
 
@@ -114,11 +115,13 @@ def e12_top_importances(spark, sf):
 
 @register("e13_sweep_metrics")
 def e13_sweep_metrics(spark, sf):
-    df = _prepared(spark, sf)
+    # 2 datasets x 5 models x (whole, two left-out features): 30 variants at the reference's settings,
+    # but for the boosting rounds (50; all 200 rounds take 302 s at sf0.01, see README)
+    df = _prepared(spark, sf).fillna(0, KNN_FILL)
     datasets = {"full": NUM, "50": ["visits", "returns", "urgent", "fee"]}
-    specs = [SPECS["logistic"], M.ModelSpec("randomforest", "randomforest",
-                                            {"numTrees": 10, "maxDepth": 5, "featureSubsetStrategy": "sqrt"})]
-    sc = M.sweep(specs, df, datasets, ID, LABEL, exclude=(None, "returns", "urgent"), categorical=CAT)
+    specs = [SPECS[k] for k in ("logistic", "randomforest", "knn")]
+    specs += [M.ModelSpec(k, "gbt", {**SPECS[k].params, "maxIter": 50}) for k in ("xgboost", "lightgbm")]
+    sc = M.sweep(specs, df, datasets, ID, LABEL, exclude=(None, "returns", "urgent"), categorical=CAT, parallel=6, **SCALED)
     return E.metrics(sc, "y_true", "y_score", 0.5, by=["model_key"])
 
 

@@ -67,6 +67,22 @@ def drain_partials(events: DataFrame, path: str, checkpoint: str, ts: str = "ts"
         F.sum("events").alias("events"), F.sum("sum_value").alias("sum_value"))
 
 
+def drain_sketches(rows: DataFrame, lay, path: str, checkpoint: str, by: Sequence[str] = ()) -> DataFrame:
+    """Drift sketches (``operators.drift``) of everything a stream holds, by the columns
+    ``by``: each micro-batch writes its sketch to a folder of its own below the shared
+    ``path``, overwritten when the batch is repeated, and the result adds them up. A run
+    that goes on from the checkpoint adds the batches that are new."""
+    from ..operators.drift import merge, sketch
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sketch(batch, lay, by).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    q = (rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return merge(rows.sparkSession.read.parquet(path), by)
+
+
 def score_drift(scored: DataFrame, ts: str, score: str = "churn_probability", threshold: float = 0.5,
                 window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
     return (scored.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
