@@ -5,6 +5,8 @@ both sides round these columns to 6 decimals before the comparison.
 """
 
 DOUBLE_COLUMNS = {
+    'a7_latest_records': ['precision', 'recall'],
+    'a8_result_documents': ['accuracy'],
     'h10_psi_all_features': ['psi'],
     'h10_stream_event_drift': ['psi'],
     'a10_campaign_export': ['churn_probability'],

@@ -15,6 +15,7 @@ from ..operators import evaluate as E
 from ..operators import features as C
 from ..session import scratch_path
 from ..sources import files as A
+from ..sources.store import ResultStore, read_documents
 from .common import ID, members, scores
 from .registry import register
 
@@ -81,6 +82,53 @@ def a7_result_upsert(spark, sf):
     return A.upsert(spark, path, new)
 
 
+@register("a7_latest_records", f"""
+r AS (SELECT *, 1 AS run FROM ({_conf_sql('0.5')}) a UNION ALL SELECT *, 3 FROM ({_conf_sql('0.4')}) b
+      UNION ALL SELECT *, 2 FROM ({_conf_sql('0.6')}) c WHERE model_key <> 'rule_50'),
+k AS (SELECT *, row_number() OVER (PARTITION BY model_key ORDER BY run DESC) AS rn FROM r WHERE NOT (model_key = 'rule_50' AND run = 3))
+SELECT model_key, 'test' AS label, CAST(run AS INTEGER) AS run, precision, recall, 1 AS schema_version FROM k WHERE rn = 1""")
+def a7_latest_records(spark, sf):
+    # runs arrive out of order; the run number, not the arrival, decides
+    s = scores(spark, sf)
+    store = ResultStore(spark, scratch_path(spark, "result_store"), sequence="run")
+
+    def records(t, run, where):
+        m = E.classification_metrics(s, "y_true", "y_score", t, K).filter(where)
+        return m.select("model_key", F.lit("test").alias("label"), F.lit(run).alias("run"), "precision", "recall")
+
+    store.upsert(records(0.5, 1, "true"))
+    store.upsert(records(0.4, 3, "model_key <> 'rule_50'"))
+    return store.upsert(records(0.6, 2, "model_key <> 'rule_50'"))
+
+
+@register("a8_result_documents", """
+b AS (SELECT model_key,
+  count(*) FILTER (WHERE y_score < 0.5 AND y_true <> 1) AS tn, count(*) FILTER (WHERE y_score >= 0.5 AND y_true <> 1) AS fp,
+  count(*) FILTER (WHERE y_score < 0.5 AND y_true = 1) AS fn, count(*) FILTER (WHERE y_score >= 0.5 AND y_true = 1) AS tp
+  FROM scores GROUP BY model_key)
+SELECT model_key, CASE WHEN model_key <> 'rule_full' THEN 'main' END AS label,
+       CASE WHEN model_key <> 'rule_full' THEN (tp + tn) / (tn + fp + fn + tp) END AS accuracy,
+       tn + fp + fn + tp AS total_samples, tn, fp, fn, tp, NULL::VARCHAR AS error FROM b
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'not a JSON document'
+UNION ALL SELECT 'empty', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'no confusion matrix of two classes'""")
+def a8_result_documents(spark, sf):
+    # one document per file: a flat legacy record, a consolidated document, a cut one, one without results
+    m = E.classification_metrics(scores(spark, sf), "y_true", "y_score", 0.5, K).withColumn(
+        "matrix", F.array(F.array("tn", "fp"), F.array("fn", "tp"))).withColumn(
+        "total", F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp"))
+    flat = m.filter("model_key = 'rule_full'").select(F.to_json(F.struct(
+        "model_key", F.col("total").alias("total_samples"), F.col("matrix").alias("confusion_matrix"))).alias("doc"))
+    record = F.struct(F.struct(F.col("total").alias("total_samples")).alias("performance"), F.col("matrix").alias("confusion_matrix"),
+                      F.struct("accuracy").alias("test_metrics"))
+    joined = m.filter("model_key <> 'rule_full'").agg(F.map_from_entries(F.collect_list(
+        F.struct("model_key", F.create_map(F.lit("main"), record)))).alias("results"))
+    docs = flat.union(joined.select(F.to_json(F.struct("results")))).union(
+        spark.range(0, 1, 1, 1).select(F.explode(F.array(F.lit('{"model_key": "cut", "acc'), F.lit('{"model_key": "empty"}')))))
+    path = scratch_path(spark, "documents")
+    docs.withColumn("file", F.xxhash64("doc")).write.partitionBy("file").text(path)
+    return read_documents(spark, f"{path}/*/*.txt").select("model_key", "label", "accuracy", "total_samples", "tn", "fp", "fn", "tp", "error")
+
+
 @register("a8_read_results", """
 b AS (SELECT model_key,
   count(*) FILTER (WHERE y_score < 0.5 AND y_true <> 1) AS tn, count(*) FILTER (WHERE y_score >= 0.5 AND y_true <> 1) AS fp,
