@@ -197,7 +197,7 @@ def assign_arm(df: DataFrame, id_col: str, control_share: float = 0.1, seed=42,
                          .otherwise("treatment"))
 
 
-def compare_arms(df: DataFrame, arm: str, outcome: str) -> DataFrame:
-    """Members and outcome rate per arm."""
-    return df.groupBy(arm).agg(F.count(F.lit(1)).alias("members"),
+def compare_arms(df: DataFrame, arm: str, outcome: str, by: Sequence[str] = ()) -> DataFrame:
+    """Members and outcome rate per arm (and group)."""
+    return df.groupBy(*by, arm).agg(F.count(F.lit(1)).alias("members"),
                                F.avg(F.col(outcome).cast("double")).alias("rate"))

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div
@@ -125,12 +125,15 @@ def roc_curve(df: DataFrame, y: str, s: str, by: Sequence[str] = (),
     cum = cumulative(df, y, s, by)
     if drop_intermediate:
         cum = _thin(cum, by, lambda pos, neg, npos, nneg: (npos != pos) | (nneg != neg))
-    pts = cum.select(*by, F.col("score").alias("threshold"),
-                     F.try_divide(F.col("fp"), F.col("N")).alias("fpr"),
-                     F.try_divide(F.col("tp"), F.col("P")).alias("tpr"))
-    start = (cum.groupBy(*by).agg(F.lit(float("inf")).alias("threshold"))
-             .withColumn("fpr", F.lit(0.0)).withColumn("tpr", F.lit(0.0)))
-    return pts.unionByName(start)
+    point = _point(threshold=F.col("score"), fpr=F.try_divide(F.col("fp"), F.col("N")), tpr=F.try_divide(F.col("tp"), F.col("P")))
+    start = _point(threshold=F.lit(float("inf")), fpr=F.lit(0.0), tpr=F.lit(0.0))
+    # the highest score also gives the start point of its group
+    first = F.col("tp") + F.col("fp") == F.col("pos") + F.col("neg")
+    return cum.select(*by, F.inline(F.when(first, F.array(start, point)).otherwise(F.array(point))))
+
+
+def _point(**cols) -> Column:
+    return F.struct(*[c.cast("double").alias(n) for n, c in cols.items()])
 
 
 def pr_curve(df: DataFrame, y: str, s: str, by: Sequence[str] = (),
@@ -145,12 +148,11 @@ def pr_curve(df: DataFrame, y: str, s: str, by: Sequence[str] = (),
     cum = cumulative(df, y, s, by)
     if drop_intermediate:
         cum = _thin(cum, by, lambda pos, neg, npos, nneg: (pos != 0) | (npos != 0))
-    pts = cum.select(*by, F.col("score").alias("threshold"),
-                     (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-                     F.when(F.col("P") > 0, F.try_divide(F.col("tp"), F.col("P"))).otherwise(F.lit(1.0)).alias("recall"))
-    end = (cum.groupBy(*by).agg(F.lit(None).cast("double").alias("threshold"))
-           .withColumn("precision", F.lit(1.0)).withColumn("recall", F.lit(0.0)))
-    return pts.unionByName(end)
+    point = _point(threshold=F.col("score"), precision=F.col("tp") / (F.col("tp") + F.col("fp")),
+                   recall=F.when(F.col("P") > 0, F.try_divide(F.col("tp"), F.col("P"))).otherwise(F.lit(1.0)))
+    end = _point(threshold=F.lit(None), precision=F.lit(1.0), recall=F.lit(0.0))
+    first = F.col("tp") + F.col("fp") == F.col("pos") + F.col("neg")     # the highest score
+    return cum.select(*by, F.inline(F.when(first, F.array(point, end)).otherwise(F.array(point))))
 
 
 def trapezoid(curve: DataFrame, x: str, y: str, by: Sequence[str] = (),
@@ -162,10 +164,10 @@ def trapezoid(curve: DataFrame, x: str, y: str, by: Sequence[str] = (),
     point of the range before it. No window spans a whole group.
     """
     by = list(by)
-    from ..session import reuse
+    from ..session import materialize
     from .ordered import _n_buckets
-    # the points feed three consumers (cut points, lagged window, range ends): computed once
-    pts = reuse(curve.select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")))
+    # the points feed three consumers (cut points, lagged window, range ends): written once
+    pts = materialize(curve.select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")), "curve")
     tagged = _with_bucket(pts, "_x", by, _n_buckets(pts, buckets))
     b = "_rt_bucket"
     w = Window.partitionBy(*by, b).orderBy("_x", "_y")
@@ -256,3 +258,17 @@ def majority_baseline(df: DataFrame, y: str, by: Sequence[str] = ()) -> DataFram
     """Accuracy of always predicting the majority class."""
     m = F.avg(F.col(y).cast("double"))
     return df.groupBy(*by).agg(F.greatest(m, 1 - m).alias("baseline_accuracy"))
+
+
+def compare(scored: DataFrame, records: DataFrame, y: str, s: str, by: str = "model_key",
+            latency: str = "latency_ms") -> DataFrame:
+    """Comparison table (F14): the stored metrics and latency of every model that has both a
+    record and a scored set, its average precision computed from the scored set, and
+    the parts of its key. ``records`` has one row per model: ``accuracy, precision, recall, f1,
+    roc_auc`` and the latency column."""
+    from ..functions.columns import parse_key
+    ap = average_precision(scored, y, s, [by])
+    stored = records.select(by, parse_key(by).alias("_k"), "accuracy", "precision", "recall", "f1", "roc_auc",
+                            F.col(latency).alias("latency_ms"))
+    return stored.join(ap, by).select(by, "_k.model", "_k.dataset", "_k.excluded", "accuracy", "precision", "recall", "f1",
+                                      "roc_auc", "pr_auc", "latency_ms")

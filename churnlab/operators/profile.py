@@ -254,6 +254,15 @@ def stats_by_target(df: DataFrame, cols: Sequence[str], y: str,
                                      for c in ("mean", "median", "std", "min", "max")])
 
 
+def class_means(df: DataFrame, cols: Sequence[str], y: str, digits: int | None = 2,
+                names: Sequence[str] = ("retained_mean", "churned_mean")) -> DataFrame:
+    """``feature`` and the mean of each column among the rows of class 0 and of class 1
+    (B23): one aggregate, null where a class has no value."""
+    long = df.select(F.col(y).alias("_y"), _stack(list(cols), "double"))
+    return long.groupBy("feature").agg(*[
+        _rnd(F.avg(F.when(F.col("_y") == k, F.col("value"))), digits).alias(n) for k, n in enumerate(names)])
+
+
 def mean_contrast(df: DataFrame, cols: Sequence[str], y: str,
                   digits: int | None = 2) -> DataFrame:
     """Retained vs churned mean, their difference and percent difference.
@@ -261,10 +270,7 @@ def mean_contrast(df: DataFrame, cols: Sequence[str], y: str,
     As in the reference the difference is taken **from the rounded means**;
     the percentage is null when the retained mean is 0.
     """
-    s = stats_by_target(df, cols, y, digits)
-    w = (s.groupBy("feature")
-         .agg(F.max(F.when(F.col(y) == 0, F.col("mean"))).alias("mean_0"),
-              F.max(F.when(F.col(y) == 1, F.col("mean"))).alias("mean_1")))
+    w = class_means(df, cols, y, digits, ("mean_0", "mean_1"))
     diff = F.col("mean_1") - F.col("mean_0")
     return w.select("feature", "mean_0", "mean_1", _rnd(diff, digits).alias("diff"),
                     F.when(F.col("mean_0") != 0, _rnd(diff / F.col("mean_0") * 100, digits)).alias("diff_pct"))

@@ -5,6 +5,9 @@ both sides round these columns to 6 decimals before the comparison.
 """
 
 DOUBLE_COLUMNS = {
+    'a10_campaign_csv': ['churn_probability'],
+    'f14_compare_stored': ['accuracy', 'precision', 'recall', 'f1', 'roc_auc', 'pr_auc', 'latency_ms'],
+    'h8_control_arms_by_model': ['rate'],
     'a7_latest_records': ['precision', 'recall'],
     'a8_result_documents': ['accuracy'],
     'h10_psi_all_features': ['psi'],

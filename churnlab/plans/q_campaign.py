@@ -191,6 +191,28 @@ def h8_control_arms(spark, sf):
     return G.compare_arms(G.assign_arm(s, ID, 0.3, 42), "arm", "y_true")
 
 
+@register("h8_control_arms_by_model", f"""
+a AS (SELECT *, CASE WHEN CAST(('0x' || substr(md5(CAST(member_id AS VARCHAR) || '|42|arm'), 1, 8)) AS BIGINT)::DOUBLE
+                     / 4294967296.0 < 0.3 THEN 'control' ELSE 'treatment' END AS arm FROM scores WHERE y_score >= {T})
+SELECT model_key, arm, count(*) AS members, avg(y_true::DOUBLE) AS rate FROM a GROUP BY model_key, arm""")
+def h8_control_arms_by_model(spark, sf):
+    s = scores(spark, sf).filter(F.col("y_score") >= T)
+    return G.compare_arms(G.assign_arm(s, ID, 0.3, 42), "arm", "y_true", K)
+
+
+@register("a10_campaign_csv", _RANKED + f"""
+SELECT member_id, y_score AS churn_probability, {_GRADE} AS risk_grade FROM r WHERE rk <= {CAP} AND model_key = 'rule_50'""")
+def a10_campaign_csv(spark, sf):
+    # the list of the deployed model as a CSV file with header, without the evaluation label, read back
+    from ..session import scratch_path
+    from ..sources import files as A
+    s = scores(spark, sf).filter("model_key = 'rule_50'")
+    c = G.candidates(s, ID, "y_score", T, CAP, y="y_true")
+    path = A.write_table(c, scratch_path(spark, "campaign"), "csv", order_by=[F.desc("churn_probability"), ID],
+                         drop=["actual_churn_for_evaluation"])
+    return A.read_members(spark, path, schema=c.drop("actual_churn_for_evaluation").schema)
+
+
 _SPLIT_SQL = ("sp AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY churn ORDER BY "
               "md5(CAST(member_id AS VARCHAR) || '|42'), member_id) <= round(count(*) OVER (PARTITION BY churn) * 0.2) "
               "THEN 'test' ELSE 'train' END AS split FROM members)")

@@ -158,6 +158,24 @@ def f14_compare(spark, sf):
                                                       "accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
 
 
+@register("f14_compare_stored", "b AS (WITH " + _BUNDLE + """),
+k AS (SELECT model_key, split_part(model_key, '_without_', 1) AS base FROM b)
+SELECT b.model_key, regexp_extract(base, '^(.*)_[^_]*$', 1) AS model,
+       CASE WHEN suffix(base, '_50') THEN '50' ELSE 'full' END AS dataset,
+       CASE WHEN contains(b.model_key, '_without_') THEN substr(b.model_key, strpos(b.model_key, '_without_') + 9) END AS excluded,
+       accuracy, precision, recall, f1, roc_auc, pr_auc, tp / total AS latency_ms
+FROM b JOIN k ON b.model_key = k.model_key WHERE b.model_key <> 'rule_50'""")
+def f14_compare_stored(spark, sf):
+    # records of the result store beside the scored sets; a model without a record is left out
+    from ..session import scratch_path
+    from ..sources.files import upsert
+    s = scores(spark, sf)
+    m = E.metrics(s, "y_true", "y_score", 0.5, K).filter("model_key <> 'rule_50'")
+    new = m.select("model_key", F.lit("main").alias("label"), "accuracy", "precision", "recall", "f1", "roc_auc",
+                   (F.col("tp") / F.col("total")).alias("latency_ms"))
+    return E.compare(s, upsert(spark, scratch_path(spark, "results"), new), "y_true", "y_score")
+
+
 @register("f15_grouped_metrics", _BUNDLE)
 def f15_grouped_metrics(spark, sf):
     return E.metrics(scores(spark, sf), "y_true", "y_score", 0.5, K)

@@ -227,6 +227,4 @@ def b22_rate_spread(spark, sf):
 SELECT feature, max(CASE WHEN churn = 0 THEN mean END) AS retained_mean,
        max(CASE WHEN churn = 1 THEN mean END) AS churned_mean FROM s GROUP BY feature""")
 def b23_behaviour_contrast(spark, sf):
-    s = P.stats_by_target(members(spark, sf), NUM, Y)
-    return s.groupBy("feature").agg(F.max(F.when(F.col(Y) == 0, F.col("mean"))).alias("retained_mean"),
-                                    F.max(F.when(F.col(Y) == 1, F.col("mean"))).alias("churned_mean"))
+    return P.class_means(members(spark, sf), NUM, Y)

@@ -36,6 +36,14 @@ def a2_projected_scan(spark, sf):
     return A.read_members(spark, path, schema=m.schema, columns=[ID, "visits", "pref"])
 
 
+@register("a2_first_rows", "SELECT member_id, visits, pref FROM members ORDER BY member_id LIMIT 100")
+def a2_first_rows(spark, sf):
+    # the limit is the feature: the first rows of a member file by id
+    m = members(spark, sf)
+    path = A.write_table(m, scratch_path(spark, "members_csv"), "csv", options={"nullValue": "None"})
+    return A.read_members(spark, path, schema=m.schema, columns=[ID, "visits", "pref"], limit=100, first_by=ID)
+
+
 @register("a5_processed_sink", """
 SELECT * EXCLUDE (segment, region), """ + ", ".join(
     f"CAST(coalesce(segment = '{v}', false) AS INTEGER) AS \"segment_{v}\""
