@@ -8,13 +8,24 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
 
-__all__ = ["table", "materialize", "scratch_path", "salted_join", "components", "drop_tables", "arrow_rows"]
+__all__ = ["table", "materialize", "scratch_path", "salted_join", "components", "drop_tables", "arrow_rows", "fresh"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened by underscores until they differ from every column of the table."""
+    used, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in used:
+            n += "_"
+        used.add(n.lower())
+        out.append(n)
+    return out
+
+
 def drop_tables(*tables: DataFrame) -> None:
     """Delete written intermediate tables that no later step reads."""
     for df in tables:

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import arrow_rows, bit_table, components, drop_tables, in_table, materialize, salted_join
+from .common import arrow_rows, bit_table, components, drop_tables, fresh, in_table, materialize, salted_join
 
 SHINGLE, PERCENT = 5, 80
 #: nodes that make a group crowded; pivots of a round, and their shingles in all
@@ -480,6 +480,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     root = _rooted(nodes, links).select("fp", "root")
     own = salted_join(members.filter("n > 0"), root, ["fp"], ["row"])
     first = own.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row")).alias("m"))
-    kept = first.select(F.col("m.row").alias("_row")).union(members.filter("n = 0").select("row"))
-    d = docs.withColumn("_row", F.monotonically_increasing_id())
-    return d.join(kept, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    number, = fresh(docs, "_row")
+    kept = first.select(F.col("m.row").alias(number)).union(members.filter("n = 0").select("row"))
+    d = docs.withColumn(number, F.monotonically_increasing_id())
+    return d.join(kept, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

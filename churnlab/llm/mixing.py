@@ -20,12 +20,14 @@ Other columns are kept as they are, whatever their names.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 ROUNDS = 25
 TEMPER = 0.5
 #: share of all tokens that a sample holds; weights go up to its inverse
@@ -58,8 +60,11 @@ def topic_of(text: str = "text", rules=TOPICS) -> Column:
 
 @dataclass
 class Mix:
-    """Raked cells: ``(source, lang, topic, tokens, weight, probability)``."""
+    """Raked cells: ``(source, lang, topic, tokens, weight, probability)``, and for every
+    value of a margin ``(margin, value, wanted share, reached share)``: weights are trimmed at
+    1 / rate, so a value wanted above that multiple of its tokens stays below its target."""
     cells: list[tuple]
+    margins: list[tuple] = field(default_factory=list)
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.cells, "_s string, _l string, _t string, _n long, _w double, _p double")
@@ -115,25 +120,40 @@ def fit(docs: DataFrame, source: str = "source", lang: str = "lang", text: str =
             share = np.array([float(given.get(v, 0.0)) for v in values])
             goals.append(share / (share.sum() or 1.0) * n.sum())
     w = rake(n, margins, goals, rounds, rate) if len(rows) else np.zeros(0)
-    return Mix([(r.s, r.l, r.t, int(r.n), float(x), float(x * rate)) for r, x in zip(rows, w)])
+    reached = []
+    for name, m, goal, key in zip(("source", "lang", "topic"), margins, goals, ("s", "l", "t")):
+        got = np.bincount(m, n * w, len(goal))
+        for i, v in enumerate(dict.fromkeys(r[key] for r in rows)):
+            reached.append((name, v, float(goal[i] / (goal.sum() or 1.0)), float(got[i] / (got.sum() or 1.0))))
+    return Mix([(r.s, r.l, r.t, int(r.n), float(x), float(x * rate)) for r, x in zip(rows, w)], reached)
 
 
-def apply(docs: DataFrame, mix: Mix, id_col: str = "doc_id", source: str = "source", lang: str = "lang",
-          text: str = "text", topic: Column | None = None, seed: str = "mix") -> DataFrame:
-    """The rows of ``docs`` with ``_topic``, ``_weight``, ``_probability`` and
-    ``_selected``."""
+def _applied(docs: DataFrame, mix: Mix, id_col: str, source: str, lang: str, text: str, topic: Column | None,
+             seed: str) -> tuple[DataFrame, list[str]]:
+    """The rows of ``docs`` with four columns more, and the names of these."""
     t = topic if topic is not None else topic_of(text)
-    cells = F.broadcast(mix.frame(docs.sparkSession))       # at most max_cells rows
-    d = docs.withColumn("_topic", t.cast("string"))
-    j = d.join(cells, F.col(f"`{source}`").cast("string").eqNullSafe(F.col("_s"))
-               & F.col(f"`{lang}`").cast("string").eqNullSafe(F.col("_l")) & F.col("_topic").eqNullSafe(F.col("_t")),
+    named = fresh(docs, "_topic", "_weight", "_probability", "_selected", "_s", "_l", "_t", "_n", "_w", "_p")
+    kind, weight, chance, chosen, s, g, k, n, w, p = named
+    cells = F.broadcast(mix.frame(docs.sparkSession).toDF(s, g, k, n, w, p))    # at most max_cells rows
+    d = docs.withColumn(kind, t.cast("string"))
+    j = d.join(cells, F.col(f"`{source}`").cast("string").eqNullSafe(F.col(s))
+               & F.col(f"`{lang}`").cast("string").eqNullSafe(F.col(g)) & F.col(kind).eqNullSafe(F.col(k)),
                "left")
     key = F.concat(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), F.lit(f"|{seed}"))
     u = (F.conv(F.substring(F.md5(key), 1, DIGITS), 16, 10).cast("double") + 0.5) / F.lit(RANGE)
-    return j.select(*[F.col(f"`{c}`") for c in docs.columns], "_topic", F.col("_w").alias("_weight"),
-                    F.col("_p").alias("_probability"), (u < F.col("_p")).alias("_selected"))
+    return j.select(*[F.col(f"`{c}`") for c in docs.columns], kind, F.col(w).alias(weight),
+                    F.col(p).alias(chance), (u < F.col(p)).alias(chosen)), named[:4]
+
+
+def apply(docs: DataFrame, mix: Mix, id_col: str = "doc_id", source: str = "source", lang: str = "lang",
+          text: str = "text", topic: Column | None = None, seed: str = "mix") -> DataFrame:
+    """The rows of ``docs`` with ``_topic``, ``_weight``, ``_probability`` and ``_selected``; a
+    name that ``docs`` has already is lengthened by an underscore."""
+    return _applied(docs, mix, id_col, source, lang, text, topic, seed)[0]
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
     """The sampled rows of ``docs``, with their columns."""
-    return apply(docs, fit(docs, **options)).filter("_selected").select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = {k: options.get(k, k) for k in ("source", "lang", "text")}
+    got, names = _applied(docs, fit(docs, **options), "doc_id", **own, topic=options.get("topic"), seed="mix")
+    return got.filter(F.col(names[3])).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -527,6 +527,32 @@ def test_mixing_reaches_its_targets(docs, empty):
 
 # --- the pipeline -----------------------------------------------------------
 
+def test_internal_names_never_meet_those_of_the_caller(spark, docs, tmp_path):
+    from churnlab.llm import jaccard as J
+    from churnlab.llm import lines as L
+    from churnlab.llm import mixing as M
+    from pyspark.sql import functions as F
+    names = ["_row", "_gone", "_topic", "_s", "_l", "_t", "_n", "_w", "_p", "_weight", "_probability", "_selected"]
+    path = f"{tmp_path}/clash"
+    docs.select("*", *[F.concat(F.lit(n), F.col("row").cast("string")).alias(n) for n in names]).write.parquet(path)
+    clash = spark.read.parquet(path)
+    for stage in (J.keep_one, L.clean, M.sample):
+        got, plain = stage(clash), stage(spark.read.parquet(path).drop(*names))
+        assert got.columns == clash.columns
+        assert C.multiset(got.drop(*names).collect()) == C.multiset(plain.collect())
+        assert {r[n] for r in got.collect() for n in names} <= {f"{n}7" for n in names}
+
+
+def test_mixing_tells_the_shares_it_reached(docs):
+    from churnlab.llm import mixing as M
+    mix = M.fit(docs, targets={"source": {"s1": 1.0}})
+    shares = {(m, v): (want, got) for m, v, want, got in mix.margins}
+    assert abs(sum(w for (m, _), (w, _) in shares.items() if m == "source") - 1) < 1e-9
+    assert abs(sum(g for (m, _), (_, g) in shares.items() if m == "lang") - 1) < 1e-9
+    assert shares["source", "s1"][0] == 1.0 and shares["source", "s2"] == (0.0, 0.0)
+    assert M.fit(docs.limit(0)).margins == []
+
+
 def test_pipeline_stages_keep_their_contract(spark):
     import corpus_pipeline as P
     sf = "/root/testdata/sf0.001"
