@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import campaign as G
 from ..operators import evaluate as E
 from ..operators import features as C
+from ..session import reuse
 from . import members as MB
 
 
@@ -18,7 +19,7 @@ def campaign_report(spark: SparkSession, data_dir: str, threshold: float = 0.5,
     m = MB.members(spark, data_dir)
     m = C.fill_constants(m, {"segment": "UNKNOWN"})
     m = C.date_features(m, "start_date", prefix="start", drop=False)
-    s = MB.scores(m)
+    s = reuse(MB.scores(m))     # read by the metrics, the border passes and the list
     metrics = E.metrics(s, "y_true", "y_score", threshold, by=["model_key"])
     cands = G.candidates(s, "member_id", "y_score", threshold, capacity, y="y_true", by=["model_key"])
     figures = metrics.select("model_key", "selected", "precision", "recall", "f1", "roc_auc", "pr_auc")
