@@ -227,6 +227,83 @@ def test_decontamination_finds_hundreds_of_copies_of_one_edited_leak(spark, tmp_
     assert {r.doc_id for r in D.clean(docs, benchmark).collect()} == set(range(400, 700))
 
 
+def folded(x):
+    return re.findall("(?:[^\\W_]|[^\\x00-\\x7f])+", (x or "").lower())
+
+
+def test_decontamination_equals_alignment_of_every_item_with_every_document(spark, tmp_path):
+    import numpy as np
+    from churnlab.llm import decontaminate as D
+    rnd, v, other = C.random.Random(31), C.vocabulary(41), C.vocabulary(42)
+    items = [C.prose(rnd, v, n) for n in (6, 7, 12, 25, 25, 60)] + [C.prose(rnd, other, 3) for _ in range(2)]
+    rows = []
+    for k in range(120):
+        x = items[rnd.randrange(6)].split()
+        for _ in range(rnd.randrange(0, 1 + len(x) // 4)):
+            x[rnd.randrange(len(x))] = rnd.choice(other)
+        a = rnd.randrange(0, len(x) // 2)
+        rows.append((k, " ".join([C.prose(rnd, other, rnd.randrange(1, 40)), *x[a:], C.prose(rnd, other, rnd.randrange(1, 40))])))
+    docs = C.saved(spark, rows + [(200, None), (201, ""), (202, items[6])], str(tmp_path))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in D.find(docs, benchmark).collect()}
+    words, want, near = {}, {}, []
+    number = lambda x: np.array([words.setdefault(y, len(words)) for y in folded(x)], np.uint64)
+    for d, text in rows + [(202, items[6])]:
+        for i, item in enumerate(items):
+            x, y = number(item), number(text)
+            if len(x) < D.MIN_WORDS:
+                if any(np.array_equal(y[j:j + len(x)], x) for j in range(len(y))):
+                    want[d, i] = 1.0
+                continue
+            score = D.align(x, y)[0] / (2 * len(x))
+            grams = lambda z: {tuple(z[j:j + 3]) for j in range(len(z) - 2)}
+            if score >= D.THRESHOLD:
+                near.append((d, i))
+                if len(grams(x) & grams(y)) >= max(D.MIN_SEEDS, D.MIN_SHARE * len(x)):
+                    want[d, i] = score
+    assert {k: round(r.similarity, 9) for k, r in got.items()} == {k: round(x, 9) for k, x in want.items()}
+    long = [x for x in near if len(items[x[1]].split()) >= 12]     # half of a shorter item has one seed, too few
+    assert len(near) > 90 and len(set(long) & set(want)) >= 0.97 * len(long) > 50
+    for (d, i), r in got.items():                 # the range holds the alignment
+        y = number(dict(rows + [(202, items[6])])[d])[r.first_word:r.end_word]
+        if len(items[i].split()) >= D.MIN_WORDS:
+            assert D.align(number(items[i]), y)[0] / (2 * len(number(items[i]))) == r.similarity
+
+
+def test_decontamination_matches_short_items_exactly(spark, tmp_path):
+    from churnlab.llm import decontaminate as D
+    items = [(0, "Name the first five primes"), (1, "one two"), (2, "yes"), (3, "alpha beta gamma"), (4, "?!"), (5, "alpha beta gamma")]
+    rows = [(0, "please name: the FIRST five primes, and alpha beta gamma; alpha beta gamma"), (1, "name the first four five primes"),
+            (2, "one two"), (3, "one two three"), (4, "Yes!"), (5, "yes yes"), (6, "alpha beta"), (7, "?!")]
+    out = D.find(C.saved(spark, rows, str(tmp_path)), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.similarity, r.first_word, r.end_word, r.n_seeds) for r in out) == [
+        (0, 0, 1.0, 1, 6, 3), (0, 3, 1.0, 7, 10, 1), (0, 5, 1.0, 7, 10, 1), (2, 1, 1.0, 0, 2, 0), (4, 2, 1.0, 0, 1, 0)]
+
+
+def test_decontamination_of_very_long_texts_and_items(spark, tmp_path):
+    from churnlab.llm import decontaminate as D
+    rnd, v, other = C.random.Random(6), C.vocabulary(51), C.vocabulary(52)
+    short, long = C.prose(rnd, v, 30), C.prose(rnd, v, 1500)
+    rows = [(0, " ".join([short] * 1500)), (1, C.prose(rnd, other, 20000) + " " + long + " " + C.prose(rnd, other, 20000)),
+            (2, C.prose(rnd, other, 40000))]
+    benchmark = spark.createDataFrame([(0, short), (1, long)], "item_id long, text string")
+    out = D.find(C.saved(spark, rows, str(tmp_path)), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id, r.similarity, r.first_word, r.end_word) for r in out) == [
+        (0, 0, 1.0, 0, len(folded(short))), (1, 1, 1.0, 20000, 21500)]
+
+
+def test_frequent_seeds_confirm_and_do_not_open(spark):
+    import numpy as np
+    from churnlab.llm import decontaminate as D
+    index = D.Index([0, 1], ["a b c d e f g h", "a b c x y z"])
+    hot = index.keys[np.flatnonzero(np.diff(np.append(index.at, len(index.seeds))) == 2)]
+    held = np.where(index.keys == hot[0], 1000, 1)
+    index.rank(held)
+    k = int(np.searchsorted(index.keys, hot[0]))
+    assert len(hot) == 1 and index.mid[k] == index.at[k] and index.upto[k] - index.at[k] == 2
+    assert (index.mid > index.at).sum() == len(index.keys) - 1
+
+
 def test_decontamination_finds_every_exact_copy(spark):
     from churnlab.llm.queries import QUERIES
     sf = "/root/testdata/sf0.01"
