@@ -9,7 +9,8 @@ Plan shape at scale:
   (conditional aggregates), with the cutoff pushed into the parquet scan for
   the line-level branch;
 * lines are pre-aggregated per (member, part) before the per-member
-  aggregate, which also yields the distinct part count without an Expand;
+  aggregate, which also yields the distinct part count without an Expand; the
+  line-level shuffles have a number of tasks that follows the size of the line table;
 * the preferred event type is a ``min(struct(-count, type))`` aggregate, so
   no window over a member's events;
 * all member-level sides are hash-partitioned on the member key, so the
@@ -22,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
 from ..sources.tables import tables
 
 OBS_CUTOFF = "2001-02-01"
@@ -30,7 +32,9 @@ PREF_EVENTS = ("click", "view", "purchase")
 
 def observe(customer: DataFrame, nation: DataFrame, region: DataFrame,
             orders: DataFrame, lineitem: DataFrame, events: DataFrame,
-            cutoff: str = OBS_CUTOFF, pref_events=PREF_EVENTS) -> DataFrame:
+            cutoff: str = OBS_CUTOFF, pref_events=PREF_EVENTS, partitions: int | None = None) -> DataFrame:
+    """``partitions`` deals the line-level steps over that many tasks instead of the
+    session's number of shuffle partitions (see ``line_partitions``)."""
     cut = F.lit(cutoff).cast("timestamp")
     in_obs = F.col("o_orderdate") < cut
 
@@ -46,11 +50,16 @@ def observe(customer: DataFrame, nation: DataFrame, region: DataFrame,
 
     obs_orders = orders.filter(in_obs).select("o_orderkey", "o_custkey", "o_orderdate")
     lines = lineitem.select("l_orderkey", "l_partkey", "l_returnflag", "l_shipdate")
-    per_part = (lines.join(obs_orders, lines.l_orderkey == obs_orders.o_orderkey)
-                .groupBy("o_custkey", "l_partkey")
-                .agg(F.count(F.when(F.col("l_returnflag") == "R", F.lit(1))).alias("_r"),
-                     F.sum(F.datediff(F.col("l_shipdate").cast("date"),
-                                      F.col("o_orderdate").cast("date")).cast("long")).alias("_d"),
+    if partitions:
+        lines = lines.repartition(partitions, "l_orderkey")
+        obs_orders = obs_orders.repartition(partitions, "o_orderkey")
+    bought = (lines.join(obs_orders, lines.l_orderkey == obs_orders.o_orderkey)
+              .select("o_custkey", "l_partkey", F.when(F.col("l_returnflag") == "R", F.lit(1)).alias("_back"),
+                      F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")).alias("_wait")))
+    if partitions:
+        bought = bought.repartition(partitions, "o_custkey", "l_partkey")
+    per_part = (bought.groupBy("o_custkey", "l_partkey")
+                .agg(F.count("_back").alias("_r"), F.sum(F.col("_wait").cast("long")).alias("_d"),
                      F.count(F.lit(1)).alias("_n")))
     line_agg = (per_part.groupBy("o_custkey")
                 .agg(F.sum("_r").alias("returns"),
@@ -90,10 +99,22 @@ def observe(customer: DataFrame, nation: DataFrame, region: DataFrame,
         F.when(F.col("_later") == 1, F.lit(0)).otherwise(F.lit(1)).alias("churn"))
 
 
+#: tasks of a line-level step for each part in which the line table is scanned (128 MB at most)
+TASKS_PER_SCAN_PART = 8
+
+
+def line_partitions(lineitem: DataFrame) -> int | None:
+    """Tasks for the line-level steps, in proportion to the size of the scanned line table,
+    so that what one task sorts and counts is bounded at any size; None where the
+    session's shuffle partitions are enough."""
+    n = TASKS_PER_SCAN_PART * lineitem.rdd.getNumPartitions()
+    return n if n > shuffle_partitions(lineitem.sparkSession) else None
+
+
 def members(spark: SparkSession, data_dir: str, cutoff: str = OBS_CUTOFF) -> DataFrame:
     t = tables(spark, data_dir, ("customer", "nation", "region", "orders", "lineitem", "events"))
     return observe(t["customer"], t["nation"], t["region"], t["orders"], t["lineitem"],
-                   t["events"], cutoff)
+                   t["events"], cutoff, partitions=line_partitions(t["lineitem"]))
 
 
 # --- deterministic score and planted label ---------------------------------
