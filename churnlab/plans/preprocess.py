@@ -4,7 +4,7 @@ read -> fill -> drop -> date parts + days since the latest start -> one-hot
 (first level dropped) -> stratified split **column** -> standard / robust
 scaling fitted on the training rows -> importance-ranked top half. The split
 is a column, not two frames, so the full table is written once and the
-top-half table is a projection of it.
+top-half table is a projection of it (plus the missing-value marks that rank there).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import features as C
 from ..operators import models as M
 from ..operators import splits as D
+from ..session import materialize
 from ..sources.files import write_table
 from . import members as MB
 
@@ -27,7 +28,8 @@ def preprocess(spark: SparkSession, data_dir: str, label: str = "planted", out_d
                importance_spec: M.ModelSpec | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Returns ``(full, top_half, importance)``; writes both tables under
     ``out_dir`` when given (``split`` kept as a column)."""
-    m = MB.with_planted(MB.members(spark, data_dir))
+    # written once: level lists, split borders, scalers and the fit all read it
+    m = materialize(MB.with_planted(MB.members(spark, data_dir)), "preprocess_members")
     m = C.fill_constants(m, {"pref": "none"})
     m = C.drop_columns(m, ["fee", "score"] + (["churn"] if label != "churn" else ["planted"]))
     m = C.date_features(m, "start_date", prefix="start")
@@ -41,7 +43,11 @@ def preprocess(spark: SparkSession, data_dir: str, label: str = "planted", out_d
     model = M.fit(spec, m, feats, [], label, fit_where=train)
     importance = M.importances(model)
     top = [r["feature"] for r in C.select_top_fraction(importance, 0.5).collect()]   # <= schema width
-    top_half = m.select(MB_ID, *[F.col(f"`{c}`") for c in top], label, "split")
+    # the model also ranks the missing-value marks that it adds; those of the top half become columns
+    have = set(m.columns)
+    cols = [F.col(f"`{c}`") if c in have else F.col("`" + c.removesuffix("_missing") + "`").isNull().cast("double").alias(c)
+            for c in top]
+    top_half = m.select(MB_ID, *cols, label, "split")
     if out_dir:
         write_table(m, f"{out_dir}/full", "parquet")
         write_table(top_half, f"{out_dir}/top_half", "parquet")
