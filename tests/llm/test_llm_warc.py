@@ -88,4 +88,4 @@ def test_query_equals_its_sql(spark, name):
 
 def test_every_operator_has_its_query():
     from churnlab.llm.queries import QUERIES
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
