@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import compiled_methods
+
 SHIFTS = (44, 22, 0)
 MAX_ENTRIES = 1 << 14
 MAX_RANGES = 256            # prefixes that are compared one by one
@@ -112,7 +114,8 @@ def _counted(src: DataFrame, group: Sequence[str], prev: int | None, shift: int,
 
 def _collect(df: DataFrame) -> list:
     """The rows of a pass: a few per group, checked."""
-    rows = df.limit(MAX_ENTRIES + 1).collect()
+    with compiled_methods(df.sparkSession):
+        rows = df.limit(MAX_ENTRIES + 1).collect()
     if len(rows) > MAX_ENTRIES:
         raise ValueError(f"more than {MAX_ENTRIES} group ranks in one selection")
     return rows

@@ -68,3 +68,45 @@ def test_preprocessing_reads_the_order_tables_once(spark, tmpdir_path, monkeypat
     assert top.columns[4] == "avg_value_missing" and "avg_value_missing" not in m.columns
     assert [r[0] for r in top.filter("avg_value_missing = 1").select("member_id").collect()] == [0]
     assert [r.value for r in built] == [40]     # every member row computed once
+
+
+def test_selection_passes_and_copies_keep_methods_short(spark, monkeypatch):
+    from churnlab import session
+    from churnlab.operators import selection
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    seen = []
+
+    class Watched:      # a result that notes the setting under which it is made
+        sparkSession = spark
+        write = property(lambda self: self)
+        limit = mode = lambda self, _: self
+
+        def collect(self):
+            seen.append(spark.conf.get(key))
+            return []
+
+        def parquet(self, path):
+            seen.append(spark.conf.get(key))
+            spark.range(1).write.parquet(path)
+
+    selection._collect(Watched())
+    session.materialize(Watched())
+    assert seen == ["8000", "8000"] and spark.conf.get(key) == before
+    outer, inner = session.compiled_methods(spark), session.compiled_methods(spark)
+    outer.__enter__()
+    inner.__enter__()
+    outer.__exit__(None, None, None)
+    assert spark.conf.get(key) == "8000"        # another thread is still inside
+    inner.__exit__(None, None, None)
+    assert spark.conf.get(key) == before
+
+
+def test_psi_of_all_features_reads_written_sketches(spark, tmpdir_path):
+    from churnlab.plans.q_campaign import h10_psi_all_features
+    path = write_tables(spark, f"{tmpdir_path}/t")
+    out = h10_psi_all_features(spark, path)
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    rows = {r.feature: r for r in out.collect()}
+    assert len(rows) == 10 and {r.rows for r in rows.values()} == {rows["fee"].rows}
+    spark.catalog.clearCache()
