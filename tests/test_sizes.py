@@ -110,3 +110,16 @@ def test_psi_of_all_features_reads_written_sketches(spark, tmpdir_path):
     rows = {r.feature: r for r in out.collect()}
     assert len(rows) == 10 and {r.rows for r in rows.values()} == {rows["fee"].rows}
     spark.catalog.clearCache()
+
+
+def test_sweep_scores_are_written_once(spark, tmpdir_path):
+    from churnlab.operators import models as M
+    from churnlab.operators import splits as D
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 5), int(i % 7 > 3)) for i in range(80)], "id long, a double, b double, y int")
+    df = D.stratified_split(df, "id", "y", 0.25, 42)
+    specs = [M.ModelSpec("logistic", "logistic", {"maxIter": 5}), M.ModelSpec("knn", "knn", {"k": 3, "weights": "uniform"})]
+    out = M.sweep(specs, df, {"full": ["a", "b"]}, "id", "y", exclude=(None, "b"), parallel=2)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInPandas" not in plan and "UDF" not in plan
+    assert {(r.model_key, r["count"]) for r in out.groupBy("model_key").count().collect()} == {
+        (k, 20) for k in ("logistic_full", "logistic_full_without_b", "knn_full", "knn_full_without_b")}
