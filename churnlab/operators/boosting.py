@@ -23,7 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from .evaluate import _auc_ap, cumulative
 
 HISTOGRAM_ROWS = 1 << 20    # distinct (round, score) pairs that a task holds
@@ -108,8 +108,10 @@ def _batch(held: list[tuple]) -> pa.RecordBatch:
 
 def round_average_precision(model: GBTClassificationModel, df: DataFrame, label: str, features: str = "features",
                             first: int = 1, digits: int = 6) -> DataFrame:
-    """``round, pr_auc`` of every round from ``first`` on, in one job."""
-    hist = round_histograms(model, df, label, features, first, digits)
+    """``round, pr_auc`` of every round from ``first`` on. The histograms are written once:
+    the running counts read them several times, and joins have to see their real size
+    (an estimate by the rows they come from is small enough for a broadcast)."""
+    hist = materialize(round_histograms(model, df, label, features, first, digits), "round_histograms")
     return _auc_ap(cumulative(None, label, "score", ["round"], hist=hist), ["round"]).select("round", "pr_auc")
 
 

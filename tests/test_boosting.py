@@ -100,3 +100,9 @@ def test_stopped_pipeline_is_saved_and_scores_alike(data, tmpdir_path):
     path = A.save_model(model, f"{tmpdir_path}/m")
     a, b = (M.score(m, data, ["id"]).orderBy("id").collect() for m in (model, A.load_model(path)))
     assert a == b and len(M.importances(model).collect()) > 3
+
+
+def test_histograms_are_written_before_the_running_counts(data, fitted):
+    valid = assembled(fitted, data.filter("split = 'validation'"))
+    out = B.round_average_precision(fitted.stages[-1], valid, "y")
+    assert "MapInArrow" not in out._jdf.queryExecution().optimizedPlan().toString()     # every row is scored once
