@@ -20,7 +20,8 @@ node. Nodes meet in regions:
    every pivot, where no window can part them. For them single shingles are the
    pivots: a node is replicated to the regions of its first
    ``n - ceil(threshold * n) + 1`` shingles in a fixed global order (rare before
-   frequent, then by hash). Linked nodes share one of these. The pairs of a
+   frequent, then by hash), leaving out those that no other node holds. Linked
+   nodes share one of these. The pairs of a
    region are counted; the count bounds a pair's overlap, and the pairs whose
    bound reaches the threshold are compared exactly on their whole sets.
 
@@ -51,7 +52,8 @@ SHINGLE, PERCENT = 5, 80
 CROWD, PIVOTS, PIVOT_SHINGLES, ROUNDS = 4, 8192, 2_000_000, 3
 #: nodes of a frequent shingle, and the most such shingles that are told to tasks
 FREQUENT, MAX_FREQUENT = 40, 1 << 20
-TABLE_BITS = 1 << 27
+#: most bits of a table; bits that it keeps for each set one when it is made smaller
+TABLE_BITS, SPARSE = 1 << 27, 64
 _EPS = 1e-9
 
 
@@ -119,24 +121,44 @@ def _nodes(docs: DataFrame, k: int, percent: int) -> DataFrame:
         run, f"row long, id {id_type}, n long, fp binary, f long, sketch array<long>, low array<long>")
 
 
+def _table(keys: DataFrame, key: str, bits: int) -> np.ndarray:
+    """``bit_table``, halved while that leaves ``SPARSE`` bits or more for each
+    set one: every executor holds and stores each table."""
+    table = bit_table(keys, key, bits)
+    while len(table) > 1 and 2 * SPARSE * int(np.bitwise_count(table).sum()) <= 64 * len(table):
+        half = len(table) // 2
+        table = table[:half] | table[half:]
+    return table
+
+
+def _marks(nodes: DataFrame, bits: int) -> np.ndarray:
+    """Bit table of the nodes' ids (``hid``, their hashes) and of ids and sets together."""
+    return _table(nodes.select(F.explode(F.array(F.col("hid"), F.col("f").bitwiseXOR(F.col("hid")))).alias("key")), "key", bits)
+
+
+def _marked(batch: pa.RecordBatch, table: np.ndarray, k: int):
+    """Names and sets of the documents of a batch that ``_marks`` holds; texts of other ids are not shingled."""
+    batch = batch.filter(pa.array(in_table(table, batch.column("hid").to_numpy().view(np.uint64))))
+    hid = batch.column("hid").to_numpy().view(np.uint64)
+    for w in W.split(batch.column("t"), lower=True):
+        for i, u in enumerate(sets(w, k)):
+            p = _print(u)
+            key = np.array([p[0]], np.uint64) ^ hid[w.base + i:w.base + i + 1]
+            if len(u) and in_table(table, key)[0]:
+                yield _name(p), u
+
+
 def _sets(docs: DataFrame, table, k: int) -> DataFrame:
-    """``fp, n, tokens`` of the documents whose key is in a bit table."""
+    """``fp, tokens`` of the documents that ``_marks`` holds."""
     def run(batches):
         for batch in batches:
-            hid = batch.column("hid").to_numpy()
-            fps, n, toks = [], [], []
-            for w in W.split(batch.column("t"), lower=True):
-                for i, u in enumerate(sets(w, k)):
-                    p = _print(u)
-                    key = np.array([p[0]], np.uint64) ^ hid[w.base + i:w.base + i + 1].view(np.uint64)
-                    if len(u) and in_table(table.value, key)[0]:
-                        fps.append(_name(p))
-                        n.append(len(u))
-                        toks.append(W.signed(u))
-            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), pa.array(n, pa.int64()),
-                                              pa.array(toks, pa.list_(pa.int64()))], ["fp", "n", "tokens"])
+            fps, toks = [], []
+            for fp, u in _marked(batch, table.value, k):
+                fps.append(fp)
+                toks.append(W.signed(u))
+            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), pa.array(toks, pa.list_(pa.int64()))], ["fp", "tokens"])
 
-    return docs.select(F.xxhash64("id").alias("hid"), "t").mapInArrow(run, "fp binary, n long, tokens array<long>")
+    return docs.select(F.xxhash64("id").alias("hid"), "t").mapInArrow(run, "fp binary, tokens array<long>")
 
 
 def _distances(docs: DataFrame, pivots, rep_table, k: int, least: int) -> DataFrame:
@@ -219,9 +241,9 @@ def _measured(docs: DataFrame, chosen: list, schema, rep_table, k: int, percent:
     chosen nodes."""
     spark = docs.sparkSession
     own = spark.createDataFrame([(r.f, r.id) for r in chosen], schema)
-    table = spark.sparkContext.broadcast(bit_table(own.select(F.col("f").bitwiseXOR(F.xxhash64("id")).alias("k")), "k", bits))
+    table = spark.sparkContext.broadcast(_marks(own.withColumn("hid", F.xxhash64("id")), bits))
     names = {bytes(r.fp) for r in chosen}
-    rows = _sets(docs, table, k).select("fp", "tokens").toArrow()       # the chosen nodes, and few wrong bits
+    rows = _sets(docs, table, k).toArrow()       # the chosen nodes, and few wrong bits
     got = {fp: t.values.to_numpy().view(np.uint64) for fp, t in zip(rows["fp"].to_pylist(), rows["tokens"]) if fp in names}
     order = sorted(got)
     keys = np.concatenate([got[x] for x in order])
@@ -268,10 +290,9 @@ def _pivots(docs: DataFrame, reps: DataFrame, rep_table, k: int, percent: int, c
     return links, settled.union(pivot_names).distinct()
 
 
-def _frequent(nodes: DataFrame, limit: int, most: int) -> np.ndarray:
-    rows = (nodes.select(F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("c"))
-            .filter(F.col("c") > limit).orderBy(F.desc("c"), "token").limit(most).select("token"))
-    return np.sort(rows.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+def _frequent(counts: DataFrame, limit: int, most: int) -> np.ndarray:
+    rows = counts.filter(F.col("c") > limit).orderBy(F.desc("c"), "token").limit(most).select("token")
+    return np.sort(rows.toArrow()["token"].to_numpy().view(np.uint64))
 
 
 def _is_in(u: np.ndarray, sorted_keys: np.ndarray) -> np.ndarray:
@@ -281,80 +302,85 @@ def _is_in(u: np.ndarray, sorted_keys: np.ndarray) -> np.ndarray:
     return sorted_keys[at] == u
 
 
-class _Entries:
-    """Rows of a node's replicas in the regions of its prefix."""
+class _Prefixes:
+    """Rows of nodes: the tokens of their prefix, its length and end."""
 
-    SCHEMA = "token long, fp binary, g binary, n int, p int, last long"
+    SCHEMA = "fp binary, n int, p int, last long, tokens array<long>"
 
     def __init__(self):
-        self.token, self.fp, self.g, self.n, self.p, self.last, self.count = [], [], [], [], [], [], []
+        self.tokens, self.fp, self.n, self.p, self.last = [], [], [], [], []
 
-    def add(self, tokens: np.ndarray, late: bool, fp: bytes, g: bytes, n: int):
-        self.token.append(W.signed(tokens))
+    def add(self, tokens: np.ndarray, late: bool, fp: bytes, n: int, kept=None):
+        self.tokens.append(W.signed(tokens if kept is None else tokens[kept]))
         self.fp.append(fp)
-        self.g.append(g)
         self.n.append(n)
         self.p.append(len(tokens))
         self.last.append(int(tokens[-1] >> np.uint64(2)) | (int(late) << 62))
-        self.count.append(len(tokens))
 
-    def batch(self) -> pa.RecordBatch:
-        at = np.repeat(np.arange(len(self.count)), self.count)
+    def batch(self, *more: tuple[str, pa.Array]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(self.token) if self.token else np.zeros(0, np.int64)),
-             pa.array(self.fp, pa.binary()).take(pa.array(at)), pa.array(self.g, pa.binary()).take(pa.array(at)),
-             pa.array(np.array(self.n, np.int32)[at]),
-             pa.array(np.array(self.p, np.int32)[at]), pa.array(np.array(self.last, np.int64)[at])],
-            ["token", "fp", "g", "n", "p", "last"])
+            [pa.array(self.fp, pa.binary()), pa.array(self.n, pa.int32()), pa.array(self.p, pa.int32()),
+             pa.array(self.last, pa.int64()), pa.array(self.tokens, pa.list_(pa.int64())), *[x for _, x in more]],
+            ["fp", "n", "p", "last", "tokens", *[x for x, _ in more]])
 
 
-def _regions(nodes: DataFrame, docs: DataFrame, frequent, k: int, percent: int, bits: int) -> DataFrame:
-    """Replicas of the open nodes: one row per shingle of the prefix."""
+def _regions(nodes: DataFrame, docs: DataFrame, k: int, percent: int, limit: int, most: int, bits: int) -> DataFrame:
+    """Replicas of the open nodes: one row per shingle of the prefix that another
+    node's prefix may hold too. A shingle that one node alone has pairs nothing,
+    so it is counted in the prefix's length but opens no region."""
     spark = docs.sparkSession
+    counts = materialize(nodes.select(F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("c"))
+                         .filter(F.col("c") > min(limit, 1)), "shingles")
+    frequent = spark.sparkContext.broadcast(_frequent(counts, limit, most))
 
     def enough(low, n):
         light = low[~_is_in(low, frequent.value)]
         return light[:prefix(n, percent)] if len(light) >= prefix(n, percent) else None
 
-    def run(batches):
-        for batch in batches:
-            out = _Entries()
-            low = batch.column("low")
-            n, fp, g = (batch.column(c).to_pylist() for c in ("n", "fp", "g"))
-            for i in range(batch.num_rows):
-                u = enough(low[i].values.to_numpy().view(np.uint64), n[i])
-                if u is not None:
-                    out.add(u, False, fp[i], g[i], n[i])
-            yield out.batch()
-
     def short(batches):
         for batch in batches:
-            low, n, key = batch.column("low"), batch.column("n").to_pylist(), batch.column("key").to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array([
-                key[i] for i in range(batch.num_rows)
-                if enough(low[i].values.to_numpy().view(np.uint64), n[i]) is None], pa.int64())], ["key"])
+            low, n = batch.column("low"), batch.column("n").to_pylist()
+            few = [enough(low[i].values.to_numpy().view(np.uint64), n[i]) is None for i in range(batch.num_rows)]
+            yield batch.select(["hid", "f"]).filter(pa.array(few, pa.bool_()))
 
-    few = nodes.select("low", "n", F.col("f").bitwiseXOR(F.xxhash64("id")).alias("key")).mapInArrow(short, "key long")
-    table = spark.sparkContext.broadcast(bit_table(few, "key", bits))
+    table = spark.sparkContext.broadcast(_marks(nodes.select("low", "n", "hid", "f").mapInArrow(short, "hid long, f long"), bits))
 
     def rescan(batches):
         for batch in batches:
-            out = _Entries()
-            fps, ns, gs = (batch.column(c).to_pylist() for c in ("fp", "n", "g"))
-            for fp, n, g, tokens in zip(fps, ns, gs, batch.column("tokens")):
-                u = tokens.values.to_numpy().view(np.uint64)
+            out = _Prefixes()
+            for fp, u in _marked(batch, table.value, k):
+                n = len(u)
                 late = _is_in(u, frequent.value)
-                if len(u) - late.sum() >= prefix(n, percent):
+                if n - late.sum() >= prefix(n, percent):
                     low = u[:prefix(n, percent) + n // 20 + 8]
                     if enough(low, n) is not None:
-                        continue                # a wrong bit: the row above has it
+                        continue                # a wrong bit: ``run`` has it
                 both = np.concatenate([u[~late], u[late]])[:prefix(n, percent)]
-                out.add(both, len(both) > len(u) - late.sum(), fp, g, n)
+                out.add(both, len(both) > n - late.sum(), fp, n)
             yield out.batch()
 
-    first = nodes.select("low", "n", "fp", "g").mapInArrow(run, _Entries.SCHEMA)
-    again = _sets(docs, table, k).join(nodes.select("fp", "g").distinct(), "fp").select("fp", "n", "tokens", "g")
-    return first.union(again.mapInArrow(rescan, _Entries.SCHEMA))
+    again = docs.select(F.xxhash64("id").alias("hid"), "t").mapInArrow(rescan, _Prefixes.SCHEMA)
+    again = materialize(again.join(nodes.select("fp", "g").distinct(), "fp"), "late_prefixes")
+    met = counts.filter("c > 1").select("token").union(again.select(F.explode("tokens").alias("token")))
+    shared = spark.sparkContext.broadcast(_table(met, "token", bits))
+
+    def run(batches):
+        for batch in batches:
+            out, at = _Prefixes(), []
+            low = batch.column("low")
+            n, fp = (batch.column(c).to_pylist() for c in ("n", "fp"))
+            for i in range(batch.num_rows):
+                u = enough(low[i].values.to_numpy().view(np.uint64), n[i])
+                if u is not None:
+                    kept = in_table(shared.value, u)
+                    if kept.any():
+                        out.add(u, False, fp[i], n[i], kept)
+                        at.append(i)
+            yield out.batch(("g", batch.column("g").take(pa.array(at, pa.int64()))))
+
+    first = nodes.select("low", "n", "fp", "g").mapInArrow(run, _Prefixes.SCHEMA + ", g binary")
+    columns = ["fp", "g", "n", "p", "last", F.explode("tokens").alias("token")]
+    return first.select(*columns).union(again.select(*columns))
 
 
 def _candidates(entries: DataFrame, percent: int) -> DataFrame:
@@ -392,23 +418,33 @@ def _verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "afp").join(b, "bfp").select("afp", "bfp", "at", "bt").mapInArrow(run, "a binary, b binary")
 
 
-def _named(part: DataFrame, comp: DataFrame, bits: int) -> DataFrame:
-    """``part`` with the component ``g`` of each node, null for a node of its
-    own; only the rows whose bit is set go through the join."""
-    spark = part.sparkSession
-    key = F.conv(F.hex(F.substring("fp", 2, 7)), 16, 10).cast("long")
-    table = spark.sparkContext.broadcast(bit_table(comp.select(key.alias("key")), "key", bits))
+def _open(rows: DataFrame, open_table, comp: DataFrame | None, bits: int) -> DataFrame:
+    """The rows whose bit is set in ``open_table``, with the component ``g`` of
+    each node, null for a node of its own; only the rows whose bit is set go
+    through the join. Written once: four steps read it."""
+    spark = rows.sparkSession
+    table = None
+    if comp is not None:
+        key = F.conv(F.hex(F.substring("fp", 2, 7)), 16, 10).cast("long")
+        table = spark.sparkContext.broadcast(_table(comp.select(key.alias("key")), "key", bits))
 
     def side(inside):
         def run(batches):
             for batch in batches:
-                key = np.array([int.from_bytes(x[1:8], "big") for x in batch.column("fp").to_pylist()], np.uint64)
-                yield batch.filter(pa.array(in_table(table.value, key) == inside))
+                f, hid = (batch.column(c).to_numpy().view(np.uint64) for c in ("f", "hid"))
+                batch = batch.filter(pa.array(in_table(open_table.value, f ^ hid)))
+                if table is not None:
+                    key = np.array([int.from_bytes(x[1:8], "big") for x in batch.column("fp").to_pylist()], np.uint64)
+                    batch = batch.filter(pa.array(in_table(table.value, key) == inside))
+                yield batch
         return run
 
+    part = rows.filter("n > 0").select("n", "fp", "f", "low", F.xxhash64("id").alias("hid"))
     alone = part.mapInArrow(side(False), part.schema).withColumn("g", F.lit(None).cast("binary"))
-    some = part.mapInArrow(side(True), part.schema).join(comp, "fp", "left").select(*part.columns, "g")
-    return alone.unionByName(some)
+    if comp is not None:
+        some = part.mapInArrow(side(True), part.schema).join(comp, "fp", "left").select(*part.columns, "g")
+        alone = alone.unionByName(some)
+    return materialize(alone, "open_sets")
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT,
@@ -427,29 +463,21 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = S
         F.count("*").alias("copies")),
         "nodes")
     rep_key = F.col("f").bitwiseXOR(F.xxhash64("id"))
-    rep_table = spark.sparkContext.broadcast(bit_table(reps.select(rep_key.alias("key")), "key", bits))
+    rep_table = spark.sparkContext.broadcast(_table(reps.select(rep_key.alias("key")), "key", bits))
     links, settled = _pivots(d, reps, rep_table, k, percent, crowd, pivots, pivot_shingles, rounds, bits)
     open_nodes = reps if settled is None else reps.join(settled, "fp", "left_anti")
     open_nodes = materialize(open_nodes, "open")
-    open_table = spark.sparkContext.broadcast(bit_table(open_nodes.select(rep_key.alias("key")), "key", bits))
+    open_table = spark.sparkContext.broadcast(_table(open_nodes.select(rep_key.alias("key")), "key", bits))
 
-    def still_open(batches):
-        for batch in batches:
-            key = batch.column("key").to_numpy().view(np.uint64)
-            yield batch.filter(pa.array(in_table(open_table.value, key)))
-
-    part = rows.filter("n > 0").select("id", "n", "fp", "f", "low", rep_key.alias("key"))
-    part = part.mapInArrow(still_open, part.schema).drop("key")
-    if links is None:
-        part = part.withColumn("g", F.lit(None).cast("binary"))
-    else:       # nodes that links to pivots connect need no pair among themselves
+    comp = None         # nodes that links to pivots connect need no pair among themselves
+    if links is not None:
         comp = materialize(components(links).withColumnsRenamed({"id": "fp", "component": "g"}), "components")
-        part = _named(part, comp, bits)
-    often = spark.sparkContext.broadcast(_frequent(part, frequent, max_frequent))
-    pairs = materialize(_candidates(_regions(part, d, often, k, percent, bits), percent), "pairs")
+    part = _open(rows, open_table, comp, bits)
+    pairs = materialize(_candidates(_regions(part, d, k, percent, frequent, max_frequent, bits), percent), "pairs")
     ends = pairs.select(F.col("afp").alias("fp")).union(pairs.select(F.col("bfp").alias("fp"))).distinct()
-    table = spark.sparkContext.broadcast(bit_table(reps.join(ends, "fp", "left_semi").select(rep_key.alias("key")), "key", bits))
-    found = _sets(d, table, k).dropDuplicates(["fp"]).select("fp", "tokens")
+    table = spark.sparkContext.broadcast(
+        _marks(reps.join(ends, "fp", "left_semi").select("f", F.xxhash64("id").alias("hid")), bits))
+    found = _sets(d, table, k).dropDuplicates(["fp"])
     exact = _verify(pairs, found, percent)
     links = exact if links is None else links.union(exact)
     return rows.select("row", "id", "n", "fp"), reps.select("fp", "id"), links

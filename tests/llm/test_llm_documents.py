@@ -79,6 +79,78 @@ def test_jaccard_keeps_one_row_of_each_component(docs, empty):
     assert J.keep_one(empty).collect() == [] and J.classes(empty).collect() == []
 
 
+def _texts(n, words=60):
+    """Texts that share no shingle, and a near copy of the first."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(words))) for i in range(n)]
+    return [*rows, (n, rows[0][1] + " end")]
+
+
+def test_jaccard_shingles_of_one_text_open_no_region(spark, monkeypatch):
+    from churnlab.llm import jaccard as J
+    seen = []
+    candidates = J._candidates
+
+    def watched(entries, percent):
+        seen.append(entries.select("token", "fp").collect())
+        return candidates(entries, percent)
+
+    monkeypatch.setattr(J, "_candidates", watched)
+    out = J.classes(spark.createDataFrame(_texts(30), "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in out.collect()} == {**{i: i for i in range(30)}, 30: 0}
+    assert len({bytes(e.fp) for e in seen[0]}) == 2
+
+
+def test_jaccard_steps_take_one_python_worker_a_task(spark, monkeypatch):
+    """Chained Python steps in one stage each hold a worker with its bit tables."""
+    from churnlab.llm import jaccard as J
+    plans = []
+    write = J.materialize
+
+    def watched(df, name="stage"):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name)
+
+    monkeypatch.setattr(J, "materialize", watched)
+    rows = [*_texts(6), *[(100 + i, " ".join(f"c{k}" for k in range(90)) + f" v{i}") for i in range(8)]]
+    J.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {name for name, _ in plans} >= {"distances", "open_sets", "pairs"}
+    for name, plan in plans:
+        for stage in re.split(r"Exchange|Union", plan):
+            assert stage.count("MapInArrow") <= 1, (name, stage)
+
+
+def test_jaccard_bit_tables_follow_the_number_of_keys(spark):
+    import numpy as np
+
+    from churnlab.llm import jaccard as J
+    from churnlab.llm.common import in_table
+    keys = spark.range(1000).selectExpr("xxhash64(id) as k")
+    table = J._table(keys, "k", 1 << 22)
+    assert len(table) * 64 <= 1 << 17
+    known = np.array([r.k for r in keys.collect()], np.int64).view(np.uint64)
+    assert in_table(table, known).all()
+    other = np.array([r.k for r in spark.range(1000, 11000).selectExpr("xxhash64(id) as k").collect()], np.int64)
+    assert in_table(table, other.view(np.uint64)).mean() < 0.05
+    assert not J._table(keys.limit(0), "k", 1 << 22).any()
+
+
+def test_bit_tables_reach_the_driver_as_columns(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from churnlab.llm.common import bit_table, in_table
+
+    def rows(*_):
+        raise AssertionError("collected as rows")
+
+    for way in ("toPandas", "collect"):
+        monkeypatch.setattr(DataFrame, way, rows)
+    import numpy as np
+    keys = spark.range(0, 2000, 7).selectExpr("id - 1000 as k")
+    table = bit_table(keys, "k", 1 << 16)
+    every = np.arange(-1000, 1000, dtype=np.int64)
+    assert in_table(table, every.view(np.uint64)).tolist() == [(x + 1000) % 7 == 0 for x in every.tolist()]
+
+
 # --- quality rules (8) ------------------------------------------------------
 
 def test_quality_measures_equal_brute_force(docs, empty):
