@@ -97,7 +97,8 @@ def test_jaccard_shingles_of_one_text_open_no_region(spark, monkeypatch):
     monkeypatch.setattr(J, "_candidates", watched)
     out = J.classes(spark.createDataFrame(_texts(30), "doc_id long, text string"))
     assert {r.doc_id: r.component_id for r in out.collect()} == {**{i: i for i in range(30)}, 30: 0}
-    assert len({bytes(e.fp) for e in seen[0]}) == 2
+    # all prefixes together have 372; the near copies share 11 or 12, few others pass by a wrong bit
+    assert 22 <= len(seen[0]) < 60 and len({e.token for e in seen[0]}) < len(seen[0]) - 10
 
 
 def test_jaccard_steps_take_one_python_worker_a_task(spark, monkeypatch):
@@ -115,8 +116,17 @@ def test_jaccard_steps_take_one_python_worker_a_task(spark, monkeypatch):
     J.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {name for name, _ in plans} >= {"distances", "open_sets", "pairs"}
     for name, plan in plans:
-        for stage in re.split(r"Exchange|Union", plan):
-            assert stage.count("MapInArrow") <= 1, (name, stage)
+        above = []          # (depth, step) of the steps that read this one
+        for line in plan.splitlines():
+            found = re.search(r"[A-Za-z]\w*", line)
+            if not found:
+                continue
+            above = [x for x in above if x[0] < found.start()]
+            if found.group() == "MapInArrow":
+                stage = [x for _, x in above]
+                cut = max((i for i, x in enumerate(stage) if x.endswith("Exchange")), default=-1)
+                assert "MapInArrow" not in stage[cut + 1:], (name, plan)
+            above.append((found.start(), found.group()))
 
 
 def test_jaccard_bit_tables_follow_the_number_of_keys(spark):
