@@ -368,6 +368,67 @@ def test_knn_fills_nulls_with_the_median(spark):
     assert got == {9: 1.0, 10: 0.5}        # the median is 2: rows 2 and 4; then rows 1 and 2
 
 
+def test_knn_searches_all_rows_beyond_30000(spark):
+    # one row in 16 is of class 1; queries lie on such rows, which an even sample of 30,000 mostly drops
+    n = 36_000
+    train = spark.range(n).select(F.col("id"), F.col("id").cast("double").alias("a"), (F.col("id") % 16 == 0).cast("int").alias("y"))
+    query = spark.range(0, n, 160).select((F.col("id") + n).alias("id"), F.col("id").cast("double").alias("a"))
+    got = KNNClassifier(["a"], "y", "id", k=1).fit(train).transform(query).collect()
+    assert len(got) == n // 160 and all(r.knn_score == 1.0 for r in got)
+
+
+def test_sweep_knn_searches_all_rows_beyond_30000(spark):
+    n = 36_000
+    a = F.col("id").cast("double")
+    train = spark.range(n).select("id", a.alias("a"), (F.floor(F.col("id") / 10) % 2).cast("int").alias("y"), F.lit("train").alias("split"))
+    test = spark.range(0, n, 400).select((F.col("id") + n).alias("id"), (a + 4.5).alias("a"),
+                                         (F.floor(F.col("id") / 10) % 2).cast("int").alias("y"), F.lit("test").alias("split"))
+    got = M.sweep([M.REFERENCE_SPECS["knn"]], train.unionByName(test), {"full": ["a"]}, "id", "y").collect()
+    # the ten nearest rows of a query are its own run of ten rows with one label
+    assert len(got) == n // 400 and all(r.y_score == r.y_true for r in got)
+
+
+@pytest.mark.parametrize("weights", ["uniform", "distance"])
+def test_knn_cells_keep_ties_nulls_and_repeated_ids(spark, weights):
+    rng = np.random.default_rng(5)
+    tr = [(None if i % 97 == 0 else int(i % 700), float(rng.integers(0, 6)), float(rng.integers(0, 6)) if i % 11 else None,
+           float(rng.normal()) if i % 3 else 0.0, int(rng.integers(0, 2))) for i in range(900)]
+    qu = [(int(i % 150), float(rng.integers(-2, 8)), float(rng.integers(-2, 8)) if i % 7 else None,
+           float(rng.normal()) if i % 3 else 0.0) for i in range(200)] + [(900, float("nan"), 1.0, 0.0)]
+    fit = KNNClassifier(["a", "b", "c"], "y", "id", k=6, weights=weights, block_rows=50, query_rows=8, task_rows=40).fit(
+        spark.createDataFrame(tr, "id long, a double, b double, c double, y int").repartition(5))
+    assert fit.cuts.cells > 4
+    got = fit.transform(spark.createDataFrame(qu, "id long, a double, b double, c double").repartition(3)).collect()
+    mid = float(np.median([r[2] for r in tr if r[2] is not None]))
+
+    def score(q):
+        if np.isnan(q[1]):
+            near = [(np.inf, r[0] is None, r[0] or 0, r[4]) for r in tr]
+        else:
+            x = [q[1], mid if q[2] is None else q[2], q[3]]
+            near = [((x[0] - r[1]) ** 2 + (x[1] - (mid if r[2] is None else r[2])) ** 2 + (x[2] - r[3]) ** 2,
+                     r[0] is None, r[0] or 0, r[4]) for r in tr]
+        near = sorted(near)[:6]
+        d2, y = np.array([[r[0] for r in near]]), np.array([[float(r[3]) for r in near]])
+        if weights == "uniform":
+            return y.mean()
+        if (d2 == 0).any():
+            return y[d2 == 0].mean()
+        w = 1 / np.sqrt(d2)
+        return (w * y).sum() / w.sum() if w.sum() else np.nan
+
+    expected = sorted((q[0], round(score(q), 9)) for q in qu)
+    np.testing.assert_allclose(np.array(sorted((r.id, round(r.knn_score, 9)) for r in got)), np.array(expected), atol=1e-8)
+
+
+def test_knn_without_training_or_query_rows(spark):
+    t = spark.createDataFrame([(1, 1.0, 1)], "id long, a double, y int")
+    none = KNNClassifier(["a"], "y", "id", k=2).fit(t.filter("id > 1")).transform(t).collect()
+    assert [r.id for r in none] == [1] and np.isnan(none[0].knn_score)
+    fit = KNNClassifier(["a"], "y", "id", k=2).fit(t)
+    assert fit.transform(t.filter("id > 1")).collect() == []
+    assert [tuple(r) for r in fit.transform(t).collect()] == [(1, 1.0)]         # fewer rows than k
+
 def test_stream_query_counts_every_event_of_a_folder(spark, tmpdir_path):
     import __spark_entry__ as entry
     src = spark.read.parquet(f"{SF_SMALL}/events.parquet")
